@@ -12,6 +12,10 @@ here the same way:
 3. carry the totals of earlier partitions forward through a table with one row per partition.
    Its size is bounded by the number of partitions, never by the data, so it is broadcast.
 
+The ranged frame is read twice (partition summaries, rows). Range bounds come from sampling, and the
+sample depends on the input's row order, which a join under AQE does not fix; so the partition ids are
+frozen by a reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir`` before both reads.
+
 Order columns must form a total order (unique), as an arrival position would.
 """
 
@@ -22,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from edgegraph.session import ensure_checkpoint_dir
+
 _PID = "_eg_pid"
 _LOCAL = "_eg_local"
 
@@ -49,6 +55,8 @@ def with_position(df: DataFrame, order: Sequence[str | Column], name: str = "pos
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_LOCAL, F.monotonically_increasing_id()
                           - F.shiftleft(F.col(_PID).cast("long"), 33)))
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_eg_cnt"))
     # One row per partition: the window below runs over a table bounded by the partition count.
     offsets = counts.select(
@@ -78,8 +86,9 @@ class OrderedFrame:
         n = _num_partitions(df, num_partitions)
         cols = _cols(self.keys + self.order)
         self._key_struct = F.struct(*[F.col(k) for k in self.keys]) if self.keys else F.struct(F.lit(0).alias("k"))
+        ensure_checkpoint_dir(df.sparkSession)
         self.df = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-                   .withColumn(_PID, F.spark_partition_id()))
+                   .withColumn(_PID, F.spark_partition_id())).checkpoint(eager=True)
 
     def _window(self):
         return (Window.partitionBy(F.col(_PID), *[F.col(k) for k in self.keys])

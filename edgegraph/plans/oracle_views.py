@@ -6,11 +6,11 @@ columns with ``unix_millis`` before comparison.
 
 VIEW_SQL = {
     "txn_edges": """SELECT o_custkey AS src, 1000000 + l_suppkey AS trg,
-        CAST(round(l_extendedprice * 100) AS BIGINT) AS amount, epoch_ms(l_shipdate) AS ts
+        CAST(round(l_extendedprice * 100) AS BIGINT) AS amount, epoch_us(l_shipdate) // 1000 AS ts
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "user_edges": """SELECT src, trg, amount, ts, row_number() OVER (ORDER BY seq) AS pos FROM (
         SELECT user_id AS src, lead(user_id) OVER (ORDER BY ts, event_id) AS trg,
-               CAST(round(value * 100) AS BIGINT) AS amount, epoch_ms(ts) AS ts, event_id AS seq
+               CAST(round(value * 100) AS BIGINT) AS amount, epoch_us(ts) // 1000 AS ts, event_id AS seq
         FROM events) WHERE trg IS NOT NULL AND trg <> src""",
     "signed_edges": """SELECT user_id AS src, 1000 + event_id % 40 AS trg,
         CASE WHEN event_type = 'error' THEN -1 ELSE 1 END AS chg, event_id AS pos FROM events""",
