@@ -35,7 +35,7 @@ def _norm(v):
         return None
     if isinstance(v, float):
         if math.isnan(v):
-            return "nan"
+            return None
         return round(v, 6)
     if hasattr(v, "item") and not isinstance(v, (list, dict, str, bytes)):
         try:

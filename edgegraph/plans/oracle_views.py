@@ -21,9 +21,20 @@ VIEW_SQL = {
 }
 
 
-def with_views(views: list[str], body: str, ctes: str = "") -> str:
-    """``WITH <views>, <ctes> <body>``."""
+def with_views(views: list[str], body: str, ctes: str = "", recursive: bool = False) -> str:
+    """``WITH [RECURSIVE] <views>, <ctes> <body>``."""
     parts = [f"{v} AS ({VIEW_SQL[v]})" for v in views]
     if ctes.strip():
         parts.append(ctes.strip().rstrip(","))
-    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return (head + ",\n".join(parts) + "\n" + body) if parts else body
+
+
+def components_cte(edge_view: str, name: str = "cc") -> str:
+    """Recursive reachability carrying only smaller labels; ``name(v, component)`` = min reachable id."""
+    return f"""
+{name}_und AS (SELECT src AS a, trg AS b FROM {edge_view} UNION SELECT trg, src FROM {edge_view}),
+{name}_r(v, l) AS (SELECT a, a FROM {name}_und
+    UNION SELECT {name}_und.b, {name}_r.l FROM {name}_r JOIN {name}_und ON {name}_und.a = {name}_r.v
+    WHERE {name}_r.l < {name}_und.b),
+{name} AS (SELECT v, min(l) AS component FROM {name}_r GROUP BY v)"""
