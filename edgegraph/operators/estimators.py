@@ -5,10 +5,12 @@ with probability 1/i) plus a uniformly drawn third vertex; beta = 1 when both cl
 sampled wedge arrive after the sample. Estimate = floor((1/s) * sum(beta) * m * (n - 2)).
 
 The reservoir's replacement positions form a chain: p1 = 1 and P(next > j | p) = p / j, i.e.
-``p' = floor(p / u) + 1`` for ``u`` uniform in (0, 1]. Only ~ln(m) positions per instance exist, so the
-chain table is built by a short driver loop over an ``s``-row frame (its size is the sample-count
-parameter, never the data). Randomness comes from md5 of (seed, instance, position): runs repeat and
-the broadcast and incidence forms see the same samples.
+``p' = floor(p / u) + 1`` for ``u`` uniform in (0, 1]. Only ~ln(m) positions per instance exist. The
+recurrence is sequential per instance and data dependent in length, which no column expression states,
+so each instance's chain is generated inside ``mapInPandas`` over the ``s``-row instance table (Spark
+partitions the instances; the work per instance is ~ln m md5 steps). Randomness comes from md5 of
+(seed, instance, position), identical to Spark's ``md5`` and DuckDB's: runs repeat and the broadcast and
+incidence forms see the same samples.
 
 * broadcast form: the small sample table is broadcast to the edge scan (the reference broadcasts every
   edge to every sampler instead);
@@ -17,30 +19,42 @@ the broadcast and incidence forms see the same samples.
 
 from __future__ import annotations
 
+import hashlib
+import math
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgegraph.functions import md5_bigint, md5_uniform
-from edgegraph.session import ensure_checkpoint_dir
+from edgegraph.functions import HEX15_RANGE, md5_bigint
 
 # Fixed value: default seed text of the estimators.
 DEFAULT_SEED = "tri"
 
 
+def _chain_rows(i: int, m: int, seed: str) -> list[int]:
+    """Positions of instance ``i``: 1, then floor(p / u) + 1 while <= m (u from md5 of seed:e:i:p)."""
+    out, p = [], 1
+    while p <= m:
+        out.append(p)
+        h = int(hashlib.md5(f"{seed}:e:{i}:{p}".encode()).hexdigest()[:15], 16)
+        u = float(h + 1) / float(HEX15_RANGE)
+        p = math.floor(p / u) + 1
+    return out
+
+
 def sample_chain(spark: SparkSession, m: int, s: int, seed: str = DEFAULT_SEED) -> DataFrame:
     """(i, p): every position p <= m at which instance i takes a new sample."""
-    ensure_checkpoint_dir(spark)
-    cur = spark.range(s).select(F.col("id").alias("i"), F.lit(1).cast("long").alias("p"))
-    rows = cur.checkpoint(eager=True)
-    cur = rows
-    while True:
-        u = md5_uniform(F.lit(seed), F.lit("e"), F.col("i"), F.col("p"))
-        nxt = (cur.select("i", (F.floor(F.col("p") / u) + 1).cast("long").alias("p"))
-               .where(F.col("p") <= m)).checkpoint(eager=True)
-        if nxt.limit(1).count() == 0:
-            return rows
-        rows = rows.unionByName(nxt).checkpoint(eager=True)
-        cur = nxt
+    def gen(batches):
+        for pdf in batches:
+            ii, pp = [], []
+            for i in pdf["id"].tolist():
+                ps = _chain_rows(int(i), m, seed)
+                ii.extend([int(i)] * len(ps))
+                pp.extend(ps)
+            yield pd.DataFrame({"i": pd.Series(ii, dtype="int64"), "p": pd.Series(pp, dtype="int64")})
+    parts = max(1, min(s, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return spark.range(0, s, 1, parts).mapInPandas(gen, "i long, p long")
 
 
 def _third(i, p, lo, hi, n, seed):

@@ -1,0 +1,18 @@
+"""Structured Streaming runtime: the batch operators on streaming frames, plus the stateful pieces.
+
+* sources: text-line files (any reference format) or parquet edge files as unbounded edge tables,
+  event time from ``ts`` with a watermark (``0 seconds`` = the reference's ascending timestamps);
+* windowed patterns (fraud alerts, adjacency, snapshots, window triangles) are the batch functions,
+  run in append mode: a window is emitted once the watermark passes its end;
+* running degrees / counts run in update mode;
+* per-update changelogs use ``transformWithStateInPandas`` (keyed state in the state store);
+* connected components of an unbounded stream keep a versioned label table updated per micro-batch
+  with ``foreachBatch`` (:class:`IncrementalComponents`).
+"""
+
+from edgegraph.streaming.runtime import (  # noqa: F401
+    edge_stream_from_text, edge_stream_from_parquet, with_event_time, run_available,
+    fraud_alert_stream, degree_stream, vertex_count_stream, window_triangle_stream,
+)
+from edgegraph.streaming.stateful import degree_changelog_stream, DegreeChangelog  # noqa: F401
+from edgegraph.streaming.components import IncrementalComponents  # noqa: F401
