@@ -1,3 +1,5 @@
 """edgegraph: graph-stream analytics as Spark DataFrame / Structured Streaming plans."""
 
+from edgegraph.graph import EdgeStream, SnapshotStream  # noqa: F401
+
 __version__ = "0.1.0"

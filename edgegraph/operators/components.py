@@ -27,11 +27,17 @@ def _ckpt(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _same(a: DataFrame, b: DataFrame, cols: list[str]) -> bool:
-    """Exact set equality of two distinct edge tables."""
-    if a.count() != b.count():
-        return False
-    return a.join(b, cols, "left_anti").limit(1).count() == 0
+def _is_star_forest(e: DataFrame, g: list[str]) -> bool:
+    """Converged iff every ``hi`` has exactly one ``lo`` and no vertex is both a ``hi`` and a ``lo``.
+
+    Then each component of ``e`` is a star whose centre is its smallest vertex (``lo < hi``), so the
+    labels are final. One map-side-combined aggregate over the (checkpointed) edge table.
+    """
+    ends = (e.select(*g, F.col("hi").alias("v"), F.lit(1).alias("h"), F.lit(0).alias("l"))
+            .unionByName(e.select(*g, F.col("lo").alias("v"), F.lit(0).alias("h"), F.lit(1).alias("l"))))
+    per_v = ends.groupBy(*g, "v").agg(F.sum("h").alias("nh"), F.max("l").alias("il"))
+    bad = per_v.where((F.col("nh") > 1) | ((F.col("nh") >= 1) & (F.col("il") == 1)))
+    return bad.limit(1).count() == 0
 
 
 def _large_star(e: DataFrame, g: list[str]) -> DataFrame:
@@ -58,10 +64,9 @@ def star_edges(edges: DataFrame, group: Sequence[str] = (), max_rounds: int = 20
          .where(F.col("hi") != F.col("lo")).distinct())
     e = _ckpt(e)
     for _ in range(max_rounds):
-        nxt = _ckpt(_small_star(_large_star(e, g), g))
-        if _same(nxt, e, g + ["hi", "lo"]):
-            return nxt
-        e = nxt
+        if _is_star_forest(e, g):
+            return e
+        e = _ckpt(_small_star(_large_star(e, g), g))
     raise RuntimeError("connected components did not converge")
 
 
