@@ -46,7 +46,7 @@ def src_parse_txn(spark, sf_dir):
 
 @register("src_comment_skip", """
 SELECT CAST(f[1] AS BIGINT) AS src, CAST(f[2] AS BIGINT) AS trg FROM (
-  SELECT string_split(CASE WHEN event_id % 7 = 0 THEN '% ' || user_id || ' ' || event_id
+  SELECT string_split(CASE WHEN event_type = 'error' THEN '% ' || user_id || ' ' || event_id
                            ELSE user_id || ' ' || (1000 + event_id % 40) END, ' ') AS f FROM events)
 WHERE f[1] <> '%'""")
 def src_comment_skip(spark, sf_dir):
@@ -95,9 +95,9 @@ def g_map_edges(spark, sf_dir):
 
 
 @register("g_filter_vertices", with_views(["user_edges"], """
-SELECT src, trg, pos FROM user_edges WHERE src % 2 = 0 AND trg % 2 = 0"""))
+SELECT src, trg, pos FROM user_edges WHERE src >= 5 AND trg >= 5"""))
 def g_filter_vertices(spark, sf_dir):
-    return T.filter_vertices(user_edges(spark, sf_dir), lambda v: v % 2 == 0).select("src", "trg", "pos")
+    return T.filter_vertices(user_edges(spark, sf_dir), lambda v: v >= 5).select("src", "trg", "pos")
 
 
 @register("g_filter_edges", with_views(["user_edges"], """

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgegraph.operators.positions import keyed_position, with_position
+from edgegraph.operators.positions import with_position
 from edgegraph.sources.tables import load_table
 
 # Fixed value: payee ids are offset so that payers and payees never share an id.
@@ -61,12 +61,13 @@ def signed_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cust_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Path-shaped components: each customer linked to the next one of its (nation, segment).
 
-    ``lead`` per group is a keyed position plus an equi-join on ``rank + 1``: each (nation, segment)
-    group holds 1/125 of all customers, too many for one task at scale.
+    ``lead`` per group is a global position in (nation, segment, key) order plus an equi-join on
+    ``pos + 1`` within the same group: each group holds 1/125 of all customers, too many for one task
+    at scale, and the position is computed without a single-partition window.
     """
     c = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     keys = ["c_nationkey", "c_mktsegment"]
-    ranked = keyed_position(c, keys, ["c_custkey"], name="_r")
+    ranked = with_position(c, keys + ["c_custkey"], name="_r")
     nxt = ranked.select(*keys, (F.col("_r") - 1).alias("_r"), F.col("c_custkey").alias("trg"))
     return ranked.join(nxt, keys + ["_r"]).select(F.col("c_custkey").alias("src"), "trg")
 
@@ -88,9 +89,9 @@ def edge_lines(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
         return e.select(F.concat_ws(" ", "src", "trg",
                                     F.when(F.col("chg") > 0, F.lit("+")).otherwise(F.lit("-"))).alias("value"))
     if fmt == "commented":
-        # every 7th event becomes a comment line whose first field is '%'
-        ev = load_table(spark, sf_dir, "events").select("event_id", "user_id")
-        return ev.select(F.when(F.col("event_id") % 7 == 0,
+        # error events become comment lines whose first field is '%'
+        ev = load_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+        return ev.select(F.when(F.col("event_type") == "error",
                                 F.concat_ws(" ", F.lit("%"), F.col("user_id"), F.col("event_id")))
                          .otherwise(F.concat_ws(" ", F.col("user_id"), F.lit(SIGNED_TARGET_BASE)
                                                 + F.col("event_id") % SIGNED_TARGET_MOD)).alias("value"))
