@@ -90,8 +90,22 @@ def emit_on_change(df: DataFrame, value: str, order: str) -> DataFrame:
     return df.join(prev, order, "left").where(~F.col(value).eqNullSafe(F.col("_prev"))).drop("_prev")
 
 
+def neighborhood_rows(edges: DataFrame, directed: bool = True) -> DataFrame:
+    """Final neighbour sets as rows: (v, nbr, idx) with ``idx`` the 1-based rank of ``nbr`` in v's sorted
+    set. A keyed ordered scan, so a hub's neighbour set is spread over many tasks, never one row."""
+    e = edges.select("src", "trg")
+    if not directed:
+        e = e.unionByName(e.select(F.col("trg").alias("src"), F.col("src").alias("trg")))
+    pairs = e.distinct().select(F.col("src").alias("v"), F.col("trg").alias("nbr"))
+    return keyed_position(pairs, ["v"], ["nbr"], name="idx")
+
+
 def neighborhoods(edges: DataFrame, directed: bool = True) -> DataFrame:
-    """Final sorted neighbour set per vertex: (v, nbrs ARRAY<BIGINT>, n_nbrs)."""
+    """Final sorted neighbour set per vertex as one array: (v, nbrs ARRAY<BIGINT>, n_nbrs).
+
+    Convenience form for bounded degrees; a hub's set is one row here, so use :func:`neighborhood_rows`
+    when degrees are unbounded.
+    """
     e = edges.select("src", "trg")
     if not directed:
         e = e.unionByName(e.select(F.col("trg").alias("src"), F.col("src").alias("trg")))

@@ -86,20 +86,20 @@ NO_FRAUD_TEXT = "No fraudulent activity in this window"
 
 
 def fraud_window_report(edges: DataFrame, rule: MoneyMovement = MoneyMovement()) -> DataFrame:
-    """One text per window that holds edges: alert lines (payer ascending, each ending in a newline),
-    or the no-fraud sentence."""
+    """The per-window verdict as rows: one line per alert ("Huge Money Movement by payer id N", with
+    ``payer``), or a single no-fraud line (``payer`` null) for a window with edges but no alert.
+
+    The reference concatenates a window's lines into one string; rows keep a window with many alerts
+    from becoming one unbounded value (concatenate per window where the alert count is known small).
+    """
     windows = (edges.select(_window(rule.window).alias("window")).distinct()
                .select(win_start_ms().alias("w_start"), win_end_ms().alias("w_end")))
-    alerts = money_movement_alerts(edges, rule)
-    lines = (alerts.groupBy("w_start", "w_end")
-             .agg(F.array_sort(F.collect_list("payer")).alias("payers"))
-             .select("w_start", "w_end",
-                     F.array_join(F.transform("payers", lambda p: F.concat(F.lit(ALERT_LINE_PREFIX),
-                                                                            p.cast("string"), F.lit("\n"))),
-                                  "").alias("alert_text")))
-    return (windows.join(lines, ["w_start", "w_end"], "left")
-            .select("w_start", "w_end",
-                    F.coalesce(F.col("alert_text"), F.lit(NO_FRAUD_TEXT)).alias("report")))
+    alerts = money_movement_alerts(edges, rule).select("w_start", "w_end", "payer")
+    lines = alerts.select("w_start", "w_end", "payer",
+                          F.concat(F.lit(ALERT_LINE_PREFIX), F.col("payer").cast("string")).alias("line"))
+    quiet = (windows.join(alerts.select("w_start", "w_end").distinct(), ["w_start", "w_end"], "left_anti")
+             .select("w_start", "w_end", F.lit(None).cast("bigint").alias("payer"), F.lit(NO_FRAUD_TEXT).alias("line")))
+    return lines.unionByName(quiet)
 
 
 def adjacency(edges: DataFrame, size: str, slide: str | None = None) -> DataFrame:

@@ -79,10 +79,10 @@ def agg_global_custom(spark, sf_dir):
 
 
 @register("nbr_final", with_views(["user_edges"], """
-SELECT src AS v, string_agg(CAST(trg AS VARCHAR), ',' ORDER BY trg) AS nbrs, count(*) AS n_nbrs
-FROM (SELECT DISTINCT src, trg FROM user_edges) GROUP BY src"""))
+SELECT src AS v, trg AS nbr, row_number() OVER (PARTITION BY src ORDER BY trg) AS idx
+FROM (SELECT DISTINCT src, trg FROM user_edges)"""))
 def nbr_final(spark, sf_dir):
-    return D.neighborhoods_text(user_edges(spark, sf_dir))
+    return D.neighborhood_rows(user_edges(spark, sf_dir))
 
 
 @register("nbr_running", with_views(["user_edges"], """

@@ -24,15 +24,16 @@ def fraud_money_movement(spark, sf_dir):
 
 
 @register("fraud_window_report", with_views(["txn_edges"], f"""
-SELECT w.w_start, w.w_start + {W90} AS w_end,
-       coalesce(a.txt, 'No fraudulent activity in this window') AS report
-FROM (SELECT DISTINCT ts - ts % {W90} AS w_start FROM txn_edges) w LEFT JOIN a ON a.w_start = w.w_start""", ctes=f"""
+SELECT w_start, w_start + {W90} AS w_end, src AS payer, 'Huge Money Movement by payer id ' || src AS line FROM a
+UNION ALL
+SELECT w.w_start, w.w_start + {W90}, CAST(NULL AS BIGINT), 'No fraudulent activity in this window'
+FROM (SELECT DISTINCT ts - ts % {W90} AS w_start FROM txn_edges) w WHERE w.w_start NOT IN (SELECT w_start FROM a)""",
+    ctes=f"""
 t AS (SELECT DISTINCT ts - ts % {W90} AS w_start, src, trg, amount, ts FROM txn_edges),
 p AS (SELECT w_start, src, count(DISTINCT trg) AS payees, sum(amount) AS total_amount,
              max(ts) - min(ts) AS span FROM t GROUP BY w_start, src),
-a AS (SELECT w_start, string_agg('Huge Money Movement by payer id ' || src || chr(10), '' ORDER BY src) AS txt
-      FROM p WHERE total_amount >= {RULE.min_amount} AND payees BETWEEN {RULE.min_payees} AND {RULE.max_payees}
-        AND span >= {RULE.min_span_ms} GROUP BY w_start)"""))
+a AS (SELECT w_start, src FROM p WHERE total_amount >= {RULE.min_amount}
+        AND payees BETWEEN {RULE.min_payees} AND {RULE.max_payees} AND span >= {RULE.min_span_ms})"""))
 def fraud_window_report(spark, sf_dir):
     return P.fraud_window_report(txn_edges(spark, sf_dir), RULE)
 
