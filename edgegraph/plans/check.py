@@ -55,10 +55,10 @@ def normalize(pdf: pd.DataFrame) -> list[tuple]:
     return sorted(rows, key=lambda r: tuple((x is None, str(type(x)), str(x)) for x in r))
 
 
-def compare(spark, sf_dir: str, name: str, con=None) -> dict:
+def compare(spark, sf_dir: str, name: str, con=None, df=None) -> dict:
     qs, sqls = queries(), oracle_sql()
     t0 = time.time()
-    sdf = qs[name](spark, sf_dir).toPandas()
+    sdf = (df if df is not None else qs[name](spark, sf_dir)).toPandas()
     t1 = time.time()
     out = {"query": name, "spark_rows": len(sdf), "spark_sec": round(t1 - t0, 2)}
     if name not in sqls:
