@@ -7,12 +7,15 @@
 * running degrees / counts run in update mode;
 * per-update changelogs use ``transformWithStateInPandas`` (keyed state in the state store);
 * connected components of an unbounded stream keep a versioned label table updated per micro-batch
-  with ``foreachBatch`` (:class:`IncrementalComponents`).
+  with ``foreachBatch`` (:class:`IncrementalComponents`);
+* windowed triangles stage edges per window and count each window with the batch operator once the
+  watermark closes it (:class:`WindowTriangles`).
 """
 
 from edgegraph.streaming.runtime import (  # noqa: F401
-    edge_stream_from_text, edge_stream_from_parquet, with_event_time, run_available,
-    fraud_alert_stream, degree_stream, vertex_count_stream, window_triangle_stream,
+    edge_stream_from_text, edge_stream_from_parquet, with_event_time, run_available, run_periodic,
+    fraud_alert_stream, degree_stream, vertex_count_stream,
 )
 from edgegraph.streaming.stateful import degree_changelog_stream, DegreeChangelog  # noqa: F401
 from edgegraph.streaming.components import IncrementalComponents  # noqa: F401
+from edgegraph.streaming.triangles import WindowTriangles  # noqa: F401

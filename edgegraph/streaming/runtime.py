@@ -52,24 +52,15 @@ def vertex_count_stream(edges: DataFrame) -> DataFrame:
     return endpoints(edges).dropDuplicates(["v"]).groupBy().agg(F.count(F.lit(1)).cast("bigint").alias("n_vertices"))
 
 
-def window_triangle_stream(edges: DataFrame, size: str, delay: str = "0 seconds") -> DataFrame:
-    """Windowed triangle counts in append mode: per-window distinct canonical edges, two stream-stream
-    equi-joins closed within the same window, and a union with the edges at weight 0 so that windows
-    without triangles still emit 0."""
-    e = with_event_time(edges, delay)
-    w = (e.select(F.window("ts", size).alias("window"),
-                  F.least("src", "trg").alias("a"), F.greatest("src", "trg").alias("b"))
-         .where(F.col("a") != F.col("b"))
-         .dropDuplicates(["window", "a", "b"]))
-    x = w.select(F.col("window").alias("wx"), F.col("a").alias("xa"), F.col("b").alias("xb"))
-    y = w.select(F.col("window").alias("wy"), F.col("a").alias("ya"), F.col("b").alias("yb"))
-    z = w.select(F.col("window").alias("wz"), F.col("a").alias("za"), F.col("b").alias("zb"))
-    tri = (x.join(y, (F.col("wx") == F.col("wy")) & (F.col("xb") == F.col("ya")))
-           .join(z, (F.col("wz") == F.col("wx")) & (F.col("za") == F.col("xa")) & (F.col("zb") == F.col("yb")))
-           .select(F.col("wx").alias("window"), F.lit(1).alias("k")))
-    zeros = e.select(F.window("ts", size).alias("window"), F.lit(0).alias("k"))
-    return (tri.unionByName(zeros).groupBy("window").agg(F.sum("k").cast("bigint").alias("triangles"))
-            .select((F.unix_millis(F.col("window.end")) - 1).alias("w_max_ts"), "triangles"))
+def run_periodic(df: DataFrame, interval: str, mode: str, checkpoint: str, sink: str = "console",
+                 **options: str) -> StreamingQuery:
+    """Buffer-and-flush: rows arriving during ``interval`` are processed together as one micro-batch
+    (the reference's 5 s flush timer is a processing-time trigger)."""
+    w = (df.writeStream.outputMode(mode).format(sink).option("checkpointLocation", checkpoint)
+         .trigger(processingTime=interval))
+    for k, v in options.items():
+        w = w.option(k, v)
+    return w.start()
 
 
 def run_available(df: DataFrame, name: str, mode: str, checkpoint: str) -> StreamingQuery:
