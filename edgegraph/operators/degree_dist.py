@@ -16,7 +16,11 @@ from edgegraph.operators.transforms import endpoints
 
 
 def _walk(signed: DataFrame, order: str) -> DataFrame:
-    """Per endpoint event (v, order, side, chg): degree before (``d_prev``) and after (``d_new``)."""
+    """Per endpoint event (v, order, side, chg): degree before (``d_prev``) and after (``d_new``).
+
+    Edges without a ``chg`` column are all additions."""
+    if "chg" not in signed.columns:
+        signed = signed.withColumn("chg", F.lit(1))
     ends = endpoints(signed, "chg", order, side=True)
     of = OrderedFrame(ends, ["v"], [order, "side"]).running("_s", F.col("chg").cast("long"), "sum")
     # t = running sum before this event; min over t covers s_0 = 0 .. s_{i-1}
