@@ -86,7 +86,7 @@ def nbr_final(spark, sf_dir):
 
 
 @register("nbr_running", with_views(["user_edges"], """
-SELECT pos, src, trg, sum(CASE WHEN first THEN 1 ELSE 0 END) OVER (PARTITION BY src ORDER BY pos) AS n_nbrs FROM (
+SELECT pos, src, trg, CAST(sum(CASE WHEN first THEN 1 ELSE 0 END) OVER (PARTITION BY src ORDER BY pos) AS BIGINT) AS n_nbrs FROM (
   SELECT pos, src, trg, pos = min(pos) OVER (PARTITION BY src, trg) AS first FROM user_edges)"""))
 def nbr_running(spark, sf_dir):
     return D.running_neighborhood_size(user_edges(spark, sf_dir))

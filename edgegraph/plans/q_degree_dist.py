@@ -11,7 +11,8 @@ WALK = """
 ends AS (SELECT src AS v, pos, 0 AS side, chg FROM signed_edges UNION ALL SELECT trg, pos, 1, chg FROM signed_edges),
 run AS (SELECT *, sum(chg) OVER w AS s, sum(chg) OVER w - chg AS t FROM ends
         WINDOW w AS (PARTITION BY v ORDER BY pos, side ROWS UNBOUNDED PRECEDING)),
-walk AS (SELECT *, t - least(0, min(t) OVER w) AS d_prev, s - least(0, least(min(t) OVER w, s)) AS d_new FROM run
+walk AS (SELECT *, CAST(t - least(0, min(t) OVER w) AS BIGINT) AS d_prev,
+                 CAST(s - least(0, least(min(t) OVER w, s)) AS BIGINT) AS d_new FROM run
          WINDOW w AS (PARTITION BY v ORDER BY pos, side ROWS UNBOUNDED PRECEDING))"""
 
 
@@ -25,7 +26,7 @@ def deg_dist_final(spark, sf_dir):
 
 @register("deg_dist_changelog", with_views(["signed_edges"], """
 SELECT pos, side, sub, degree, delta,
-       sum(delta) OVER (PARTITION BY degree ORDER BY pos, side, sub ROWS UNBOUNDED PRECEDING) AS count
+       CAST(sum(delta) OVER (PARTITION BY degree ORDER BY pos, side, sub ROWS UNBOUNDED PRECEDING) AS BIGINT) AS count
 FROM (SELECT pos, side, 0 AS sub, d_new AS degree, 1 AS delta FROM walk WHERE d_new > 0
       UNION ALL SELECT pos, side, 1, d_prev, -1 FROM walk WHERE d_prev > 0)""", ctes=WALK))
 def deg_dist_changelog(spark, sf_dir):

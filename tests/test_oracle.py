@@ -30,6 +30,11 @@ def test_query(spark, con, name):
     if name in oracle_sql():
         assert r["columns_match"], r
         assert r["match"], r
+        rel = con.sql(oracle_sql()[name])
+        duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        names = {"bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN", "string": "VARCHAR", "double": "DOUBLE"}
+        for f in df.schema.fields:
+            assert names.get(f.dataType.simpleString()) == duck_types[f.name], (f.name, f.dataType, duck_types[f.name])
     else:
         assert r["spark_rows"] >= 0
 
