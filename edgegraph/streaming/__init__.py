@@ -13,7 +13,7 @@
 """
 
 from edgegraph.streaming.runtime import (  # noqa: F401
-    edge_stream_from_text, edge_stream_from_parquet, with_event_time, run_available, run_periodic,
+    edge_stream_from_text, edge_stream_from_parquet, edge_stream_from_kafka, with_event_time, run_available, run_periodic,
     fraud_alert_stream, degree_stream, vertex_count_stream,
 )
 from edgegraph.streaming.stateful import degree_changelog_stream, DegreeChangelog  # noqa: F401

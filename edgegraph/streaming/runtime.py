@@ -22,6 +22,23 @@ def edge_stream_from_text(spark: SparkSession, path: str, fmt: str, max_files_pe
     return decode(reader.load(path), fmt, mode)
 
 
+def edge_stream_from_kafka(spark: SparkSession, servers: str, topic: str, fmt: str = "txn",
+                           mode: str = "FAILFAST", **options: str) -> DataFrame:
+    """Message-bus edge stream: each record value is one text line of ``fmt`` (``src trg amount ts`` for
+    transactions). Needs the Spark Kafka connector on the cluster's classpath."""
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+              .option("subscribe", topic))
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    try:
+        raw = reader.load()
+    except Exception as exc:  # noqa: BLE001
+        if "kafka" in str(exc).lower():
+            raise RuntimeError("the Kafka source is not on the classpath (spark-sql-kafka package)") from exc
+        raise
+    return decode(raw.selectExpr("CAST(value AS STRING) AS value"), fmt, mode)
+
+
 def edge_stream_from_parquet(spark: SparkSession, path: str, schema: str = EDGE_SCHEMA,
                              max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)

@@ -8,8 +8,11 @@ from edgegraph.operators import components as C
 from edgegraph.operators import degrees as D
 from edgegraph.operators import patterns as P
 from edgegraph.sources import cust_edges, txn_edges, user_edges
+import pytest
+
 from edgegraph.streaming import (IncrementalComponents, WindowTriangles, degree_changelog_stream,
-                                 degree_stream, fraud_alert_stream, run_available)
+                                 degree_stream, edge_stream_from_kafka, fraud_alert_stream, run_available,
+                                 vertex_count_stream)
 from tests.conftest import SF_SMALL
 
 SCHEMA = "src bigint, trg bigint, amount bigint, ts timestamp, pos bigint"
@@ -102,3 +105,20 @@ def test_window_triangle_stream_g4_and_late_rows(spark, tmpdir_path):
     got = sorted((r["w_max_ts"], r["triangles"]) for r in wt.results().collect())
     assert got == [(299, 1), (599, 2), (899, 2), (1199, 1)]
     assert wt.late_rows == 1
+
+
+def test_vertex_count_stream(spark, tmpdir_path):
+    e = user_edges(spark, SF_SMALL)
+    src = os.path.join(tmpdir_path, "in")
+    _write_slices(e, src, 3)
+    run_available(vertex_count_stream(_stream_dir(spark, src)), "nv_out", "complete", os.path.join(tmpdir_path, "ck"))
+    assert spark.table("nv_out").first()["n_vertices"] == D.vertex_count(e).first()["n_vertices"]
+
+
+def test_kafka_source_gated(spark):
+    try:
+        df = edge_stream_from_kafka(spark, "localhost:9092", "DemoData")
+    except RuntimeError as exc:
+        assert "Kafka source" in str(exc)
+    else:
+        assert df.isStreaming and {"src", "trg", "amount", "ts"} <= set(df.columns)
