@@ -45,7 +45,8 @@ def _large_star(e: DataFrame, g: list[str]) -> DataFrame:
         e.select(*g, F.col("lo").alias("x"), F.col("hi").alias("y")))
     m = d.groupBy(*g, "x").agg(F.min("y").alias("_mn")).select(*g, "x", F.least("x", "_mn").alias("m"))
     out = d.where(F.col("y") > F.col("x")).join(m, g + ["x"]).select(*g, F.col("y").alias("hi"), F.col("m").alias("lo"))
-    return out.where(F.col("hi") != F.col("lo")).distinct()
+    # duplicates are harmless to small-star (min aggregate, distinct output), so no shuffle to drop them here
+    return out.where(F.col("hi") != F.col("lo"))
 
 
 def _small_star(e: DataFrame, g: list[str]) -> DataFrame:
