@@ -63,7 +63,10 @@ def star_edges(edges: DataFrame, group: Sequence[str] = (), max_rounds: int = 20
     g = list(group)
     e = (edges.select(*g, F.greatest("src", "trg").alias("hi"), F.least("src", "trg").alias("lo"))
          .where(F.col("hi") != F.col("lo")).distinct())
-    e = _ckpt(e)
+    return _converge(_ckpt(e), g, max_rounds)
+
+
+def _converge(e: DataFrame, g: list[str], max_rounds: int) -> DataFrame:
     for _ in range(max_rounds):
         if _is_star_forest(e, g):
             return e
@@ -72,13 +75,18 @@ def star_edges(edges: DataFrame, group: Sequence[str] = (), max_rounds: int = 20
 
 
 def connected_components(edges: DataFrame, group: Sequence[str] = (), max_rounds: int = 200) -> DataFrame:
-    """``(group..., v, component)`` for every endpoint; component = smallest vertex id it reaches."""
+    """``(group..., v, component)`` for every endpoint; component = smallest vertex id it reaches.
+
+    The input is read once: its canonical edges and its vertex list are materialised together, so an
+    expensive edge view is not recomputed by the loop or by the final labelling.
+    """
     g = list(group)
-    stars = star_edges(edges, g, max_rounds)
-    verts = (edges.select(*g, F.explode(F.array("src", "trg")).alias("v")).distinct())
+    base = _ckpt(edges.select(*g, F.greatest("src", "trg").alias("hi"), F.least("src", "trg").alias("lo")).distinct())
+    stars = _converge(_ckpt(base.where(F.col("hi") != F.col("lo"))), g, max_rounds)
+    verts = base.select(*g, F.explode(F.array("hi", "lo")).alias("v")).distinct()
     labels = stars.select(*g, F.col("hi").alias("v"), F.col("lo").alias("component"))
-    return (verts.join(labels, g + ["v"], "left")
-            .select(*g, "v", F.coalesce("component", "v").alias("component")))
+    return _ckpt(verts.join(labels, g + ["v"], "left")
+                 .select(*g, "v", F.coalesce("component", "v").alias("component")))
 
 
 def connected_components_tree(edges: DataFrame, buckets: int = 8, max_rounds: int = 200) -> DataFrame:
@@ -96,11 +104,12 @@ def connected_components_iterative(edges: DataFrame, max_rounds: int = 1000) ->
     Round: ``L(v) <- min(L(v), L(w) for neighbours w)``, then ``L(v) <- L(L(v))``.
     Same result as :func:`connected_components` (labels are component minima).
     """
-    und = (edges.select(F.col("src").alias("a"), F.col("trg").alias("b"))
-           .unionByName(edges.select(F.col("trg").alias("a"), F.col("src").alias("b")))
+    base = _ckpt(edges.select("src", "trg").distinct())
+    und = (base.select(F.col("src").alias("a"), F.col("trg").alias("b"))
+           .unionByName(base.select(F.col("trg").alias("a"), F.col("src").alias("b")))
            .where(F.col("a") != F.col("b")).distinct())
     und = _ckpt(und)
-    labels = _ckpt(edges.select(F.explode(F.array("src", "trg")).alias("v")).distinct()
+    labels = _ckpt(base.select(F.explode(F.array("src", "trg")).alias("v")).distinct()
                    .select("v", F.col("v").alias("label")))
     for _ in range(max_rounds):
         nbr_min = (und.join(labels.select(F.col("v").alias("b"), F.col("label").alias("nl")), "b")

@@ -25,7 +25,7 @@ def locally_dominant_matching(edges: DataFrame, weight: str = "amount", max_roun
                          F.col(weight).alias("w"))
             .where(F.col("a") != F.col("b"))
             .groupBy("a", "b").agg(F.max("w").alias("w"))).checkpoint(eager=True)
-    matched = None
+    rounds: list[DataFrame] = []
     for _ in range(max_rounds):
         if live.limit(1).count() == 0:
             break
@@ -35,13 +35,16 @@ def locally_dominant_matching(edges: DataFrame, weight: str = "amount", max_roun
         best = ends.groupBy("v").agg(F.max_by(F.struct("a", "b"), rank).alias("e"))
         picked = best.select("e.a", "e.b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") == 2)
         new = live.join(picked.select("a", "b"), ["a", "b"], "left_semi").checkpoint(eager=True)
-        matched = new if matched is None else matched.unionByName(new).checkpoint(eager=True)
+        rounds.append(new)
         used = new.select(F.explode(F.array("a", "b")).alias("v"))
         live = (live.join(used.withColumnRenamed("v", "a"), "a", "left_anti")
                 .join(used.withColumnRenamed("v", "b"), "b", "left_anti")
                 .select("a", "b", "w")).checkpoint(eager=True)
-    if matched is None:
+    if not rounds:
         return spark.createDataFrame([], "src bigint, trg bigint, weight bigint")
+    matched = rounds[0]
+    for r in rounds[1:]:
+        matched = matched.unionByName(r)
     return matched.select(F.col("a").alias("src"), F.col("b").alias("trg"), F.col("w").cast("bigint").alias("weight"))
 
 
