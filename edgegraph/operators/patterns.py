@@ -119,7 +119,11 @@ def adjacency(edges: DataFrame, size: str, slide: str | None = None) -> DataFram
 
 
 def adjacency_sets(edges: DataFrame, size: str, slide: str | None = None) -> DataFrame:
-    """Nested form of P1: ``ARRAY<STRUCT<trg, amount, ts>>`` per (window, src), sorted."""
+    """Nested form of P1: ``ARRAY<STRUCT<trg, amount, ts>>`` per (window, src), sorted.
+
+    Convenience for bounded per-window fan-out; a hub's window is one row here, :func:`distinct_triples`
+    is the row form.
+    """
     triples = distinct_triples(edges, size, slide)
     return (triples.groupBy("window", "src")
             .agg(F.array_sort(F.collect_list(F.struct("trg", "amount", F.col("t_ms").alias("ts")))).alias("nbrs"))
