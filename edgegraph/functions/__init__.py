@@ -13,9 +13,18 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_to_instant(c: str | Column) -> Column:
+    """TIMESTAMP_NTZ wall-clock value -> TIMESTAMP instant, reading the wall clock as UTC whatever the
+    session time zone is (NTZ arithmetic from the epoch has no zone)."""
+    name = c if isinstance(c, str) else None
+    ntz = F.col(name) if name else c
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ntz)
+    return F.timestamp_micros(micros)
+
+
 def epoch_ms(c: str | Column) -> Column:
-    """Epoch milliseconds of a timestamp column (TIMESTAMP_NTZ is read as UTC)."""
-    return F.unix_millis(col(c).cast("timestamp"))
+    """Epoch milliseconds of a TIMESTAMP column."""
+    return F.unix_millis(col(c))
 
 
 def from_epoch_ms(c: str | Column) -> Column:

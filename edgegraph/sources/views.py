@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edgegraph.functions import ntz_to_instant
 from edgegraph.operators.positions import with_position
 from edgegraph.sources.tables import load_table
 
@@ -27,7 +28,7 @@ def txn_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("o_custkey").alias("src"),
                     (F.lit(TXN_TARGET_OFFSET) + F.col("l_suppkey")).alias("trg"),
                     F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("amount"),
-                    F.col("l_shipdate").cast("timestamp").alias("ts")))
+                    ntz_to_instant("l_shipdate").alias("ts")))
 
 
 def user_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +44,7 @@ def user_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
              .where(F.col("trg") != F.col("user_id"))
              .select(F.col("user_id").alias("src"), "trg",
                      F.round(F.col("value") * 100).cast("bigint").alias("amount"),
-                     F.col("ts").cast("timestamp").alias("ts"),
+                     ntz_to_instant("ts").alias("ts"),
                      F.col("event_id").alias("seq")))
     return with_position(pairs, ["seq"], name="pos").drop("seq")
 
