@@ -44,7 +44,7 @@ def _norm(v):
             pass
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
-    if pd.isna(v) if not isinstance(v, (list, tuple, dict)) else False:
+    if not isinstance(v, dict) and pd.isna(v):
         return None
     return v
 
