@@ -122,3 +122,24 @@ def test_kafka_source_gated(spark):
         assert "Kafka source" in str(exc)
     else:
         assert df.isStreaming and {"src", "trg", "amount", "ts"} <= set(df.columns)
+
+
+def test_snapshot_and_sliding_windows_stream_equal_batch(spark, tmpdir_path):
+    from edgegraph.operators import snapshot as S
+    from edgegraph.operators import windows as Wn
+    from edgegraph.streaming import with_event_time
+    e = user_edges(spark, SF_SMALL)
+    src = os.path.join(tmpdir_path, "in")
+    _write_slices(e, src, 3)
+    spark.createDataFrame([(-1, -2, 0, 4102444800000, 0)], "src bigint, trg bigint, amount bigint, t bigint, pos bigint") \
+        .select("src", "trg", "amount", F.timestamp_millis("t").alias("ts"), "pos") \
+        .coalesce(1).write.parquet(os.path.join(src, "part999"))
+    stream = with_event_time(_stream_dir(spark, src))
+    run_available(S.reduce_on_edges(S.slice_edges(stream, "6 hours", "all"), "amount", "sum"), "slice_out",
+                  "append", os.path.join(tmpdir_path, "ck1"))
+    run_available(Wn.sliding_sum(with_event_time(_stream_dir(spark, src)), "2 hours", "1 hour"), "slide_out",
+                  "append", os.path.join(tmpdir_path, "ck2"))
+    exp1 = {tuple(r) for r in S.reduce_on_edges(S.slice_edges(e, "6 hours", "all"), "amount", "sum").collect()}
+    exp2 = {tuple(r) for r in Wn.sliding_sum(e, "2 hours", "1 hour").collect()}
+    assert {tuple(r) for r in spark.table("slice_out").collect()} == exp1
+    assert {tuple(r) for r in spark.table("slide_out").collect()} == exp2
