@@ -14,7 +14,9 @@ here the same way:
 
 The ranged frame is read twice (partition summaries, rows). Range bounds come from sampling, and the
 sample depends on the input's row order, which a join under AQE does not fix; so the partition ids are
-frozen by a reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir`` before both reads.
+frozen by a reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir`` before both reads. This holds
+even for a plain file scan: the range sampler seeds itself with the RDD id, so two reads of the same scan
+sample different bounds.
 
 Order columns must form a total order (unique), as an arrival position would.
 """
