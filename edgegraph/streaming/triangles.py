@@ -5,7 +5,8 @@ watermark (largest ``ts`` seen minus the allowed delay) decides which windows ar
 window not yet emitted is counted with the batch operator
 (:func:`~edgegraph.operators.triangles.window_triangles`, degree-oriented ``array_intersect``, no neighbour
 pairs) over its staged edges only (partition pruning), and appended to the output table. Rows for an
-already emitted window are late: they are dropped and counted, as Spark's watermark would.
+already emitted window are late: they are dropped and counted, as Spark's watermark would. Staged edges
+are deduplicated by the operator and results are overwritten per window, so a replayed batch is harmless.
 Progress (watermark, last emitted window) is a small text file written after the outputs.
 """
 
@@ -58,14 +59,16 @@ class WindowTriangles:
             staged = (self.spark.read.parquet(self.staging)
                       .where((F.col("w_start") >= self.emitted_until) & (F.col("w_start") < closed_until)))
             result = window_triangles(staged.select("src", "trg", "ts"), self.size)
-            result.write.mode("append").parquet(self.output)
+            # one partition per window, overwritten dynamically: a replayed batch rewrites, never duplicates
+            (result.withColumn("w", F.col("w_max_ts")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("w").parquet(self.output))
             self.emitted_until = closed_until
         self.watermark = watermark
         self.late_rows += int(stats["late"] or 0)
         self._fs.write_text("_PROGRESS", f"{self.watermark},{self.emitted_until},{self.late_rows}")
 
     def results(self) -> DataFrame:
-        return self.spark.read.parquet(self.output)
+        return self.spark.read.parquet(self.output).drop("w")
 
     def start(self, edges: DataFrame, checkpoint: str, available_now: bool = True):
         w = edges.writeStream.foreachBatch(lambda df, bid: self.update(df, bid)).option("checkpointLocation", checkpoint)
