@@ -27,26 +27,27 @@ def _ckpt(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _is_star_forest(e: DataFrame, g: list[str]) -> bool:
-    """Converged iff every ``hi`` has exactly one ``lo`` and no vertex is both a ``hi`` and a ``lo``.
+def _large_star_step(e: DataFrame, g: list[str]) -> tuple[DataFrame | None, DataFrame]:
+    """Per-vertex aggregate of the large-star step, also deciding convergence.
 
-    Then each component of ``e`` is a star whose centre is its smallest vertex (``lo < hi``), so the
-    labels are final. One map-side-combined aggregate over the (checkpointed) edge table.
+    ``e`` is a star forest centred on component minima iff every vertex is a root (no smaller neighbour)
+    or a leaf (exactly one smaller neighbour, no larger one). The counts come from the same map-side
+    combined aggregate that finds each vertex's minimum neighbour; the table has one row per vertex and is
+    checkpointed, so the test scans vertices, not edges. Returns (large-star edges or None, aggregate).
     """
-    ends = (e.select(*g, F.col("hi").alias("v"), F.lit(1).alias("h"), F.lit(0).alias("l"))
-            .unionByName(e.select(*g, F.col("lo").alias("v"), F.lit(0).alias("h"), F.lit(1).alias("l"))))
-    per_v = ends.groupBy(*g, "v").agg(F.sum("h").alias("nh"), F.max("l").alias("il"))
-    bad = per_v.where((F.col("nh") > 1) | ((F.col("nh") >= 1) & (F.col("il") == 1)))
-    return bad.limit(1).count() == 0
-
-
-def _large_star(e: DataFrame, g: list[str]) -> DataFrame:
     d = e.select(*g, F.col("hi").alias("x"), F.col("lo").alias("y")).unionByName(
         e.select(*g, F.col("lo").alias("x"), F.col("hi").alias("y")))
-    m = d.groupBy(*g, "x").agg(F.min("y").alias("_mn")).select(*g, "x", F.least("x", "_mn").alias("m"))
+    agg = _ckpt(d.groupBy(*g, "x").agg(
+        F.min("y").alias("_mn"),
+        F.sum(F.when(F.col("y") < F.col("x"), 1).otherwise(0)).alias("nlo"),
+        F.sum(F.when(F.col("y") > F.col("x"), 1).otherwise(0)).alias("nhi")))
+    bad = agg.where(~((F.col("nlo") == 0) | ((F.col("nlo") == 1) & (F.col("nhi") == 0))))
+    if bad.limit(1).count() == 0:
+        return None, agg
+    m = agg.select(*g, "x", F.least("x", "_mn").alias("m"))
     out = d.where(F.col("y") > F.col("x")).join(m, g + ["x"]).select(*g, F.col("y").alias("hi"), F.col("m").alias("lo"))
     # duplicates are harmless to small-star (min aggregate, distinct output), so no shuffle to drop them here
-    return out.where(F.col("hi") != F.col("lo"))
+    return out.where(F.col("hi") != F.col("lo")), agg
 
 
 def _small_star(e: DataFrame, g: list[str]) -> DataFrame:
@@ -68,9 +69,10 @@ def star_edges(edges: DataFrame, group: Sequence[str] = (), max_rounds: int = 20
 
 def _converge(e: DataFrame, g: list[str], max_rounds: int) -> DataFrame:
     for _ in range(max_rounds):
-        if _is_star_forest(e, g):
+        large, _agg = _large_star_step(e, g)
+        if large is None:
             return e
-        e = _ckpt(_small_star(_large_star(e, g), g))
+        e = _ckpt(_small_star(large, g))
     raise RuntimeError("connected components did not converge")
 
 
