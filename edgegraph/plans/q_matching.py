@@ -1,4 +1,8 @@
-"""Weighted matching over the rating-style bipartite view (rows-only checks + pytest)."""
+"""Weighted matching over the rating-style bipartite view.
+
+The oracle runs the same locally dominant rounds as a recursive CTE: each iteration keeps the edges
+picked by both endpoints (heaviest, then smaller ids) and drops edges touching them.
+"""
 
 from __future__ import annotations
 
@@ -7,16 +11,35 @@ from edgegraph.plans.catalog import register
 from edgegraph.sources import edge_lines
 from edgegraph.sources.text import decode
 
+ROUNDS = """
+e AS (SELECT least(l_suppkey, l_partkey + 1000000) AS a, greatest(l_suppkey, l_partkey + 1000000) AS b,
+             max(CAST(l_quantity AS BIGINT) * 10) AS w
+      FROM lineitem WHERE l_suppkey <> l_partkey + 1000000 GROUP BY 1, 2),
+r(a, b, w, st) AS (
+  SELECT a, b, w, 'L' FROM e
+  UNION ALL
+  (WITH live AS (SELECT a, b, w FROM r WHERE st = 'L'),
+        ends AS (SELECT a AS v, a, b, w FROM live UNION ALL SELECT b AS v, a, b, w FROM live),
+        best AS (SELECT v, a, b FROM (
+                   SELECT *, row_number() OVER (PARTITION BY v ORDER BY w DESC, a, b) AS rn FROM ends) WHERE rn = 1),
+        picked AS (SELECT a, b FROM best GROUP BY a, b HAVING count(*) = 2),
+        used AS (SELECT a AS v FROM picked UNION SELECT b FROM picked)
+   SELECT l.a, l.b, l.w, 'N' FROM live l JOIN picked p ON l.a = p.a AND l.b = p.b
+   UNION ALL
+   SELECT l.a, l.b, l.w, 'L' FROM live l WHERE l.a NOT IN (SELECT v FROM used) AND l.b NOT IN (SELECT v FROM used)))"""
+
 
 def _ratings(spark, sf_dir):
     return decode(edge_lines(spark, sf_dir, "rating"), "rating")
 
 
-@register("match_locally_dominant", None)
+@register("match_locally_dominant", "WITH RECURSIVE " + ROUNDS.strip() + """
+SELECT a AS src, b AS trg, w AS weight FROM r WHERE st = 'N'""")
 def match_locally_dominant(spark, sf_dir):
     return Ma.locally_dominant_matching(_ratings(spark, sf_dir), "amount")
 
 
-@register("match_final_weight", None)
+@register("match_final_weight", "WITH RECURSIVE " + ROUNDS.strip() + """
+SELECT CAST(count(*) AS BIGINT) AS n_matched, CAST(coalesce(sum(w), 0) AS BIGINT) AS total_weight FROM r WHERE st = 'N'""")
 def match_final_weight(spark, sf_dir):
     return Ma.matching_weight(Ma.locally_dominant_matching(_ratings(spark, sf_dir), "amount"))
