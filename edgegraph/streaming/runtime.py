@@ -70,11 +70,13 @@ def vertex_count_stream(edges: DataFrame) -> DataFrame:
 
 
 def run_periodic(df: DataFrame, interval: str, mode: str, checkpoint: str, sink: str = "console",
-                 **options: str) -> StreamingQuery:
+                 queryName: str | None = None, **options: str) -> StreamingQuery:  # noqa: N803
     """Buffer-and-flush: rows arriving during ``interval`` are processed together as one micro-batch
     (the reference's 5 s flush timer is a processing-time trigger)."""
     w = (df.writeStream.outputMode(mode).format(sink).option("checkpointLocation", checkpoint)
          .trigger(processingTime=interval))
+    if queryName:
+        w = w.queryName(queryName)
     for k, v in options.items():
         w = w.option(k, v)
     return w.start()

@@ -143,3 +143,18 @@ def test_snapshot_and_sliding_windows_stream_equal_batch(spark, tmpdir_path):
     exp2 = {tuple(r) for r in Wn.sliding_sum(e, "2 hours", "1 hour").collect()}
     assert {tuple(r) for r in spark.table("slice_out").collect()} == exp1
     assert {tuple(r) for r in spark.table("slide_out").collect()} == exp2
+
+
+def test_periodic_trigger_buffers_and_flushes(spark, tmpdir_path):
+    from edgegraph.streaming import run_periodic
+    e = user_edges(spark, SF_SMALL)
+    src = os.path.join(tmpdir_path, "in")
+    _write_slices(e, src, 2)
+    q = run_periodic(degree_stream(_stream_dir(spark, src)), "1 second", "update", os.path.join(tmpdir_path, "ck"),
+                     sink="memory", queryName="periodic_out")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.table("periodic_out").groupBy("v").agg(F.max("degree").alias("degree"))
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in D.degrees(e).collect()}
