@@ -108,13 +108,20 @@ class OrderedFrame:
             F.min("_eg_key").alias("_eg_first"),
             F.max_by(F.struct(F.col("_eg_key").alias("k"), F.col(_LOCAL).alias("v")),
                      F.struct(F.col("_eg_key"), order_struct)).alias("_eg_last"))
-        a = summary.select(F.col(_PID).alias("_eg_p"), F.col("_eg_first").alias("_eg_ck"))
-        b = summary.select(F.col(_PID).alias("_eg_q"), F.col("_eg_last.k").alias("_eg_lk"),
-                           F.col("_eg_last.v").alias("_eg_lv"))
-        # A key that is first in partition p and occurs earlier must be last in each earlier partition it
-        # touches (rows are contiguous in the range order), so the carry only joins partition summaries.
-        carry = (a.join(b, (F.col("_eg_lk") == F.col("_eg_ck")) & (F.col("_eg_q") < F.col("_eg_p")))
-                 .groupBy("_eg_p", "_eg_ck").agg(agg("_eg_lv").alias("_eg_carry")))
+        # A key that is first in partition p and occurs earlier is the last key of every earlier partition it
+        # touches, and those partitions are contiguous (rows follow the range order). So the carry into p is the
+        # running total over partitions ending in that key, read at the previous partition: two windows over
+        # the one-row-per-partition summary (linear in the partition count, never a pairwise join).
+        s_rows = summary.select(F.col(_PID).alias("_eg_p"), F.col("_eg_first").alias("_eg_ck"),
+                                F.col("_eg_last.k").alias("_eg_lk"), F.col("_eg_last.v").alias("_eg_lv"))
+        s_rows = s_rows.withColumn("_eg_cum", agg("_eg_lv").over(
+            Window.partitionBy("_eg_lk").orderBy("_eg_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        by_pid = Window.orderBy("_eg_p")
+        carry = (s_rows.select("_eg_p", "_eg_ck",
+                               F.lag("_eg_lk").over(by_pid).alias("_eg_plk"),
+                               F.lag("_eg_cum").over(by_pid).alias("_eg_pcum"))
+                 .where(F.col("_eg_plk") == F.col("_eg_ck"))
+                 .select("_eg_p", "_eg_ck", F.col("_eg_pcum").alias("_eg_carry")))
         joined = keyed.join(F.broadcast(carry),
                             (F.col(_PID) == F.col("_eg_p")) & (F.col("_eg_key") == F.col("_eg_ck")), "left")
         if op == "sum":
