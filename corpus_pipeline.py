@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgegraph.llm import quality
+from edgegraph.llm import decontam, line_dedup, mixing, neardup, quality
 from edgegraph.llm.tables import shared_folder
 from edgegraph.sources.tables import load_table
 
@@ -16,7 +16,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filter_documents(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs of 50 words or more are cut out; documents that consist of them go."""
+    return line_dedup.dedup_lines(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (similarity 0.8 of 5-word shingles) stays."""
+    return neardup.drop_copies(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontam.drop_leaks(docs, load_table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies of documents by target weights, dealt into shards: adds mix_shard and mix_order."""
+    return mixing.mix(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", dedup_lines), ("minhash_neardup", drop_near_copies),
+          ("decontamination", decontaminate), ("mixing", mix_sources)]
 
 # The line, near-duplicate and mixing stages follow hashes that DuckDB does not have; tests compare with brute force.
 ORACLE_SQL = None

@@ -71,7 +71,9 @@ def _metrics(d: DataFrame) -> DataFrame:
             .withColumn("word_length", rate("word_chars", "n_words", 100))
             .withColumn("mark_rate", rate("n_marks", "word_chars"))
             .withColumn("upper_rate", rate("n_upper", "word_chars"))
-            .withColumn("base_failed", (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)))
+            .withColumn("base_failed", (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50))
+            # filters that use it are not pushed below: they would repeat the nested array expressions many times
+            .withColumn("_once", F.monotonically_increasing_id()))
 
 
 def sketch(values: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
@@ -102,7 +104,7 @@ def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
 def thresholds(metrics: DataFrame, min_docs: int = 30) -> DataFrame:
     """One row per (lang, source) with the upper cut-off ``t_<metric>`` of every metric."""
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS]))
-    fine = ckpt(sketch(metrics.where(~F.col("base_failed")).select("lang", "source", pairs.alias("_m"))
+    fine = ckpt(sketch(metrics.where(~F.col("base_failed") & (F.col("_once") >= 0)).select("lang", "source", pairs.alias("_m"))
                        .select("lang", "source", "_m.metric", "_m.value"), ["lang", "source", "metric"]))
     by_lang = merge(fine, ["lang", "metric"])
     everything = merge(fine, ["metric"])
@@ -147,4 +149,4 @@ def filter_documents(docs: DataFrame, min_docs: int = 30) -> DataFrame:
     """The rows of ``docs`` that pass, all columns unchanged. Texts are not shuffled: the verdict is computed beside
     the text it judges, and only the cut-off table (size-checked) travels."""
     d = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang", "source")
-    return judge(d, ["_row"], min_docs, materialise=False).where("kept").select("_row.*")
+    return judge(d, ["_row"], min_docs, materialise=False).where(F.col("kept") & (F.col("_once") >= 0)).select("_row.*")
