@@ -136,16 +136,11 @@ def annotate(docs: DataFrame, keep: Sequence[str], min_words: int = 50,
 def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """``docs`` with the later copies deleted from ``text``; n_chars follows the text if there is such a column. A document
     of which nothing is left but blank lines is a copy throughout and goes."""
-    d = docs.withColumn("_row", F.struct(*docs.columns))
+    d = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
     a = annotate(d, ["_row"], min_words, "_row.text").where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
-    out = a.select("_row.*", "new_text", "n_removed")
-    cols = []
-    for c in docs.columns:
-        if c == "text":
-            cols.append(F.col("new_text").alias("text"))
-        elif c == "n_chars":
-            cols.append(F.when(F.col("n_removed") > 0, F.length("new_text").cast(docs.schema["n_chars"].dataType))
-                        .otherwise(F.col("n_chars")).alias("n_chars"))
-        else:
-            cols.append(F.col(c))
-    return out.select(*cols)
+    cols = {c: F.col("_row").getField(c) for c in docs.columns}
+    cols["text"] = F.col("new_text")
+    if "n_chars" in cols:
+        cols["n_chars"] = (F.when(F.col("n_removed") > 0, F.length("new_text").cast(docs.schema["n_chars"].dataType))
+                           .otherwise(cols["n_chars"]))
+    return a.select(*[v.alias(k) for k, v in cols.items()])

@@ -324,7 +324,8 @@ def drop_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
     c = ckpt(components(docs, percent))
     key = ["_doc", "_t"]
     gone = c.where(~F.col("kept")).select(_doc().alias("_doc"), F.col("t").alias("_t")).distinct()
-    stay = docs.withColumns({"_doc": _doc(), "_t": F.xxhash64("text")}).join(gone, key, "left_anti")
+    stay = docs.select(F.struct(*docs.columns).alias("_row"), _doc().alias("_doc"), F.xxhash64("text").alias("_t")).join(
+        gone, key, "left_anti")
     if c.where("kept").groupBy("doc_id").count().where("count > 1").limit(1).count():
         stay = stay.dropDuplicates(key)
-    return stay.drop(*key)
+    return stay.select("_row.*")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from edgegraph.llm import (decontam, kneser_ney, langid, license_scan, line_dedup, mixing, neardup, quality,
                             url_filter, warc)
+from edgegraph.llm.oracles import oracle_sql  # noqa: F401
 from edgegraph.sources.tables import load_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -73,7 +74,3 @@ def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_language_id, op2_license_scans, op3_quality_rules, op4_warc, op5_decontamination, op6_url_filters,
         op7_line_dedup, op8_lm_scoring, op9_mixing, op10_minhash_neardup)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
