@@ -38,7 +38,7 @@ MATCH = 36
 BINS = 256
 # Five and a half standard deviations of a 256-bin estimate.
 SLACK = 0.125
-BLOCK = 256
+BLOCK = 2048
 _A = tw.mix64(np.arange(1, COORDS + 1, dtype=np.uint64)) | np.uint64(1)
 _B = tw.mix64(np.arange(1001, COORDS + 1001, dtype=np.uint64))
 
