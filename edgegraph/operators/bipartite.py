@@ -1,6 +1,7 @@
 """Bipartiteness through the bipartite double cover (H5).
 
-Vertex ``v`` gets two copies ``2v`` (even side) and ``2v+1`` (odd side); an edge (u, w) becomes
+Vertex ``v`` gets two copies ``2v`` (even side) and ``2v+1`` (odd side), made and read back by bit operations, which
+are exact for negative and large ids; an edge (u, w) becomes
 (2u, 2w+1) and (2u+1, 2w). A component is bipartite iff no vertex has both copies in one double-cover
 component, i.e. it has no odd cycle (a self-loop is an odd cycle). Signs: the component's smallest vertex
 ``r`` has sign true; ``v`` has sign true iff ``2v`` shares the double-cover component of ``2r``, whose label
@@ -16,23 +17,47 @@ from pyspark.sql import functions as F
 from edgegraph.operators.components import connected_components
 
 
-def double_cover(edges: DataFrame) -> DataFrame:
-    u, w = F.col("src"), F.col("trg")
-    pairs = F.array(F.struct((u * 2).alias("a"), (w * 2 + 1).alias("b")),
-                    F.struct((u * 2 + 1).alias("a"), (w * 2).alias("b")))
+# Ids in this range keep their double-cover copies within a bigint.
+_FITS = 1 << 61
+
+
+def _copies(edges: DataFrame, wide: bool) -> DataFrame:
+    """Double-cover edges; a copy is the bigint 2v + side, or (v, side) where ids do not fit."""
+    def copy(v: str, side: int):
+        if wide:
+            return F.struct(F.col(v).alias("v"), F.lit(side).alias("side"))
+        return F.shiftleft(v, 1).bitwiseOR(F.lit(side).cast("bigint"))
+
+    pairs = F.array(F.struct(copy("src", 0).alias("a"), copy("trg", 1).alias("b")),
+                    F.struct(copy("src", 1).alias("a"), copy("trg", 0).alias("b")))
     return edges.select(F.explode(pairs).alias("_e")).select(F.col("_e.a").alias("src"), F.col("_e.b").alias("trg"))
 
 
+def double_cover(edges: DataFrame) -> DataFrame:
+    """Edges between bigint copies 2v + side, for ids from -2**61 to 2**61 - 1."""
+    return _copies(edges, wide=False)
+
+
 def vertex_signs(edges: DataFrame) -> DataFrame:
-    """(v, component, sign, conflict) for every endpoint."""
-    cc = connected_components(double_cover(edges.select("src", "trg")))
-    per_v = (cc.groupBy(F.floor(F.col("v") / 2).cast("bigint").alias("v"))
-             .agg(F.min(F.when(F.col("v") % 2 == 0, F.col("component"))).alias("c_even"),
-                  F.min(F.when(F.col("v") % 2 == 1, F.col("component"))).alias("c_odd")))
-    component = F.floor(F.least("c_even", "c_odd") / 2).cast("bigint")
+    """(v, component, sign, conflict) for every endpoint; any bigint ids."""
+    edges = edges.select(F.col("src").cast("bigint").alias("src"), F.col("trg").cast("bigint").alias("trg"))
+    low, high = edges.agg(F.min(F.least("src", "trg")), F.max(F.greatest("src", "trg"))).first()
+    wide = low is not None and (low < -_FITS or high >= _FITS)
+    cc = connected_components(_copies(edges, wide))
+    if wide:
+        cc = cc.select(F.col("v.v").alias("v"), F.col("v.side").alias("side"), F.col("component.v").alias("c"),
+                       F.col("component.side").alias("c_side"))
+    else:
+        one = F.lit(1).cast("bigint")
+        cc = cc.select(F.shiftright("v", 1).alias("v"), F.col("v").bitwiseAND(one).cast("int").alias("side"),
+                       F.shiftright("component", 1).alias("c"), F.col("component").bitwiseAND(one).cast("int").alias("c_side"))
+    label = F.struct("c", "c_side")
+    per_v = (cc.groupBy("v").agg(F.min(F.when(F.col("side") == 0, label)).alias("even"),
+                                 F.min(F.when(F.col("side") == 1, label)).alias("odd")))
+    component = F.least("even", "odd")["c"]
     return per_v.select("v", component.alias("component"),
-                        (F.col("c_even") == component * 2).alias("sign"),
-                        (F.col("c_even") == F.col("c_odd")).alias("conflict"))
+                        ((F.col("even.c") == component) & (F.col("even.c_side") == 0)).alias("sign"),
+                        (F.col("even") == F.col("odd")).alias("conflict"))
 
 
 def component_bipartite(edges: DataFrame) -> DataFrame:

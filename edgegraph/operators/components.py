@@ -59,24 +59,23 @@ def _small_star(e: DataFrame, g: list[str]) -> DataFrame:
             .where(F.col("hi") != F.col("lo")).distinct())
 
 
-def star_edges(edges: DataFrame, group: Sequence[str] = (), max_rounds: int = 200) -> DataFrame:
+def star_edges(edges: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Converged star forest ``(group..., hi, lo)``: ``lo`` is the component minimum of ``hi``."""
     g = list(group)
     e = (edges.select(*g, F.greatest("src", "trg").alias("hi"), F.least("src", "trg").alias("lo"))
          .where(F.col("hi") != F.col("lo")).distinct())
-    return _converge(_ckpt(e), g, max_rounds)
+    return _converge(_ckpt(e), g)
 
 
-def _converge(e: DataFrame, g: list[str], max_rounds: int) -> DataFrame:
-    for _ in range(max_rounds):
+def _converge(e: DataFrame, g: list[str]) -> DataFrame:
+    while True:
         large, _agg = _large_star_step(e, g)
         if large is None:
             return e
         e = _ckpt(_small_star(large, g))
-    raise RuntimeError("connected components did not converge")
 
 
-def connected_components(edges: DataFrame, group: Sequence[str] = (), max_rounds: int = 200) -> DataFrame:
+def connected_components(edges: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """``(group..., v, component)`` for every endpoint; component = smallest vertex id it reaches.
 
     The input is read once: its canonical edges and its vertex list are materialised together, so an
@@ -84,23 +83,23 @@ def connected_components(edges: DataFrame, group: Sequence[str] = (), max_rounds
     """
     g = list(group)
     base = _ckpt(edges.select(*g, F.greatest("src", "trg").alias("hi"), F.least("src", "trg").alias("lo")).distinct())
-    stars = _converge(_ckpt(base.where(F.col("hi") != F.col("lo"))), g, max_rounds)
+    stars = _converge(_ckpt(base.where(F.col("hi") != F.col("lo"))), g)
     verts = base.select(*g, F.explode(F.array("hi", "lo")).alias("v")).distinct()
     labels = stars.select(*g, F.col("hi").alias("v"), F.col("lo").alias("component"))
     return _ckpt(verts.join(labels, g + ["v"], "left")
                  .select(*g, "v", F.coalesce("component", "v").alias("component")))
 
 
-def connected_components_tree(edges: DataFrame, buckets: int = 8, max_rounds: int = 200) -> DataFrame:
+def connected_components_tree(edges: DataFrame, buckets: int = 8) -> DataFrame:
     """Tree form: contract each hash bucket of the edges locally (components per bucket, all buckets in
     the same jobs), then solve the contracted label graph. Equals :func:`connected_components`."""
     b = edges.select("src", "trg", F.pmod(F.xxhash64("src", "trg"), F.lit(buckets)).alias("_b"))
-    local = connected_components(b, ["_b"], max_rounds)
+    local = connected_components(b, ["_b"])
     contracted = local.select(F.col("v").alias("src"), F.col("component").alias("trg"))
-    return connected_components(contracted, (), max_rounds)
+    return connected_components(contracted)
 
 
-def connected_components_iterative(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def connected_components_iterative(edges: DataFrame) -> DataFrame:
     """Min-label propagation with pointer jumping, a driver loop until no label changes.
 
     Round: ``L(v) <- min(L(v), L(w) for neighbours w)``, then ``L(v) <- L(L(v))``.
@@ -113,7 +112,7 @@ def connected_components_iterative(edges: DataFrame, max_rounds: int = 1000) ->
     und = _ckpt(und)
     labels = _ckpt(base.select(F.explode(F.array("src", "trg")).alias("v")).distinct()
                    .select("v", F.col("v").alias("label")))
-    for _ in range(max_rounds):
+    while True:
         nbr_min = (und.join(labels.select(F.col("v").alias("b"), F.col("label").alias("nl")), "b")
                    .groupBy("a").agg(F.min("nl").alias("nl")))
         hooked = (labels.join(nbr_min, labels.v == nbr_min.a, "left")
@@ -126,7 +125,6 @@ def connected_components_iterative(edges: DataFrame, max_rounds: int = 1000) ->
         labels = jumped
         if changed == 0:
             return labels.select("v", F.col("label").alias("component"))
-    raise RuntimeError("label propagation did not converge")
 
 
 def component_sizes(labels: DataFrame) -> DataFrame:

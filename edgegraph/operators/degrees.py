@@ -45,6 +45,14 @@ def vertex_count(edges: DataFrame, approx: bool = False, rsd: float = 0.01) -> D
     return ends.agg(F.count_distinct("v").cast("bigint").alias("n_vertices"))
 
 
+def vertex_count_checked(edges: DataFrame, rsd: float = 0.01) -> DataFrame:
+    """Exact distinct vertices, and whether the HyperLogLog estimate lies within four standard errors of them."""
+    both = endpoints(edges).agg(F.count_distinct("v").cast("bigint").alias("n_vertices"),
+                                F.approx_count_distinct("v", rsd).alias("_n"))
+    return both.select("n_vertices", (F.abs(F.col("_n") - F.col("n_vertices")) <= F.col("n_vertices") * (4 * rsd))
+                       .alias("within_error"))
+
+
 def vertex_count_changelog(edges: DataFrame, order: str = "pos") -> DataFrame:
     """Running distinct-vertex count, one row per new vertex (emitted only when the count changes).
 

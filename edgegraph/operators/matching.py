@@ -3,49 +3,74 @@
 The reference accepts each arriving edge iff its weight exceeds twice the weight of the matched edges it
 collides with, in strict arrival order with parallelism 1. That sequential rule is not run here (it would
 put the whole graph, or its giant component, in one task). Instead, every round each vertex points to its
-heaviest live edge (ties: smaller endpoints); edges chosen from both ends are matched, edges touching a
-matched vertex die; repeat until no live edge remains. The result is the greedy matching by descending
-weight, a 1/2-approximation of the maximum weight matching, and vertex-disjoint by construction.
-Every round is one aggregate (combined map-side) and semi/anti joins; the live edge table is checkpointed.
+first live edge in a fixed priority; edges chosen from both ends are matched, edges touching a matched
+vertex die; this repeats until no live edge remains, however many rounds that takes. The result is the
+greedy matching in priority order and vertex-disjoint by construction.
+
+Two priorities:
+
+* :func:`locally_dominant_matching`: heavier first, then smaller endpoints. A 1/2-approximation of the maximum
+  weight matching. Weights that rise along a path need a number of rounds linear in its length.
+* :func:`weight_class_matching`: power-of-two weight classes, a hash within a class. A 1/4-approximation (a rejected edge is
+  blocked by one of at least half its weight); random priorities need O(log n) rounds per class with high probability.
+
+Every round is one aggregate (combined map-side) and semi/anti joins. The live edges are checkpointed, and the
+matched edges of all rounds are appended to one table, so the plan does not grow with the rounds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edgegraph.functions import md5_bigint
 from edgegraph.session import ensure_checkpoint_dir
 
 
-def locally_dominant_matching(edges: DataFrame, weight: str = "amount", max_rounds: int = 10000) -> DataFrame:
-    """(src, trg, weight) of the matching; parallel edges keep their largest weight, self-loops drop."""
+def _rounds(edges: DataFrame, weight: str, priority: Column) -> tuple[DataFrame, int]:
+    """(matched edges, number of rounds); ``priority`` orders edges (a, b, w), largest first, without ties."""
     spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/matching-{uuid.uuid4().hex}"
     live = (edges.select(F.least("src", "trg").alias("a"), F.greatest("src", "trg").alias("b"),
-                         F.col(weight).alias("w"))
+                         F.col(weight).cast("bigint").alias("w"))
             .where(F.col("a") != F.col("b"))
             .groupBy("a", "b").agg(F.max("w").alias("w"))).checkpoint(eager=True)
-    rounds: list[DataFrame] = []
-    for _ in range(max_rounds):
-        if live.limit(1).count() == 0:
-            break
-        # each vertex's best live edge: heavier first, then smaller (a, b)
-        rank = F.struct(F.col("w"), (-F.col("a")).alias("na"), (-F.col("b")).alias("nb"))
-        ends = live.select(F.explode(F.array(F.col("a"), F.col("b"))).alias("v"), "a", "b", "w")
-        best = ends.groupBy("v").agg(F.max_by(F.struct("a", "b"), rank).alias("e"))
+    live.limit(0).write.parquet(f"{folder}/round=0")
+    n = 0
+    while live.limit(1).count():
+        n += 1
+        ends = live.select(F.explode(F.array(F.col("a"), F.col("b"))).alias("v"), "a", "b", priority.alias("p"))
+        best = ends.groupBy("v").agg(F.max_by(F.struct("a", "b"), "p").alias("e"))
         picked = best.select("e.a", "e.b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") == 2)
-        new = live.join(picked.select("a", "b"), ["a", "b"], "left_semi").checkpoint(eager=True)
-        rounds.append(new)
-        used = new.select(F.explode(F.array("a", "b")).alias("v"))
+        live.join(picked.select("a", "b"), ["a", "b"], "left_semi").write.mode("overwrite").parquet(f"{folder}/round={n}")
+        used = spark.read.parquet(f"{folder}/round={n}").select(F.explode(F.array("a", "b")).alias("v"))
         live = (live.join(used.withColumnRenamed("v", "a"), "a", "left_anti")
                 .join(used.withColumnRenamed("v", "b"), "b", "left_anti")
                 .select("a", "b", "w")).checkpoint(eager=True)
-    if not rounds:
-        return spark.createDataFrame([], "src bigint, trg bigint, weight bigint")
-    matched = rounds[0]
-    for r in rounds[1:]:
-        matched = matched.unionByName(r)
-    return matched.select(F.col("a").alias("src"), F.col("b").alias("trg"), F.col("w").cast("bigint").alias("weight"))
+    matched = spark.read.parquet(folder)
+    return matched.select(F.col("a").alias("src"), F.col("b").alias("trg"), F.col("w").alias("weight")), n
+
+
+def _heaviest() -> Column:
+    return F.struct(F.col("w"), (-F.col("a")).alias("na"), (-F.col("b")).alias("nb"))
+
+
+def _classes() -> Column:
+    size = F.when(F.col("w") > 0, F.length(F.bin("w"))).otherwise(0)
+    return F.struct(size.alias("c"), md5_bigint(F.lit("match"), F.col("a"), F.col("b")).alias("h"),
+                    (-F.col("a")).alias("na"), (-F.col("b")).alias("nb"))
+
+
+def locally_dominant_matching(edges: DataFrame, weight: str = "amount") -> DataFrame:
+    """(src, trg, weight) of the greedy matching by weight; parallel edges keep their largest weight, self-loops drop."""
+    return _rounds(edges, weight, _heaviest())[0]
+
+
+def weight_class_matching(edges: DataFrame, weight: str = "amount") -> DataFrame:
+    """(src, trg, weight) of the greedy matching by power-of-two weight class and hash."""
+    return _rounds(edges, weight, _classes())[0]
 
 
 def matching_weight(matching: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ gathered into one task) instead of opaque per-neighbourhood code.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,8 +49,10 @@ def reduce_on_edges(sliced: DataFrame, value: str, op: str) -> DataFrame:
 
 
 def neighborhood_summary(sliced: DataFrame) -> DataFrame:
-    return aggregate_neighbors(sliced, [F.count(F.lit(1)).cast("bigint").alias("n_edges"),
-                                        F.count_distinct("nbr").cast("bigint").alias("n_nbrs")])
+    """Edges and distinct neighbours, as two levels of plain aggregates: per neighbour, then per vertex."""
+    per_nbr = sliced.groupBy("window", "v", "nbr").agg(F.count(F.lit(1)).alias("_n"))
+    return _finish(per_nbr.groupBy("window", "v").agg(F.sum("_n").cast("bigint").alias("n_edges"),
+                                                      F.count(F.lit(1)).cast("bigint").alias("n_nbrs")))
 
 
 def fold_neighbors(sliced: DataFrame, order: str = "pos") -> DataFrame:
@@ -60,10 +62,38 @@ def fold_neighbors(sliced: DataFrame, order: str = "pos") -> DataFrame:
                                         F.count(F.lit(1)).cast("bigint").alias("n_edges")])
 
 
-def apply_on_neighbors(sliced: DataFrame, value: str = "amount") -> DataFrame:
-    """``applyOnNeighbors`` emitting 0..n rows per neighbourhood: the neighbours whose edge value is at
-    least the neighbourhood mean. Group statistics are an aggregate joined back (no group collected)."""
-    stats = sliced.groupBy("window", "v").agg(F.sum(value).alias("_s"), F.count(F.lit(1)).alias("_n"))
-    return _finish(sliced.join(stats, ["window", "v"])
-                   .where(F.col(value) * F.col("_n") >= F.col("_s"))
-                   .select("window", "v", "nbr", value))
+def fold_edges(sliced: DataFrame, value: Column, zero: Column, add: Callable[[Column, Column], Column],
+               merge: Callable[[Column, Column], Column], finish: Callable[[Column], Column] = lambda acc: acc,
+               name: str = "result", group: int = 1024) -> DataFrame:
+    """User fold of a neighbourhood in mergeable form, as column functions: ``add(acc, value)`` folds an edge in, ``merge(a, b)``
+    combines two results (in any grouping and order), ``finish(acc)`` makes the output column ``name``.
+
+    A (window, vertex) is folded in hash buckets of about ``group`` edges and the results are merged ``group`` at a time, level by
+    level, until one is left: the number of levels follows the largest neighbourhood, and no list is longer than about ``group``.
+    """
+    keys = ["window", "v"]
+    rows = sliced.select(*keys, value.alias("_x"), F.xxhash64(*sliced.columns).alias("_h"))
+    most = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 1
+    buckets = -(-most // group)
+    part = (rows.withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets))).groupBy(*keys, "_b")
+            .agg(F.aggregate(F.collect_list("_x"), zero, add).alias("_acc")))
+    while buckets > 1:
+        buckets = -(-buckets // group)
+        part = (part.withColumn("_b", F.pmod("_b", F.lit(buckets))).groupBy(*keys, "_b")
+                .agg(F.aggregate(F.collect_list("_acc"), zero, merge).alias("_acc")))
+    return _finish(part.select(*keys, finish(F.col("_acc")).alias(name)))
+
+
+def apply_on_neighbors(sliced: DataFrame, value: str = "amount", aggs: Sequence[Column] | None = None,
+                       keep: Column | None = None, output: Sequence[Column] | None = None) -> DataFrame:
+    """``applyOnNeighbors`` emitting 0..n rows per neighbourhood: the user's aggregates of the neighbourhood (``aggs``, aliased) are
+    joined back to its edges, the rows where ``keep`` holds stay and ``output`` columns are emitted.
+
+    By default the neighbours whose edge value is at least the neighbourhood mean. No group is collected."""
+    if aggs is None:
+        aggs = [F.sum(value).alias("_s"), F.count(F.lit(1)).alias("_n")]
+        keep = F.col(value) * F.col("_n") >= F.col("_s")
+    stats = sliced.groupBy("window", "v").agg(*aggs)
+    out = [F.col("nbr"), F.col(value)] if output is None else list(output)
+    rows = sliced.join(stats, ["window", "v"])
+    return _finish((rows if keep is None else rows.where(keep)).select("window", "v", *out))

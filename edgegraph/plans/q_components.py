@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from edgegraph.operators import bipartite as B
 from edgegraph.operators import components as C
 from edgegraph.plans.catalog import register
@@ -42,9 +44,11 @@ def cc_members(spark, sf_dir):
 def _cover(view: str) -> str:
     return f"""dc AS (SELECT 2 * src AS src, 2 * trg + 1 AS trg FROM {view} UNION ALL SELECT 2 * src + 1, 2 * trg FROM {view}),
 {components_cte("dc")},
-pv AS (SELECT v // 2 AS v, min(CASE WHEN v % 2 = 0 THEN component END) AS ce,
-              min(CASE WHEN v % 2 = 1 THEN component END) AS co FROM cc GROUP BY v // 2),
-sv AS (SELECT v, least(ce, co) // 2 AS component, ce = 2 * (least(ce, co) // 2) AS sign, ce = co AS conflict FROM pv)"""
+half AS (SELECT (v - (v % 2 + 2) % 2) // 2 AS v, (v % 2 + 2) % 2 AS side, component FROM cc),
+pv AS (SELECT v, min(CASE WHEN side = 0 THEN component END) AS ce,
+              min(CASE WHEN side = 1 THEN component END) AS co FROM half GROUP BY v),
+sv AS (SELECT v, (least(ce, co) - (least(ce, co) % 2 + 2) % 2) // 2 AS component,
+              ce = least(ce, co) - (least(ce, co) % 2 + 2) % 2 AS sign, ce = co AS conflict FROM pv)"""
 
 
 @register("bip_flag", with_views(["user_edges"], """
@@ -66,3 +70,23 @@ SELECT component, v, sign FROM sv WHERE component NOT IN (SELECT component FROM
     ctes=_cover("cust_edges"), recursive=True))
 def bip_signs(spark, sf_dir):
     return B.signed_vertices(cust_edges(spark, sf_dir))
+
+
+# Every third customer's id becomes negative, all lie beyond 2**53, where doubles skip integers.
+SHIFT = 9007199254740993
+
+
+def _shift(v: str) -> str:
+    return f"CASE WHEN {v} % 3 = 0 THEN -{SHIFT} - {v} ELSE {SHIFT} + {v} END"
+
+
+@register("bip_shifted", with_views(["cust_edges"], """
+SELECT v, component, sign, conflict FROM sv""", ctes=f"""shifted AS (
+    SELECT CAST({_shift("src")} AS BIGINT) AS src, CAST({_shift("trg")} AS BIGINT) AS trg FROM cust_edges
+    UNION ALL SELECT CAST({_shift("src")} AS BIGINT), CAST({_shift("src")} AS BIGINT) FROM cust_edges WHERE src % 50 = 0),
+{_cover("shifted")}""", recursive=True))
+def bip_shifted(spark, sf_dir):
+    e = cust_edges(spark, sf_dir)
+    src, trg = F.expr(_shift("src")).cast("bigint").alias("src"), F.expr(_shift("trg")).cast("bigint").alias("trg")
+    loops = e.where("src % 50 = 0").select(src, F.expr(_shift("src")).cast("bigint").alias("trg"))
+    return B.vertex_signs(e.select(src, trg).unionByName(loops))

@@ -11,7 +11,8 @@ from edgegraph.plans.catalog import register
 from edgegraph.sources import edge_lines
 from edgegraph.sources.text import decode
 
-ROUNDS = """
+def _rounds(order: str) -> str:
+    return f"""
 e AS (SELECT least(l_suppkey, l_partkey + 1000000) AS a, greatest(l_suppkey, l_partkey + 1000000) AS b,
              max(CAST(l_quantity AS BIGINT) * 10) AS w
       FROM lineitem WHERE l_suppkey <> l_partkey + 1000000 GROUP BY 1, 2),
@@ -21,7 +22,7 @@ r(a, b, w, st) AS (
   (WITH live AS (SELECT a, b, w FROM r WHERE st = 'L'),
         ends AS (SELECT a AS v, a, b, w FROM live UNION ALL SELECT b AS v, a, b, w FROM live),
         best AS (SELECT v, a, b FROM (
-                   SELECT *, row_number() OVER (PARTITION BY v ORDER BY w DESC, a, b) AS rn FROM ends) WHERE rn = 1),
+                   SELECT *, row_number() OVER (PARTITION BY v ORDER BY {order}) AS rn FROM ends) WHERE rn = 1),
         picked AS (SELECT a, b FROM best GROUP BY a, b HAVING count(*) = 2),
         used AS (SELECT a AS v FROM picked UNION SELECT b FROM picked)
    SELECT l.a, l.b, l.w, 'N' FROM live l JOIN picked p ON l.a = p.a AND l.b = p.b
@@ -29,6 +30,11 @@ r(a, b, w, st) AS (
    SELECT l.a, l.b, l.w, 'L' FROM live l WHERE l.a NOT IN (SELECT v FROM used) AND l.b NOT IN (SELECT v FROM used)))"""
 
 
+ROUNDS = _rounds("w DESC, a, b")
+CLASSES = _rounds("CASE WHEN w > 0 THEN length(bin(w)) ELSE 0 END DESC, "
+                  "CAST('0x' || substr(md5('match:' || a || ':' || b), 1, 15) AS BIGINT) DESC, a, b")
+
+
 def _ratings(spark, sf_dir):
     return decode(edge_lines(spark, sf_dir, "rating"), "rating")
 
@@ -43,3 +49,9 @@ def match_locally_dominant(spark, sf_dir):
 SELECT CAST(count(*) AS BIGINT) AS n_matched, CAST(coalesce(sum(w), 0) AS BIGINT) AS total_weight FROM r WHERE st = 'N'""")
 def match_final_weight(spark, sf_dir):
     return Ma.matching_weight(Ma.locally_dominant_matching(_ratings(spark, sf_dir), "amount"))
+
+
+@register("match_weight_classes", "WITH RECURSIVE " + CLASSES.strip() + """
+SELECT a AS src, b AS trg, w AS weight FROM r WHERE st = 'N'""")
+def match_weight_classes(spark, sf_dir):
+    return Ma.weight_class_matching(_ratings(spark, sf_dir), "amount")

@@ -72,3 +72,28 @@ JOIN (SELECT w_start, v, sum(amount) AS t, count(*) AS n FROM s GROUP BY ALL) g
 WHERE s.amount * g.n >= g.t""", ctes=f"s AS ({ALL})"))
 def slice_apply_neighbors(spark, sf_dir):
     return S.apply_on_neighbors(S.slice_edges(user_edges(spark, sf_dir), SIZE, "all"), "amount")
+
+
+PRIME = 1000003
+
+
+@register("slice_fold_product", _sql(ALL, f"""
+       list_reduce(list_concat([1::BIGINT], list((amount % {PRIME})::BIGINT)), lambda a, x: a * x % {PRIME}) AS product"""))
+def slice_fold_product(spark, sf_dir):
+    """Product of the amounts modulo a prime: a fold that no built-in aggregate gives."""
+    sl = S.slice_edges(user_edges(spark, sf_dir), SIZE, "all")
+    mod = F.lit(PRIME).cast("bigint")
+    times = lambda a, x: a * x % mod
+    return S.fold_edges(sl, (F.col("amount") % mod).cast("bigint"), F.lit(1).cast("bigint"), times, times, name="product", group=16)
+
+
+@register("slice_apply_top", with_views(["user_edges"], f"""
+SELECT s.w_start, s.w_start + {W} AS w_end, s.v, s.nbr, s.amount * 100 // g.t AS share FROM s
+JOIN (SELECT w_start, v, CAST(sum(amount) AS BIGINT) AS t, max(amount) AS m FROM s GROUP BY ALL) g USING (w_start, v)
+WHERE s.amount = g.m AND g.t > 0""", ctes=f"s AS ({ALL})"))
+def slice_apply_top(spark, sf_dir):
+    """Neighbours with the largest amount and their share of the total: user aggregates, row rule and output."""
+    sl = S.slice_edges(user_edges(spark, sf_dir), SIZE, "all")
+    return S.apply_on_neighbors(sl, aggs=[F.sum("amount").alias("t"), F.max("amount").alias("m")],
+                                keep=(F.col("amount") == F.col("m")) & (F.col("t") > 0),
+                                output=[F.col("nbr"), F.expr("amount * 100 div t").alias("share")])

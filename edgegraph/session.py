@@ -7,6 +7,7 @@ for tests, the bench and the examples, where nothing is configured yet.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,8 +43,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only where none is configured.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...). Only a local-mode
-    session (tests, bench) may fall back to a fresh temporary folder.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...). Only a session
+    whose driver is its only process (``local``, ``local[N]``: tests, bench) falls back to a fresh temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             configured = None
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for iterative operators")
         configured = tempfile.mkdtemp(prefix="edgegraph-ckpt-")
     sc.setCheckpointDir(configured)
