@@ -44,8 +44,11 @@ class SnapshotStream:
     def fold_neighbors(self, order: str = "pos") -> DataFrame:
         return _snap.fold_neighbors(self.df, order)
 
-    def apply_on_neighbors(self, value: str = "amount") -> DataFrame:
-        return _snap.apply_on_neighbors(self.df, value)
+    def apply_on_neighbors(self, value: str = "amount", **rule) -> DataFrame:
+        return _snap.apply_on_neighbors(self.df, value, **rule)
+
+    def fold_edges(self, value, zero, add, merge, **options) -> DataFrame:
+        return _snap.fold_edges(self.df, value, zero, add, merge, **options)
 
     def summary(self) -> DataFrame:
         return _snap.neighborhood_summary(self.df)
@@ -197,6 +200,9 @@ class EdgeStream:
     def weighted_matching(self, weight: str = "amount") -> DataFrame:
         return _match.locally_dominant_matching(self.df, weight)
 
+    def weighted_matching_by_class(self, weight: str = "amount") -> DataFrame:
+        return _match.weight_class_matching(self.df, weight)
+
     # ---- transaction patterns ----------------------------------------------------------------
     def money_movement_alerts(self, rule: _pat.MoneyMovement = _pat.MoneyMovement()) -> DataFrame:
         return _pat.money_movement_alerts(self.df, rule)

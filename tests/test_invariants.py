@@ -96,3 +96,59 @@ def test_summary_tree_equals_bulk(spark):
     a = {tuple(r) for r in Su.summarize_bulk(e, "6 hours", spec, buckets=5).collect()}
     b = {tuple(r) for r in Su.summarize_tree(e, "6 hours", spec, buckets=5).collect()}
     assert a == b
+
+
+def test_matching_of_a_rising_path_is_complete(spark):
+    from edgegraph.operators import matching as Ma
+    n = 24
+    e = spark.createDataFrame([(i, i + 1, 100 + i) for i in range(n)], "src bigint, trg bigint, amount bigint")
+    heavy, rounds = Ma._rounds(e, "amount", Ma._heaviest())
+    assert sorted(r["src"] for r in heavy.collect()) == list(range(1, n, 2)) and rounds == n // 2
+    light, rounds = Ma._rounds(e, "amount", Ma._classes())
+    used = [v for r in light.collect() for v in (r["src"], r["trg"])]
+    assert len(used) == len(set(used)) and rounds <= 8
+    assert all(i in used or i + 1 in used for i in range(n))  # maximal
+    best = sum(100 + i for i in range(1, n, 2))
+    assert sum(r["weight"] for r in light.collect()) * 4 >= best
+
+
+def test_bipartiteness_on_negative_and_large_ids(spark):
+    from edgegraph.operators import bipartite as B
+    mk = lambda *e: spark.createDataFrame(list(e), "src bigint, trg bigint")
+    assert B.is_bipartite(mk((-1, -2), (-2, -3), (-3, -1))).first()["bipartite"] is False
+    assert B.is_bipartite(mk((-1, -2), (-2, -3), (-3, -4), (-4, -1))).first()["bipartite"] is True
+    for a in (2 ** 53 + 1, 2 ** 62 + 1, -(2 ** 62) - 7):
+        got = sorted(tuple(r) for r in B.vertex_signs(mk((a, a + 2))).collect())
+        assert got == [(a, a, True, False), (a + 2, a, False, False)]
+        odd = B.component_bipartite(mk((a, a + 1), (a + 1, a + 2), (a + 2, a), (5, 6))).collect()
+        assert {tuple(r) for r in odd} == {(a, False, 3), (5, True, 2)}
+
+
+def test_spanner_contract_for_every_k(spark):
+    from edgegraph.operators import spanner as Sp
+    import random
+    rng = random.Random(8)
+    rows = {(a, b) for a in range(60) for b in range(a) if rng.random() < 0.5}
+    e = spark.createDataFrame(list(rows), "src bigint, trg bigint")
+    sizes = {}
+    for k in (1, 3, 5, 7):
+        sp = Sp.spanner(e, k)
+        r = Sp.stretch_check(e, sp, k).first()
+        assert r["n_violations"] == 0 and r["n_edges"] == len(rows)
+        sizes[k] = r["n_spanner_edges"]
+    assert sizes[1] == len(rows) and sizes[3] < sizes[1] and sizes[5] < sizes[1]
+
+
+def test_user_fold_of_a_hub(spark):
+    from edgegraph.operators import snapshot as S
+    from pyspark.sql import functions as F
+    rows = [(1, i, (i * 37) % 101 + 1, 0) for i in range(3000)] + [(2, 5, 7, 0)]
+    e = spark.createDataFrame(rows, "src bigint, trg bigint, amount bigint, t bigint").withColumn("ts", F.timestamp_millis("t")).drop("t")
+    sl = S.slice_edges(e, "1 hour", "out")
+    mod = F.lit(1000003).cast("bigint")
+    got = {r["v"]: r["p"] for r in S.fold_edges(sl, F.col("amount"), F.lit(1).cast("bigint"), lambda a, x: a * x % mod,
+                                                lambda a, b: a * b % mod, name="p", group=8).collect()}
+    exp = 1
+    for r in rows[:3000]:
+        exp = exp * r[2] % 1000003
+    assert got == {1: exp, 2: 7}

@@ -36,7 +36,7 @@ def test_query(spark, con, name):
         for f in df.schema.fields:
             assert names.get(f.dataType.simpleString()) == duck_types[f.name], (f.name, f.dataType, duck_types[f.name])
     else:
-        assert r["spark_rows"] >= 0
+        pytest.fail(f"{name} has no oracle")
 
 
 def test_flagship_alert_count(spark):

@@ -57,4 +57,4 @@ def test_file_stream_and_console_sink(spark, tmpdir_path):
          .format("console").option("checkpointLocation", os.path.join(tmpdir_path, "ck"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    assert q.lastProgress["numInputRows"] >= 0
+    assert sum(p["numInputRows"] for p in q.recentProgress) == lines.count()
