@@ -127,7 +127,11 @@ class EdgeStream:
         return _deg.global_aggregate(self.df, value, op, order, collect_updates)
 
     def build_neighborhood(self, directed: bool = True) -> DataFrame:
-        return _deg.neighborhoods(self.df, directed)
+        """Final neighbour sets as rows (v, nbr, idx)."""
+        return _deg.neighborhood_rows(self.df, directed)
+
+    def running_neighborhood(self, directed: bool = True, order: str = "pos") -> DataFrame:
+        return _deg.running_neighborhood(self.df, directed, order)
 
     def running_neighborhood_size(self, order: str = "pos") -> DataFrame:
         return _deg.running_neighborhood_size(self.df, order)

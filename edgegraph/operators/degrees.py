@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgegraph.functions import sorted_csv, win_end_ms, win_start_ms
+from edgegraph.functions import win_end_ms, win_start_ms
 from edgegraph.operators.positions import OrderedFrame, keyed_position, with_position
 from edgegraph.operators.transforms import endpoints
 
@@ -92,12 +92,6 @@ def global_aggregate(edges: DataFrame, value: Column, op: str = "max", order: st
             .select(F.col("_o").alias(order), "value"))
 
 
-def emit_on_change(df: DataFrame, value: str, order: str) -> DataFrame:
-    """Drop rows whose ``value`` equals the previous row's (in ``order``, a dense 1..n position)."""
-    prev = df.select((F.col(order) + 1).alias(order), F.col(value).alias("_prev"))
-    return df.join(prev, order, "left").where(~F.col(value).eqNullSafe(F.col("_prev"))).drop("_prev")
-
-
 def neighborhood_rows(edges: DataFrame, directed: bool = True) -> DataFrame:
     """Final neighbour sets as rows: (v, nbr, idx) with ``idx`` the 1-based rank of ``nbr`` in v's sorted
     set. A keyed ordered scan, so a hub's neighbour set is spread over many tasks, never one row."""
@@ -122,11 +116,6 @@ def neighborhoods(edges: DataFrame, directed: bool = True) -> DataFrame:
             .select(F.col("src").alias("v"), "nbrs", F.size("nbrs").cast("bigint").alias("n_nbrs")))
 
 
-def neighborhoods_text(edges: DataFrame, directed: bool = True) -> DataFrame:
-    n = neighborhoods(edges, directed)
-    return n.select("v", sorted_csv(F.col("nbrs")).alias("nbrs"), "n_nbrs")
-
-
 def running_neighborhood_size(edges: DataFrame, order: str = "pos") -> DataFrame:
     """Per edge in arrival order: size of the source's neighbour set after the edge.
 
@@ -142,10 +131,24 @@ def running_neighborhood_size(edges: DataFrame, order: str = "pos") -> DataFrame
     return run.select(order, "src", "trg", F.col("n_nbrs").cast("bigint").alias("n_nbrs"))
 
 
+def running_neighborhood(edges: DataFrame, directed: bool = True, order: str = "pos") -> DataFrame:
+    """Per arriving edge and vertex ``v`` that it reaches: (v, nbr, order, side, is_new, n_nbrs).
+
+    ``is_new`` marks the first sight of the neighbour, so the set after any edge is the rows with ``is_new`` up to it, in
+    output linear in the edges; ``n_nbrs`` is its size. Undirected: both ends of an edge get a row (side 0 and 1)."""
+    ends = edges.select(F.col("src").alias("v"), F.col("trg").alias("nbr"), order, F.lit(0).alias("side"))
+    if not directed:
+        ends = ends.unionByName(edges.select(F.col("trg").alias("v"), F.col("src").alias("nbr"), order, F.lit(1).alias("side")))
+    firsts = ends.groupBy("v", "nbr").agg(F.min(F.struct(order, "side")).alias("_first"))
+    flagged = ends.join(firsts, ["v", "nbr"]).withColumn("is_new", F.struct(order, "side") == F.col("_first")).drop("_first")
+    run = OrderedFrame(flagged, ["v"], [order, "side"]).running("n_nbrs", F.col("is_new").cast("long"), "sum").result()
+    return run.select("v", "nbr", order, "side", "is_new", F.col("n_nbrs").cast("bigint").alias("n_nbrs"))
+
+
 def window_graph_size(edges: DataFrame, size: str) -> DataFrame:
     """Per tumbling window: number of vertices with outgoing edges (adjacency-map size)."""
-    return (edges.groupBy(F.window("ts", size).alias("window"))
-            .agg(F.count_distinct("src").cast("bigint").alias("graph_size"))
+    per_v = edges.groupBy(F.window("ts", size).alias("window"), "src").agg(F.count(F.lit(1)).alias("_n"))
+    return (per_v.groupBy("window").agg(F.count(F.lit(1)).cast("bigint").alias("graph_size"))
             .select(win_start_ms().alias("w_start"), win_end_ms().alias("w_end"), "graph_size"))
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgegraph.functions import HEX15_RANGE, md5_bigint
+from edgegraph.operators.positions import with_position
 
 # Fixed value: default seed text of the estimators.
 DEFAULT_SEED = "tri"
@@ -66,20 +67,26 @@ def _third(i, p, lo, hi, n, seed):
     return F.when(lo == hi, one).otherwise(two)
 
 
-def _stats(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)).alias("m"), (F.max(F.greatest("src", "trg")) + 1).alias("n")).first()
-    return int(row["m"]), int(row["n"])
+def vertex_ranks(edges: DataFrame) -> DataFrame:
+    """(v, r): every endpoint with its rank 0..n-1 in id order, so sparse and negative ids sample like dense ones."""
+    v = edges.select(F.explode(F.array("src", "trg")).alias("v")).distinct()
+    return with_position(v, ["v"], "_p").select("v", (F.col("_p") - 1).alias("r"))
 
 
-def samples_at(edges: DataFrame, chain: DataFrame, n: int, limits: list[int], seed: str) -> DataFrame:
-    """Per (instance, limit): the sample held after ``limit`` edges: (i, lim, p, a, b, t)."""
+def samples_at(edges: DataFrame, chain: DataFrame, ranks: DataFrame, n: int, limits: list[int], seed: str) -> DataFrame:
+    """Per (instance, limit): the sample held after ``limit`` edges: (i, lim, p, a, b, t).
+
+    The tables of samples have ``s`` times the number of limits as rows; Spark picks the joins by their size."""
     lims = F.explode(F.array(*[F.lit(int(x)).cast("long") for x in limits])).alias("lim")
     last = (chain.select("i", "p", lims).where(F.col("p") <= F.col("lim"))
             .groupBy("i", "lim").agg(F.max("p").alias("p")))
     pick = edges.select(F.col("pos").alias("p"), F.col("src").alias("a"), F.col("trg").alias("b"))
-    s = last.join(F.broadcast(pick.join(F.broadcast(last.select("p").distinct()), "p")), "p")
-    lo, hi = F.least("a", "b"), F.greatest("a", "b")
-    return s.select("i", "lim", "p", "a", "b", _third(F.col("i"), F.col("p"), lo, hi, F.lit(n), seed).alias("t"))
+    s = last.join(pick, "p")
+    s = (s.join(ranks.select(F.col("v").alias("a"), F.col("r").alias("ra")), "a")
+         .join(ranks.select(F.col("v").alias("b"), F.col("r").alias("rb")), "b"))
+    third = _third(F.col("i"), F.col("p"), F.least("ra", "rb"), F.greatest("ra", "rb"), F.lit(n), seed)
+    return (s.select("i", "lim", "p", "a", "b", third.alias("r"))
+            .join(ranks.select("r", F.col("v").alias("t")), "r").drop("r"))
 
 
 def _closing_pairs(samples: DataFrame) -> DataFrame:
@@ -90,10 +97,14 @@ def _closing_pairs(samples: DataFrame) -> DataFrame:
         "i", "lim", "p", "n_need", "c.x", "c.y")
 
 
-def _beta_broadcast(edges: DataFrame, samples: DataFrame) -> DataFrame:
+# Rows of the sample table up to which it is broadcast; beyond it Spark joins it by its size.
+BROADCAST_ROWS = 200_000
+
+
+def _beta_broadcast(edges: DataFrame, samples: DataFrame, samples_are_many: bool = False) -> DataFrame:
     need = _closing_pairs(samples)
     e = edges.select(F.least("src", "trg").alias("x"), F.greatest("src", "trg").alias("y"), "pos")
-    hits = (e.join(F.broadcast(need), ["x", "y"])
+    hits = (e.join(need if samples_are_many else F.broadcast(need), ["x", "y"])
             .where((F.col("pos") > F.col("p")) & (F.col("pos") <= F.col("lim")))
             .select("i", "lim", "x", "y", "n_need").distinct())
     return (hits.groupBy("i", "lim").agg(F.count(F.lit(1)).alias("k"), F.first("n_need").alias("n_need"))
@@ -101,33 +112,37 @@ def _beta_broadcast(edges: DataFrame, samples: DataFrame) -> DataFrame:
 
 
 def _beta_incidence(edges: DataFrame, samples: DataFrame) -> DataFrame:
+    """Each sample watches the pairs (third, endpoint); edges are joined on the whole pair, so a hub is no hot key."""
     ends = edges.select(F.explode(F.array(F.struct(F.col("src").alias("v"), F.col("trg").alias("o")),
                                           F.struct(F.col("trg").alias("v"), F.col("src").alias("o")))).alias("x"),
                         "pos").select("x.v", "x.o", "pos")
-    smp = samples.select("i", "lim", "p", "a", "b", F.col("t").alias("v"))
-    hits = (ends.hint("shuffle_hash").join(smp, "v")
-            .where(((F.col("o") == F.col("a")) | (F.col("o") == F.col("b")))
-                   & (F.col("pos") > F.col("p")) & (F.col("pos") <= F.col("lim")))
-            .select("i", "lim", "o", F.size(F.array_distinct(F.array("a", "b"))).alias("n_need")).distinct())
+    watched = F.array_distinct(F.array("a", "b"))
+    smp = samples.select("i", "lim", "p", F.col("t").alias("v"), F.size(watched).alias("n_need"), F.explode(watched).alias("o"))
+    hits = (ends.join(smp, ["v", "o"]).where((F.col("pos") > F.col("p")) & (F.col("pos") <= F.col("lim")))
+            .select("i", "lim", "o", "n_need").distinct())
     return (hits.groupBy("i", "lim").agg(F.count(F.lit(1)).alias("k"), F.first("n_need").alias("n_need"))
             .select("i", "lim", (F.col("k") == F.col("n_need")).cast("long").alias("beta")))
 
 
 def estimate(edges: DataFrame, s: int, seed: str = DEFAULT_SEED, method: str = "broadcast",
-             prefixes: list[int] | None = None, n_vertices: int | None = None) -> DataFrame:
+             prefixes: list[int] | None = None) -> DataFrame:
     """Triangle estimate after the whole stream, or after each prefix size in ``prefixes``.
 
     ``edges`` needs a dense arrival position ``pos`` (1..m). Output per limit: (n_edges, beta_sum, estimate).
-    Vertex ids are taken as 0..n-1 with n = max id + 1 unless ``n_vertices`` is given.
+    The third vertex is drawn among the ``n`` vertices by rank, so ids may be sparse or negative.
     """
     spark = edges.sparkSession
-    m, n = _stats(edges)
-    n = n_vertices or n
+    m = edges.count()
+    ranks = vertex_ranks(edges)
+    n = ranks.count()
+    if m == 0 or n < 3:  # nothing to sample, or no third vertex
+        return spark.createDataFrame([(int(x), 0, 0) for x in prefixes or [m]], "n_edges long, beta_sum long, estimate long")
     lims = prefixes or [m]
     limits = spark.createDataFrame([(int(x),) for x in lims], "lim long")
     chain = sample_chain(spark, m, s, seed)
-    smp = samples_at(edges, chain, n, lims, seed)
-    beta = _beta_broadcast(edges, smp) if method == "broadcast" else _beta_incidence(edges, smp)
+    smp = samples_at(edges, chain, ranks, n, lims, seed)
+    beta = (_beta_broadcast(edges, smp, 2 * s * len(lims) > BROADCAST_ROWS) if method == "broadcast"
+            else _beta_incidence(edges, smp))
     per = limits.join(beta.groupBy("lim").agg(F.sum("beta").alias("beta_sum")), "lim", "left")
     bsum = F.coalesce(F.col("beta_sum"), F.lit(0)).cast("long")
     est = F.floor(F.lit(1.0 / s) * bsum * F.col("lim") * F.lit(n - 2)).cast("long")

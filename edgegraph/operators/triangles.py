@@ -1,9 +1,9 @@
 """Exact and windowed triangle counting (H8, H9, C11).
 
 Edges are deduplicated to canonical pairs and oriented from lower to higher (degree, id). Under that
-orientation every vertex has at most sqrt(2m) out-neighbours, so each out-list is bounded. A triangle
-u < w < x (in that order) is found exactly once, at its edge (u, w), as ``x`` in
-``array_intersect(out(u), out(w))``: one row per oriented edge, no enumeration of neighbour pairs.
+orientation every vertex has at most sqrt(2m) out-neighbours; its out-list is cut into chunks of bounded length. A
+triangle u < w < x (in that order) is found exactly once, at its edge (u, w), as ``x`` in
+``array_intersect(out(u), out(w))``, chunk by chunk: no enumeration of neighbour pairs.
 
 ``group`` columns (a window, for instance) solve each group's graph independently in the same jobs.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from edgegraph.functions import win_max_ts
 from edgegraph.operators.positions import OrderedFrame
+from edgegraph.session import ensure_checkpoint_dir
 
 
 def canonical_edges(edges: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -37,13 +38,24 @@ def oriented(canon: DataFrame, group: Sequence[str] = ()) -> DataFrame:
                     F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("w"))
 
 
+# Out-lists are cut by a hash of the neighbour into chunks of about this many ids.
+CHUNK = 512
+
+
 def closing_vertices(canon: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """(group..., u, w, xs): per oriented edge, the third vertices of the triangles found at it."""
+    """(group..., u, w, xs): per oriented edge and chunk, the third vertices of the triangles found at it.
+
+    Out-lists are aligned in chunks keyed (vertex, hash(neighbour) mod B), with B from the longest list, so a row
+    holds about ``CHUNK`` ids whatever the degrees, and a hub's list is intersected by many tasks."""
     g = list(group)
-    o = oriented(canon, g)
-    out = o.groupBy(*g, "u").agg(F.collect_list("w").alias("nu"))
+    ensure_checkpoint_dir(canon.sparkSession)
+    o = oriented(canon, g).checkpoint(eager=True)
+    longest = o.groupBy(*g, "u").count().agg(F.max("count")).first()[0] or 0
+    buckets = max(1, -(-longest // CHUNK))
+    chunk = F.pmod(F.xxhash64("w"), F.lit(buckets)).alias("c")
+    out = o.groupBy(*g, "u", chunk).agg(F.collect_list("w").alias("nu"))
     t = (o.join(out, g + ["u"])
-         .join(out.select(*g, F.col("u").alias("w"), F.col("nu").alias("nw")), g + ["w"]))
+         .join(out.select(*g, F.col("u").alias("w"), "c", F.col("nu").alias("nw")), g + ["w", "c"]))
     return (t.select(*g, "u", "w", F.array_intersect("nu", "nw").alias("xs"))
             .where(F.size("xs") > 0))
 

@@ -83,7 +83,7 @@ def agg_global_custom(spark, sf_dir):
 SELECT src AS v, trg AS nbr, row_number() OVER (PARTITION BY src ORDER BY trg) AS idx
 FROM (SELECT DISTINCT src, trg FROM user_edges)"""))
 def nbr_final(spark, sf_dir):
-    return D.neighborhood_rows(user_edges(spark, sf_dir))
+    return D.neighborhood_rows(user_edges(spark, sf_dir, pos=False))
 
 
 @register("nbr_running", with_views(["user_edges"], """
@@ -93,6 +93,14 @@ def nbr_running(spark, sf_dir):
     return D.running_neighborhood_size(user_edges(spark, sf_dir))
 
 
+@register("nbr_running_undirected", with_views(["user_edges"], """
+SELECT v, nbr, pos, side, k = 1 AS is_new, CAST(sum(CASE WHEN k = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY v ORDER BY pos, side) AS BIGINT) AS n_nbrs
+FROM (SELECT *, row_number() OVER (PARTITION BY v, nbr ORDER BY pos, side) AS k FROM (
+  SELECT src AS v, trg AS nbr, pos, 0 AS side FROM user_edges UNION ALL SELECT trg, src, pos, 1 FROM user_edges))"""))
+def nbr_running_undirected(spark, sf_dir):
+    return D.running_neighborhood(user_edges(spark, sf_dir), directed=False)
+
+
 H1 = 3600000
 
 
@@ -100,7 +108,7 @@ H1 = 3600000
 SELECT ts - ts % {H1} AS w_start, ts - ts % {H1} + {H1} AS w_end, count(DISTINCT src) AS graph_size
 FROM user_edges GROUP BY 1, 2"""))
 def win_graph_size(spark, sf_dir):
-    return D.window_graph_size(user_edges(spark, sf_dir), "1 hour")
+    return D.window_graph_size(user_edges(spark, sf_dir, pos=False), "1 hour")
 
 
 D1 = 86400000

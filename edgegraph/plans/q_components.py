@@ -55,7 +55,7 @@ sv AS (SELECT v, (least(ce, co) - (least(ce, co) % 2 + 2) % 2) // 2 AS component
 SELECT NOT coalesce(bool_or(conflict), false) AS bipartite, count(*) AS n_vertices FROM sv""",
     ctes=_cover("user_edges"), recursive=True))
 def bip_flag(spark, sf_dir):
-    return B.is_bipartite(user_edges(spark, sf_dir))
+    return B.is_bipartite(user_edges(spark, sf_dir, pos=False))
 
 
 @register("bip_components", with_views(["cust_edges"], """

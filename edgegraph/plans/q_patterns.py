@@ -81,4 +81,4 @@ LEFT JOIN (SELECT DISTINCT w_start, src AS a, trg AS b, true AS hit FROM uw) h
 uw AS (SELECT * FROM (SELECT *, ts - ts % {S3} - {S3} * unnest(range(0, {W6 // S3 + 1})) AS w_start
        FROM user_edges) WHERE w_start <= ts AND ts < w_start + {W6})"""))
 def pattern_edge_probe(spark, sf_dir):
-    return P.edge_probe(user_edges(spark, sf_dir), PROBES, "6 hours", "3 hours")
+    return P.edge_probe(user_edges(spark, sf_dir, pos=False), PROBES, "6 hours", "3 hours")

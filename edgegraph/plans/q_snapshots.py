@@ -26,23 +26,23 @@ SUMMARY = "count(*) AS n_edges, count(DISTINCT nbr) AS n_nbrs"
 
 @register("slice_out", _sql(OUT, SUMMARY))
 def slice_out(spark, sf_dir):
-    return S.neighborhood_summary(S.slice_edges(user_edges(spark, sf_dir), SIZE, "out"))
+    return S.neighborhood_summary(S.slice_edges(user_edges(spark, sf_dir, pos=False), SIZE, "out"))
 
 
 @register("slice_in", _sql(IN, SUMMARY))
 def slice_in(spark, sf_dir):
-    return S.neighborhood_summary(S.slice_edges(user_edges(spark, sf_dir), SIZE, "in"))
+    return S.neighborhood_summary(S.slice_edges(user_edges(spark, sf_dir, pos=False), SIZE, "in"))
 
 
 @register("slice_all", _sql(ALL, SUMMARY))
 def slice_all(spark, sf_dir):
-    return S.neighborhood_summary(S.slice_edges(user_edges(spark, sf_dir), SIZE, "all"))
+    return S.neighborhood_summary(S.slice_edges(user_edges(spark, sf_dir, pos=False), SIZE, "all"))
 
 
 def _reduce(op):
     @register(f"slice_reduce_{op}", _sql(ALL, f"CAST({op}(amount) AS BIGINT) AS {op}_amount"))
     def q(spark, sf_dir):
-        return S.reduce_on_edges(S.slice_edges(user_edges(spark, sf_dir), SIZE, "all"), "amount", op) \
+        return S.reduce_on_edges(S.slice_edges(user_edges(spark, sf_dir, pos=False), SIZE, "all"), "amount", op) \
             .withColumn(f"{op}_amount", F.col(f"{op}_amount").cast("bigint"))
     return q
 
@@ -54,7 +54,7 @@ for _op in ("sum", "min", "max"):
 @register("slice_aggregate_neighbors", _sql(ALL, """count(*) AS n_edges, CAST(sum(amount) AS BIGINT) AS total_amount,
        max(nbr) AS max_nbr"""))
 def slice_aggregate_neighbors(spark, sf_dir):
-    sl = S.slice_edges(user_edges(spark, sf_dir), SIZE, "all")
+    sl = S.slice_edges(user_edges(spark, sf_dir, pos=False), SIZE, "all")
     return S.aggregate_neighbors(sl, [F.count(F.lit(1)).cast("bigint").alias("n_edges"),
                                       F.sum("amount").cast("bigint").alias("total_amount"),
                                       F.max("nbr").alias("max_nbr")])
@@ -71,7 +71,7 @@ SELECT s.w_start, s.w_start + {W} AS w_end, s.v, s.nbr, s.amount FROM s
 JOIN (SELECT w_start, v, sum(amount) AS t, count(*) AS n FROM s GROUP BY ALL) g USING (w_start, v)
 WHERE s.amount * g.n >= g.t""", ctes=f"s AS ({ALL})"))
 def slice_apply_neighbors(spark, sf_dir):
-    return S.apply_on_neighbors(S.slice_edges(user_edges(spark, sf_dir), SIZE, "all"), "amount")
+    return S.apply_on_neighbors(S.slice_edges(user_edges(spark, sf_dir, pos=False), SIZE, "all"), "amount")
 
 
 PRIME = 1000003
@@ -81,7 +81,7 @@ PRIME = 1000003
        list_reduce(list_concat([1::BIGINT], list((amount % {PRIME})::BIGINT)), lambda a, x: a * x % {PRIME}) AS product"""))
 def slice_fold_product(spark, sf_dir):
     """Product of the amounts modulo a prime: a fold that no built-in aggregate gives."""
-    sl = S.slice_edges(user_edges(spark, sf_dir), SIZE, "all")
+    sl = S.slice_edges(user_edges(spark, sf_dir, pos=False), SIZE, "all")
     mod = F.lit(PRIME).cast("bigint")
     times = lambda a, x: a * x % mod
     return S.fold_edges(sl, (F.col("amount") % mod).cast("bigint"), F.lit(1).cast("bigint"), times, times, name="product", group=16)
@@ -93,7 +93,7 @@ JOIN (SELECT w_start, v, CAST(sum(amount) AS BIGINT) AS t, max(amount) AS m FROM
 WHERE s.amount = g.m AND g.t > 0""", ctes=f"s AS ({ALL})"))
 def slice_apply_top(spark, sf_dir):
     """Neighbours with the largest amount and their share of the total: user aggregates, row rule and output."""
-    sl = S.slice_edges(user_edges(spark, sf_dir), SIZE, "all")
+    sl = S.slice_edges(user_edges(spark, sf_dir, pos=False), SIZE, "all")
     return S.apply_on_neighbors(sl, aggs=[F.sum("amount").alias("t"), F.max("amount").alias("m")],
                                 keep=(F.col("amount") == F.col("m")) & (F.col("t") > 0),
                                 output=[F.col("nbr"), F.expr("amount * 100 div t").alias("share")])

@@ -20,16 +20,16 @@ FROM pw WINDOW w AS (ORDER BY w_start ROWS UNBOUNDED PRECEDING)"""
 
 @register("summary_bulk", with_views(["user_edges"], CUMULATIVE, ctes=PER_WINDOW))
 def summary_bulk(spark, sf_dir):
-    return Su.summarize_bulk(user_edges(spark, sf_dir), SIZE, Su.edge_stats_spec("amount"))
+    return Su.summarize_bulk(user_edges(spark, sf_dir, pos=False), SIZE, Su.edge_stats_spec("amount"))
 
 
 @register("summary_tree", with_views(["user_edges"], CUMULATIVE, ctes=PER_WINDOW))
 def summary_tree(spark, sf_dir):
-    return Su.summarize_tree(user_edges(spark, sf_dir), SIZE, Su.edge_stats_spec("amount"))
+    return Su.summarize_tree(user_edges(spark, sf_dir, pos=False), SIZE, Su.edge_stats_spec("amount"))
 
 
 @register("summary_transient", with_views(["user_edges"], f"""
 SELECT w_start, w_start + {W} AS w_end, CAST(n_edges AS BIGINT) AS n_edges, min_amount, max_amount,
        CAST(sum_amount AS BIGINT) AS sum_amount FROM pw""", ctes=PER_WINDOW))
 def summary_transient(spark, sf_dir):
-    return Su.summarize_bulk(user_edges(spark, sf_dir), SIZE, Su.edge_stats_spec("amount"), cumulative=False)
+    return Su.summarize_bulk(user_edges(spark, sf_dir, pos=False), SIZE, Su.edge_stats_spec("amount"), cumulative=False)

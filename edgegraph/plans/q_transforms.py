@@ -64,7 +64,7 @@ def src_parse_signed(spark, sf_dir):
 @register("src_parse_timed", with_views(["user_edges"], """
 SELECT src, trg, ts FROM user_edges"""))
 def src_parse_timed(spark, sf_dir):
-    e = user_edges(spark, sf_dir)
+    e = user_edges(spark, sf_dir, pos=False)
     lines = e.select(F.concat_ws(" ", "src", "trg", F.unix_millis("ts").cast("string")).alias("value"))
     return ms(decode(lines, "timed"))
 
@@ -138,7 +138,7 @@ def g_canonical(spark, sf_dir):
 @register("g_union", with_views(["user_edges", "cust_edges"], """
 SELECT src, trg FROM user_edges UNION ALL SELECT src, trg FROM cust_edges"""))
 def g_union(spark, sf_dir):
-    return T.union(user_edges(spark, sf_dir).select("src", "trg"), cust_edges(spark, sf_dir))
+    return T.union(user_edges(spark, sf_dir, pos=False).select("src", "trg"), cust_edges(spark, sf_dir))
 
 
 @register("with_position", """

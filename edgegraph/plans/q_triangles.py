@@ -14,14 +14,14 @@ T = "t AS (SELECT x.a AS x1, x.b AS x2, y.b AS x3 FROM e x JOIN e y ON x.b = y.a
 @register("tri_exact_global", with_views(["user_edges"], "SELECT CAST(count(*) AS BIGINT) AS triangles FROM t",
                                          ctes=E + ",\n" + T))
 def tri_exact_global(spark, sf_dir):
-    return Tr.triangle_count(user_edges(spark, sf_dir))
+    return Tr.triangle_count(user_edges(spark, sf_dir, pos=False))
 
 
 @register("tri_exact_local", with_views(["user_edges"], """
 SELECT v, CAST(count(*) AS BIGINT) AS triangles FROM (SELECT x1 AS v FROM t UNION ALL SELECT x2 FROM t UNION ALL SELECT x3 FROM t)
 GROUP BY v UNION ALL SELECT -1, CAST(count(*) AS BIGINT) FROM t""", ctes=E + ",\n" + T))
 def tri_exact_local(spark, sf_dir):
-    return Tr.local_triangles(user_edges(spark, sf_dir))
+    return Tr.local_triangles(user_edges(spark, sf_dir, pos=False))
 
 
 @register("tri_exact_changelog", with_views(["user_edges"], """
@@ -43,4 +43,4 @@ we AS (SELECT DISTINCT ts - ts % {W6} AS w, least(src, trg) AS a, greatest(src,
 tc AS (SELECT x.w, count(*) AS n FROM we x JOIN we y ON x.w = y.w AND x.b = y.a
        JOIN we z ON z.w = x.w AND z.a = x.a AND z.b = y.b GROUP BY x.w)"""))
 def tri_window(spark, sf_dir):
-    return Tr.window_triangles(user_edges(spark, sf_dir), "6 hours")
+    return Tr.window_triangles(user_edges(spark, sf_dir, pos=False), "6 hours")

@@ -15,7 +15,7 @@ SELECT w_start, w_start + {H2} AS w_end, src, CAST(sum(amount) AS BIGINT) AS sum
   SELECT *, ts - ts % {H1} - {H1} * unnest(range(0, {H2 // H1 + 1})) AS w_start FROM user_edges)
 WHERE w_start <= ts AND ts < w_start + {H2} GROUP BY w_start, src"""))
 def win_sliding_sum(spark, sf_dir):
-    return Wn.sliding_sum(user_edges(spark, sf_dir), "2 hours", "1 hour")
+    return Wn.sliding_sum(user_edges(spark, sf_dir, pos=False), "2 hours", "1 hour")
 
 
 @register("win_count_tumbling", with_views(["user_edges"], """

@@ -31,8 +31,9 @@ def txn_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ntz_to_instant("l_shipdate").alias("ts")))
 
 
-def user_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transitions between consecutive events (by ts, event_id) of different users, with positions.
+def user_edges(spark: SparkSession, sf_dir: str, pos: bool = True) -> DataFrame:
+    """Transitions between consecutive events (by ts, event_id) of different users, with positions unless
+    ``pos`` is false (operators that do not need the arrival order then save a range shuffle and a table).
 
     The "next event" is found by a distributed position and an equi-join on ``pos + 1`` instead of a
     global ``lead`` window (which would run in one task).
@@ -46,7 +47,7 @@ def user_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.round(F.col("value") * 100).cast("bigint").alias("amount"),
                      ntz_to_instant("ts").alias("ts"),
                      F.col("event_id").alias("seq")))
-    return with_position(pairs, ["seq"], name="pos").drop("seq")
+    return with_position(pairs, ["seq"], name="pos").drop("seq") if pos else pairs.drop("seq")
 
 
 def signed_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,10 +77,10 @@ def cust_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def edge_lines(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     """Text lines (column ``value``) in one of the reference's input formats, built from the views."""
     if fmt == "pair":
-        e = user_edges(spark, sf_dir)
+        e = user_edges(spark, sf_dir, pos=False)
         return e.select(F.concat_ws(" ", "src", "trg").alias("value"))
     if fmt == "pair_tab":
-        e = user_edges(spark, sf_dir)
+        e = user_edges(spark, sf_dir, pos=False)
         return e.select(F.concat_ws("\t", "src", "trg").alias("value"))
     if fmt == "txn":
         e = txn_edges(spark, sf_dir)
