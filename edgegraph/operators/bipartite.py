@@ -43,7 +43,11 @@ def vertex_signs(edges: DataFrame) -> DataFrame:
     edges = edges.select(F.col("src").cast("bigint").alias("src"), F.col("trg").cast("bigint").alias("trg"))
     low, high = edges.agg(F.min(F.least("src", "trg")), F.max(F.greatest("src", "trg"))).first()
     wide = low is not None and (low < -_FITS or high >= _FITS)
-    cc = connected_components(_copies(edges, wide))
+    return _signs(connected_components(_copies(edges, wide)), wide)
+
+
+def _signs(cc: DataFrame, wide: bool) -> DataFrame:
+    """(v, component, sign, conflict) from the labels (v, component) of the double cover."""
     if wide:
         cc = cc.select(F.col("v.v").alias("v"), F.col("v.side").alias("side"), F.col("component.v").alias("c"),
                        F.col("component.side").alias("c_side"))
@@ -62,7 +66,15 @@ def vertex_signs(edges: DataFrame) -> DataFrame:
 
 def component_bipartite(edges: DataFrame) -> DataFrame:
     """(component, bipartite, size): false as soon as one vertex of the component conflicts."""
-    s = vertex_signs(edges)
+    return _per_component(vertex_signs(edges))
+
+
+def components_of_cover(labels: DataFrame) -> DataFrame:
+    """The same from the labels (v, component) of :func:`double_cover`'s components."""
+    return _per_component(_signs(labels, wide=False))
+
+
+def _per_component(s: DataFrame) -> DataFrame:
     return s.groupBy("component").agg((~F.bool_or("conflict")).alias("bipartite"),
                                       F.count(F.lit(1)).cast("bigint").alias("size"))
 

@@ -52,15 +52,28 @@ def _combine(df: DataFrame, keys: list[str], spec: Sequence[Field]) -> DataFrame
     return df.groupBy(*keys).agg(*[_MERGE[f.merge](f.name).alias(f.name) for f in spec])
 
 
+def window_partials(edges: DataFrame, size: str, spec: Sequence[Field], buckets: int = 8) -> DataFrame:
+    """Per-window values of some edges, mergeable with those of other edges by :func:`merge_fields`."""
+    return _finish(_combine(_partials(edges, size, spec, buckets), ["window"], spec), spec, cumulative=False)
+
+
+def merge_fields(parts: DataFrame, keys: list[str], spec: Sequence[Field]) -> DataFrame:
+    """Combine partial summaries that share ``keys``."""
+    return _combine(parts, keys, spec).select(*keys, *[F.col(f.name).cast("bigint").alias(f.name) for f in spec])
+
+
+def running_fields(per_window: DataFrame, spec: Sequence[Field]) -> DataFrame:
+    """Merge per-window values (w_start, w_end, fields) cumulatively in time order."""
+    of = OrderedFrame(per_window, [], ["w_start"])
+    for f in spec:
+        of = of.running(f"_c_{f.name}", F.col(f.name), f.cumulative)
+    return of.result().select("w_start", "w_end", *[F.col(f"_c_{f.name}").cast("bigint").alias(f.name) for f in spec])
+
+
 def _finish(per_window: DataFrame, spec: Sequence[Field], cumulative: bool) -> DataFrame:
     out = per_window.select(win_start_ms().alias("w_start"), win_end_ms().alias("w_end"),
-                            *[F.col(f.name) for f in spec])
-    if cumulative:
-        of = OrderedFrame(out, [], ["w_start"])
-        for f in spec:
-            of = of.running(f"_c_{f.name}", F.col(f.name), f.cumulative)
-        out = of.result().select("w_start", "w_end", *[F.col(f"_c_{f.name}").alias(f.name) for f in spec])
-    return out.select("w_start", "w_end", *[F.col(f.name).cast("bigint").alias(f.name) for f in spec])
+                            *[F.col(f.name).cast("bigint").alias(f.name) for f in spec])
+    return running_fields(out, spec) if cumulative else out
 
 
 def summarize_bulk(edges: DataFrame, size: str, spec: Sequence[Field], buckets: int = 8,
@@ -74,6 +87,6 @@ def summarize_tree(edges: DataFrame, size: str, spec: Sequence[Field], buckets:
     parts = _partials(edges, size, spec, buckets)
     width = buckets
     while width > 2:
-        parts = _combine(parts.withColumn("_b", F.floor(F.col("_b") / 2).cast("long")), ["window", "_b"], spec)
+        parts = _combine(parts.withColumn("_b", F.expr("_b div 2")), ["window", "_b"], spec)
         width = (width + 1) // 2
     return _finish(_combine(parts, ["window"], spec), spec, cumulative)

@@ -26,7 +26,7 @@ def count_windows(edges: DataFrame, n: int, order: list[str], value: str = "amou
     if dense_position is None:
         edges = with_position(edges, order, name="_cw_pos")
         dense_position = "_cw_pos"
-    return (edges.groupBy(F.floor((F.col(dense_position) - 1) / n).cast("bigint").alias("bucket"))
+    return (edges.groupBy(F.expr(f"({dense_position} - 1) div {n}").cast("bigint").alias("bucket"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_edges"),
                  F.sum(value).cast("bigint").alias(f"sum_{value}"),
                  F.min(dense_position).cast("bigint").alias("first_pos"),
