@@ -2,7 +2,8 @@
 
 Columns: ``src``, ``trg`` and optionally ``amount`` (edge value), ``ts`` (event time), ``chg``
 (+1 addition / -1 deletion) and ``pos`` (arrival position, for order-sensitive operators).
-Every method returns a new ``EdgeStream`` or a DataFrame; nothing is collected.
+Every method returns a new ``EdgeStream`` or a DataFrame; edges are never collected. Iterative and ordered operators
+(components, matching, spanner, triangles, positions, running values) run jobs while their frame is built.
 """
 
 from __future__ import annotations

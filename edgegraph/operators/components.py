@@ -14,7 +14,7 @@ independently in the same jobs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,13 +90,32 @@ def connected_components(edges: DataFrame, group: Sequence[str] = ()) -> DataFra
                  .select(*g, "v", F.coalesce("component", "v").alias("component")))
 
 
-def connected_components_tree(edges: DataFrame, buckets: int = 8) -> DataFrame:
-    """Tree form: contract each hash bucket of the edges locally (components per bucket, all buckets in
-    the same jobs), then solve the contracted label graph. Equals :func:`connected_components`."""
-    b = edges.select("src", "trg", F.pmod(F.xxhash64("src", "trg"), F.lit(buckets)).alias("_b"))
-    local = connected_components(b, ["_b"])
-    contracted = local.select(F.col("v").alias("src"), F.col("component").alias("trg"))
-    return connected_components(contracted)
+def _spanning_forests(batches: Iterator) -> Iterator:
+    """Per Arrow batch of edges (bounded by Spark's batch size): the edges of a spanning forest, and loops."""
+    import pyarrow as pa
+    for b in batches:
+        parent: dict[int, int] = {}
+        keep = []
+        for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for v in (x, y):
+                parent.setdefault(v, v)
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            while parent[y] != y:
+                parent[y] = y = parent[parent[y]]
+            keep.append(x != y)
+            parent[x] = y
+        # a vertex whose every edge is a loop keeps one through its own pair
+        keep = [k or x == y for k, x, y in zip(keep, b.column(0).to_pylist(), b.column(1).to_pylist())]
+        yield b.filter(pa.array(keep, pa.bool_()))
+
+
+def connected_components_tree(edges: DataFrame) -> DataFrame:
+    """Tree form: every piece of the input is contracted to a spanning forest where it is read (one narrow pass, no
+    shuffle), then the forests' union, at most one edge per vertex and piece, is solved. Equals :func:`connected_components`."""
+    e = edges.select(F.col("src").cast("bigint").alias("src"), F.col("trg").cast("bigint").alias("trg")).where(
+        F.col("src").isNotNull() & F.col("trg").isNotNull())
+    return connected_components(e.mapInArrow(_spanning_forests, "src bigint, trg bigint"))
 
 
 def connected_components_iterative(edges: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def cc_labels(spark, sf_dir):
 
 @register("cc_tree", CC_SQL)
 def cc_tree(spark, sf_dir):
-    return C.connected_components_tree(cust_edges(spark, sf_dir), buckets=8)
+    return C.connected_components_tree(cust_edges(spark, sf_dir))
 
 
 @register("cc_iterative", CC_SQL)

@@ -48,7 +48,7 @@ def test_keyed_position(spark):
 def test_components_three_ways_agree(spark):
     e = cust_edges(spark, SF_SMALL)
     a = {tuple(r) for r in C.connected_components(e).collect()}
-    b = {tuple(r) for r in C.connected_components_tree(e, buckets=4).collect()}
+    b = {tuple(r) for r in C.connected_components_tree(e).collect()}
     c = {tuple(r) for r in C.connected_components_iterative(e).collect()}
     assert a == b == c
     # labels are constant across every edge
