@@ -49,6 +49,21 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys[head], np.add.reduceat(counts, head)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Differences of an ascending array, or small numbers as they are, with equal bytes side by side: shuffle
+    compression then removes the high bytes, which are mostly zero."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def _pack_sorted(values: np.ndarray) -> bytes:
+    return _pack(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def _unpack(blob, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(blob.as_buffer(), np.uint8).reshape(size, -1).T).reshape(-1).view(dtype)
+
+
 def _shard_of_pair(key: np.ndarray, bits: int) -> np.ndarray:
     return (tw.mix64(key) >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -80,8 +95,8 @@ def _counting(batches: Iterator, keys_of, shard_of, shards: int) -> Iterator:
         cut = np.searchsorted(owner, np.arange(shards + 1))
         some = np.flatnonzero(np.diff(cut))
         return pa.RecordBatch.from_arrays([
-            pa.array(some), pa.array([keys[cut[s]:cut[s + 1]].tobytes() for s in some], pa.binary()),
-            pa.array([counts[cut[s]:cut[s + 1]].astype(np.int64).tobytes() for s in some], pa.binary())],
+            pa.array(some), pa.array([_pack_sorted(keys[cut[s]:cut[s + 1]]) for s in some], pa.binary()),
+            pa.array([_pack(counts[cut[s]:cut[s + 1]].astype(np.uint32)) for s in some], pa.binary())],
             names=["shard", "keys", "counts"])
 
     for b in batches:
@@ -104,7 +119,7 @@ def _by_shard(batches: Iterator) -> dict[int, list[tuple[np.ndarray, np.ndarray]
     found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for b in batches:
         for s, k, c in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-            found.setdefault(s, []).append((np.frombuffer(k.as_buffer(), np.uint64), np.frombuffer(c.as_buffer(), np.int64)))
+            found.setdefault(s, []).append((np.cumsum(_unpack(k, np.uint64)), _unpack(c, np.uint32).astype(np.int64)))
     return found
 
 
@@ -215,7 +230,10 @@ def train(texts: DataFrame) -> Model:
         import pyarrow as pa
         for s, parts in _by_shard(batches).items():
             keys, counts = _merge(parts)
-            write_arrays(f"{folder}/pairs-{s}", keys=keys, counts=_narrow(counts))
+            # one byte a count; the few larger ones apart, by their place
+            many = np.flatnonzero(counts > 254)
+            write_arrays(f"{folder}/pairs-{s}", keys=keys, counts=np.minimum(counts, 255).astype(np.uint8), many=many,
+                         more=counts[many])
             context, word = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
             kinds = [(0, word)] + [(k, context[np.minimum(counts, 3) == k]) for k in (1, 2, 3)]
             histogram = _histogram(counts)
@@ -226,8 +244,8 @@ def train(texts: DataFrame) -> Model:
                 some = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(some), pa.array([kind] * len(some), pa.int64()),
-                    pa.array([(ids[cut[x]:cut[x + 1]] - offsets[x]).astype(np.uint32).tobytes() for x in some], pa.binary()),
-                    pa.array([n[cut[x]:cut[x + 1]].astype(np.uint32).tobytes() for x in some], pa.binary()),
+                    pa.array([_pack_sorted((ids[cut[x]:cut[x + 1]] - offsets[x]).astype(np.uint32)) for x in some], pa.binary()),
+                    pa.array([_pack(n[cut[x]:cut[x + 1]].astype(np.uint32)) for x in some], pa.binary()),
                     pa.array([[0] * 5] * len(some), pa.list_(pa.int64()))], names=["shard", "kind", "ids", "n", "stats"])
             yield pa.RecordBatch.from_arrays([
                 pa.array([-1 - s]), pa.array([-1], pa.int64()), pa.array([b""], pa.binary()), pa.array([b""], pa.binary()),
@@ -247,8 +265,7 @@ def train(texts: DataFrame) -> Model:
                 if s not in arrays:
                     size = 1 if s == shards else offsets[s + 1] - offsets[s]
                     arrays[s] = [np.zeros(size, np.int64) for _ in range(4)]
-                at = np.frombuffer(ids.as_buffer(), np.uint32)
-                arrays[s][kind.as_py()][at] += np.frombuffer(n.as_buffer(), np.uint32)
+                arrays[s][kind.as_py()][np.cumsum(_unpack(ids, np.uint32))] += _unpack(n, np.uint32)
         for s, (before, n1, n2, n3) in arrays.items():
             write_arrays(f"{folder}/statistics-{s}", before=_narrow(before), n1=_narrow(n1), n2=_narrow(n2), n3=_narrow(n3))
             some = before[before > 0]
@@ -305,7 +322,10 @@ class Scorer:
         for s in np.flatnonzero((np.diff(cut) > 0) & self.m.filled):
             f, at = self._file(f"pairs-{s}"), order[cut[s]:cut[s + 1]]
             k = np.minimum(np.searchsorted(f["keys"], keys[at]), len(f["keys"]) - 1)
-            out[at] = np.where(f["keys"][k] == keys[at], f["counts"][k], 0)
+            c = f["counts"][k].astype(np.int64)
+            big = np.flatnonzero(c == 255)
+            c[big] = f["more"][np.searchsorted(f["many"], k[big])]
+            out[at] = np.where(f["keys"][k] == keys[at], c, 0)
         return out
 
     def texts(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
