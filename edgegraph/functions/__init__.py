@@ -27,10 +27,6 @@ def epoch_ms(c: str | Column) -> Column:
     return F.unix_millis(col(c))
 
 
-def from_epoch_ms(c: str | Column) -> Column:
-    return F.timestamp_millis(col(c))
-
-
 def win_start_ms(window_col: str = "window") -> Column:
     return F.unix_millis(F.col(f"{window_col}.start"))
 
@@ -57,12 +53,3 @@ def md5_bigint(*parts: Column) -> Column:
 def md5_uniform(*parts: Column) -> Column:
     """Uniform double in (0, 1] from :func:`md5_bigint`."""
     return (md5_bigint(*parts) + F.lit(1)).cast("double") / F.lit(float(HEX15_RANGE))
-
-
-def canonical_pair(a: str | Column, b: str | Column) -> tuple[Column, Column]:
-    return F.least(col(a), col(b)), F.greatest(col(a), col(b))
-
-
-def sorted_csv(array_col: Column) -> Column:
-    """Deterministic text form of an array: ascending, comma separated."""
-    return F.array_join(F.array_sort(array_col).cast("array<string>"), ",")

@@ -72,6 +72,10 @@ class EdgeStream:
     def map_edges(self, value: Column, name: str = "amount") -> "EdgeStream":
         return EdgeStream(_t.map_edges(self.df, value, name))
 
+    def remove_value(self) -> "EdgeStream":
+        """Edges without values: (src, trg)."""
+        return EdgeStream(_t.remove_value(self.df))
+
     def filter_vertices(self, pred: Callable[[Column], Column]) -> "EdgeStream":
         return EdgeStream(_t.filter_vertices(self.df, pred))
 
@@ -151,7 +155,7 @@ class EdgeStream:
         return _deg.window_graph_size(self.df, size)
 
     # ---- summaries and algorithms -----------------------------------------------------------
-    def summarize(self, size: str, spec: Sequence[_sum.Field], tree: bool = False, buckets: int = 8,
+    def summarize(self, size: str, spec: Sequence[_sum.Field], tree: bool = False, buckets: int | None = None,
                   cumulative: bool = True) -> DataFrame:
         fn = _sum.summarize_tree if tree else _sum.summarize_bulk
         return fn(self.df, size, spec, buckets, cumulative)

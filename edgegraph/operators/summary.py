@@ -42,6 +42,11 @@ def edge_stats_spec(value: str = "amount") -> list[Field]:
             Field(f"sum_{value}", F.sum(value), "sum", "sum")]
 
 
+def _width(edges: DataFrame, buckets: int | None) -> int:
+    """Hash buckets per window: as many as shuffle partitions unless given."""
+    return buckets or int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _partials(edges: DataFrame, size: str, spec: Sequence[Field], buckets: int) -> DataFrame:
     b = F.pmod(F.xxhash64("src", "trg"), F.lit(buckets)).alias("_b")
     return (edges.select(F.window("ts", size).alias("window"), b, *[c for c in edges.columns])
@@ -52,9 +57,9 @@ def _combine(df: DataFrame, keys: list[str], spec: Sequence[Field]) -> DataFrame
     return df.groupBy(*keys).agg(*[_MERGE[f.merge](f.name).alias(f.name) for f in spec])
 
 
-def window_partials(edges: DataFrame, size: str, spec: Sequence[Field], buckets: int = 8) -> DataFrame:
+def window_partials(edges: DataFrame, size: str, spec: Sequence[Field], buckets: int | None = None) -> DataFrame:
     """Per-window values of some edges, mergeable with those of other edges by :func:`merge_fields`."""
-    return _finish(_combine(_partials(edges, size, spec, buckets), ["window"], spec), spec, cumulative=False)
+    return _finish(_combine(_partials(edges, size, spec, _width(edges, buckets)), ["window"], spec), spec, cumulative=False)
 
 
 def merge_fields(parts: DataFrame, keys: list[str], spec: Sequence[Field]) -> DataFrame:
@@ -76,16 +81,16 @@ def _finish(per_window: DataFrame, spec: Sequence[Field], cumulative: bool) -> D
     return running_fields(out, spec) if cumulative else out
 
 
-def summarize_bulk(edges: DataFrame, size: str, spec: Sequence[Field], buckets: int = 8,
+def summarize_bulk(edges: DataFrame, size: str, spec: Sequence[Field], buckets: int | None = None,
                    cumulative: bool = True) -> DataFrame:
-    parts = _partials(edges, size, spec, buckets)
+    parts = _partials(edges, size, spec, _width(edges, buckets))
     return _finish(_combine(parts, ["window"], spec), spec, cumulative)
 
 
-def summarize_tree(edges: DataFrame, size: str, spec: Sequence[Field], buckets: int = 8,
+def summarize_tree(edges: DataFrame, size: str, spec: Sequence[Field], buckets: int | None = None,
                    cumulative: bool = True) -> DataFrame:
-    parts = _partials(edges, size, spec, buckets)
-    width = buckets
+    width = _width(edges, buckets)
+    parts = _partials(edges, size, spec, width)
     while width > 2:
         parts = _combine(parts.withColumn("_b", F.expr("_b div 2")), ["window", "_b"], spec)
         width = (width + 1) // 2

@@ -71,14 +71,6 @@ def canonical(edges: DataFrame) -> DataFrame:
     return edges.select(F.least("src", "trg").alias("src"), F.greatest("src", "trg").alias("trg"), *rest)
 
 
-def canonical_distinct(edges: DataFrame, drop_loops: bool = True) -> DataFrame:
-    """Distinct undirected edges as (a, b) with a < b (self-loops dropped unless asked)."""
-    c = edges.select(F.least("src", "trg").alias("a"), F.greatest("src", "trg").alias("b"))
-    if drop_loops:
-        c = c.where(F.col("a") != F.col("b"))
-    return c.distinct()
-
-
 def union(edges: DataFrame, other: DataFrame) -> DataFrame:
     """Multiset union by column name (missing columns become null)."""
     return edges.unionByName(other, allowMissingColumns=True)

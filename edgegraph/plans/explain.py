@@ -12,15 +12,18 @@ from edgegraph.plans.catalog import queries
 
 
 def summary(df) -> str:
+    """The plan that ran: the query is executed in full first, so adaptive joins and reused exchanges show."""
     spark = df.sparkSession
+    df.collect()
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     text = df._jdf.queryExecution().explainString(mode)
     tree = text.split("\n\n\n")[0].replace("== Physical Plan ==\n", "")
+    final = tree.split("+- == Initial Plan ==")[0].rstrip()
     scans = sorted(set(re.findall(r"(ReadSchema: struct<[^\n]*>)", text)))
     pushed = sorted(set(re.findall(r"(PushedFilters: \[[^\n]*\])", text)))
-    exchanges = re.findall(r"Arguments: (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)", text)
-    counts = {k: exchanges.count(k) for k in sorted(set(exchanges))}
-    return "\n".join([tree, *scans, *pushed, f"exchanges: {counts}"])
+    counts = {"shuffles": len(re.findall(r"[-+ ]Exchange", final)), "reused": len(re.findall("ReusedExchange", final)),
+              "broadcasts": len(re.findall("BroadcastExchange", final))}
+    return "\n".join([final, *scans, *pushed, f"executed: {counts}"])
 
 
 def main(argv=None) -> None:

@@ -30,6 +30,7 @@ def test_edge_stream_methods(spark):
     assert g.vertex_count_changelog().count() == len(degs)
     assert g.aggregate([("src", F.col("amount"))], F.sum("x")).count() == len(outs)
     assert g.global_aggregate(F.col("amount")).count() >= 1
+    assert g.remove_value().get_edges().columns == ["src", "trg"] and g.remove_value().get_edges().count() == n
     assert g.build_neighborhood().count() == g.get_edges().select("src", "trg").distinct().count()
     assert g.running_neighborhood(directed=False).count() == 2 * n
     assert g.running_neighborhood_size().count() == n
