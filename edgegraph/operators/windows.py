@@ -17,14 +17,14 @@ def sliding_sum(edges: DataFrame, size: str, slide: str, key: str = "src", value
 
 
 def count_windows(edges: DataFrame, n: int, order: list[str], value: str = "amount",
-                  dense_position: str | None = None) -> DataFrame:
+                  dense_position: str | None = None, offset: int = 0) -> DataFrame:
     """Count windows: consecutive groups of ``n`` edges in arrival order (purge every n elements).
 
     The bucket is ``(position - 1) // n``; positions come from a distributed ``with_position`` unless a
-    dense 1..N position column is given.
+    dense 1..N position column is given. ``offset`` edges came before (earlier batches of a stream).
     """
     if dense_position is None:
-        edges = with_position(edges, order, name="_cw_pos")
+        edges = with_position(edges, order, name="_cw_pos").withColumn("_cw_pos", F.col("_cw_pos") + offset)
         dense_position = "_cw_pos"
     return (edges.groupBy(F.expr(f"({dense_position} - 1) div {n}").cast("bigint").alias("bucket"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_edges"),

@@ -8,8 +8,8 @@
 * per-update changelogs use ``transformWithStateInPandas`` (keyed state in the state store);
 * connected components of an unbounded stream keep a versioned label table updated per micro-batch
   with ``foreachBatch`` (:class:`IncrementalComponents`);
-* cumulative summaries, degree distributions with deletions and bipartiteness merge one row per key and micro-batch
-  into versioned state (:class:`SummaryStream`, :class:`DegreeDistributionStream`, :class:`BipartiteStream`);
+* cumulative summaries, count windows, degree distributions with deletions and bipartiteness merge one row per key and micro-batch
+  into versioned state (:class:`SummaryStream`, :class:`CountWindowStream`, :class:`DegreeDistributionStream`, :class:`BipartiteStream`);
 * windowed triangles stage edges per window and count each window with the batch operator once the
   watermark closes it (:class:`WindowTriangles`).
 """
@@ -20,5 +20,7 @@ from edgegraph.streaming.runtime import (  # noqa: F401
 )
 from edgegraph.streaming.stateful import degree_changelog_stream, DegreeChangelog  # noqa: F401
 from edgegraph.streaming.components import IncrementalComponents  # noqa: F401
-from edgegraph.streaming.keyed import BipartiteStream, DegreeDistributionStream, SummaryStream  # noqa: F401
+from edgegraph.streaming.keyed import (  # noqa: F401
+    BipartiteStream, CountWindowStream, DegreeDistributionStream, SummaryStream,
+)
 from edgegraph.streaming.triangles import WindowTriangles  # noqa: F401

@@ -1,4 +1,5 @@
-"""Keyed state merged per micro-batch (``foreachBatch``): cumulative summaries, degree distribution, bipartiteness.
+"""Keyed state merged per micro-batch (``foreachBatch``): cumulative summaries, count windows, degree distribution,
+bipartiteness.
 
 Operators that chain an unbounded history (a running total over all windows, a clamped walk per vertex, a growing
 graph) have no append-mode plan. Each micro-batch is reduced to one mergeable row per key, joined to the state table and
@@ -18,6 +19,7 @@ from edgegraph.operators import bipartite as B
 from edgegraph.operators.positions import OrderedFrame
 from edgegraph.operators.summary import Field, merge_fields, running_fields, window_partials
 from edgegraph.operators.transforms import endpoints
+from edgegraph.operators.windows import count_windows
 from edgegraph.streaming.components import IncrementalComponents, _HadoopFS
 
 
@@ -74,6 +76,28 @@ class SummaryStream(KeyedState):
         return running_fields(self.state(), self.spec)
 
 
+class CountWindowStream(KeyedState):
+    """Count windows (F6) on a stream: state is one row per window of ``n`` edges, the last one still filling.
+
+    Arrival order is the order of the micro-batches and, within one, ``order``; positions go on from the edges so far."""
+
+    schema = "bucket bigint, n_edges bigint, sum_amount bigint, first_pos bigint, last_pos bigint"
+
+    def __init__(self, spark: SparkSession, state_dir: str, n: int, order: Sequence[str]):
+        super().__init__(spark, state_dir)
+        self.n, self.order = n, list(order)
+
+    def merge(self, state: DataFrame, batch: DataFrame) -> DataFrame:
+        seen = state.agg(F.max("last_pos")).first()[0] or 0
+        new = count_windows(batch, self.n, self.order, offset=seen)
+        return state.unionByName(new).groupBy("bucket").agg(
+            F.sum("n_edges").alias("n_edges"), F.sum("sum_amount").alias("sum_amount"),
+            F.min("first_pos").alias("first_pos"), F.max("last_pos").alias("last_pos"))
+
+    def results(self, complete_only: bool = False) -> DataFrame:
+        return self.state().where(F.col("n_edges") == self.n) if complete_only else self.state()
+
+
 class DegreeDistributionStream(KeyedState):
     """Degree distribution under additions and deletions (C13) on a stream: state is one degree per vertex.
 

@@ -239,6 +239,23 @@ def test_keyed_streams_equal_batch_replay_and_restart(spark, tmpdir_path):
         spark.read.parquet(os.path.join(src, "part999")).select("src", "trg", "amount", "ts"))
     assert {tuple(r) for r in s.results().collect()} == {tuple(r) for r in Su.summarize_bulk(more, "6 hours", spec).collect()}
 
+    from edgegraph.operators import windows as Wn
+    from edgegraph.streaming import CountWindowStream
+    cw = CountWindowStream(spark, os.path.join(tmpdir_path, "cw"), 7, ["ts", "pos"])
+    ordered = e.orderBy("ts", "src", "trg", "amount")
+    for i in range(3):
+        part = spark.read.schema(SCHEMA).parquet(os.path.join(src, f"part00{i}"))
+        cw.update(part, i)
+        cw.update(part, i)
+    total, k = e.count(), -(-e.count() // 7)
+    got = cw.results().orderBy("bucket").collect()
+    assert [r["bucket"] for r in got] == list(range(k)) and [r["n_edges"] for r in got[:-1]] == [7] * (k - 1)
+    assert sum(r["sum_amount"] for r in got) == ordered.agg(F.sum("amount")).first()[0] and got[-1]["last_pos"] == total
+    one = CountWindowStream(spark, os.path.join(tmpdir_path, "cw1"), 7, ["ts", "pos"])
+    one.update(e, 0)
+    assert {tuple(r) for r in one.results().collect()} == {tuple(r) for r in Wn.count_windows(e, 7, ["ts", "pos"]).collect()}
+    assert one.results(complete_only=True).count() == total // 7
+
     signed = signed_edges(spark, SF_SMALL)
     n = signed.agg(F.max("pos")).first()[0]
     d = DegreeDistributionStream(spark, os.path.join(tmpdir_path, "deg"))
