@@ -6,8 +6,8 @@ the whole text, are candidates. The CGK random walk embeds a window and the item
 emits the current word and moves on or stays by a hash bit of (walk, step, word), so after an edit equal texts fall in
 step again and edit distance becomes Hamming distance. Repeated sampling of ``BITS`` emitted words per draw is the
 LSH: a window meets an item when one of ``WALKS * DRAWS`` draws agrees. The exact edit distance then decides.
-Before embedding, windows are dropped that cannot be close to any item: d word edits spoil at most 2d of an item's n - 1
-word pairs, so a window with fewer than n - 1 - 2d pairs out of the benchmark is too far.
+Before embedding, windows are dropped that cannot be close to any item: d word edits spoil at most 2d of an item's
+different word pairs, so a window with fewer of them, out of the items of its size, is too far.
 
 The benchmark is read in blocks of bounded size (``block_items``), each broadcast to one scan of the documents, so memory
 does not grow with it; documents are never shuffled.
@@ -29,8 +29,8 @@ from edgegraph.llm import textwords as tw
 
 MIN_WORDS = 5
 MAX_EDITS = 0.2
-# Draws agree on a window with a share s of equal steps with probability s**BITS: at s = 0.35, 99.9 % in 96 draws.
-WALKS, DRAWS, BITS = 16, 6, 2
+# A draw agrees on a window with a share s of equal steps with probability s**BITS: at s = 0.35, 99.9 % in 192 draws.
+WALKS, DRAWS, BITS = 16, 12, 3
 _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[48:58] = _SEPARATOR[65:91] = _SEPARATOR[97:123] = False
 _SEPARATOR[128:] = False
@@ -42,66 +42,72 @@ def _max_edits(n: int, share: float) -> int:
 
 
 def _draws(n: int) -> np.ndarray:
-    """Sampled steps, (WALKS, DRAWS, BITS), the same for every window and item of ``n`` words."""
+    """Sampled steps, (WALKS, DRAWS, BITS), the same for every window and item of ``n`` words; out of the first 2n of the 3n
+    steps, as a walk needs about 2n to reach the end."""
     k = np.arange(WALKS * DRAWS * BITS, dtype=np.uint64) + np.uint64(n << 20)
-    return (tw.mix64(k) % np.uint64(3 * n)).astype(np.int64).reshape(WALKS, DRAWS, BITS)
+    return (tw.mix64(k) % np.uint64(2 * n)).astype(np.int64).reshape(WALKS, DRAWS, BITS)
 
 
-def _embed(word: np.ndarray, first: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
-    """LSH keys (windows, WALKS * DRAWS) of the windows ``word[first:end]`` of nominal size ``n``."""
-    steps = 3 * n
+def _walk(word: np.ndarray, first: np.ndarray, end: np.ndarray, steps: int) -> np.ndarray:
+    """The embeddings of the windows ``word[first:end]``, (windows, WALKS, steps); 0 past a window's end."""
     at = np.repeat(first[:, None], WALKS, 1)
     stop = end[:, None]
     walk = np.arange(WALKS, dtype=np.uint64)[None, :] * np.uint64(1 << 32)
-    out = np.zeros((len(first), WALKS, steps), np.uint64)
+    out = np.zeros((steps, len(first), WALKS), np.uint64)
+    last = len(word) - 1
     for j in range(steps):
         live = at < stop
-        w = np.where(live, word[np.minimum(at, len(word) - 1)], np.uint64(0))
-        out[:, :, j] = w
-        at = at + (live & ((tw.mix64(w ^ (walk + np.uint64(j))) & np.uint64(1)) > 0))
+        w = word[np.minimum(at, last)] * live
+        out[j] = w
+        at += live & ((tw.mix64(w ^ (walk + np.uint64(j))) & np.uint64(1)) > 0)
+    return out.transpose(1, 2, 0)
+
+
+def _keys(out: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """LSH keys (windows, WALKS * DRAWS) of embeddings of windows of ``n`` words, and which hold only steps before the end."""
     d = _draws(n)
-    key = np.zeros((len(first), WALKS, DRAWS), np.uint64)
+    shape = (len(out), WALKS, DRAWS)
+    key, inside = np.zeros(shape, np.uint64), np.ones(shape, bool)
     for b in range(BITS):
-        picked = np.take_along_axis(out, np.broadcast_to(d[:, :, b], (len(first), WALKS, DRAWS)), 2)
+        picked = np.take_along_axis(out, np.broadcast_to(d[:, :, b], shape), 2)
+        inside &= picked != 0
         key = tw.mix64(key * np.uint64(3) + picked)
     number = np.arange(WALKS * DRAWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return key.reshape(len(first), -1) ^ number
+    return key.reshape(len(out), -1) ^ number, inside.reshape(len(out), -1)
 
 
 def edit_distance(item: np.ndarray, word: np.ndarray, first: np.ndarray, end: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """For each stretch that starts at ``first`` and may end anywhere up to ``end``: the smallest word edit distance to
-    ``item``, and the end (the first of equal ones). Only the band of ``most`` edits is computed; beyond it: most + 1."""
-    n, width = len(item), 2 * most + 1
-    far = most + 1
+    its row of ``item``, and the end (the first of equal ones). Only the band of ``most`` edits is computed; beyond it: most + 1."""
+    n, width, far = item.shape[1], 2 * most + 1, most + 1
     # cell k of row i stands for a prefix of length i + k - most
-    row = np.full((len(first), width), far, np.int64)
-    for k in range(most, width):
-        row[:, k] = np.minimum(k - most, far)
-    row[:, most:][(np.arange(most, width) - most)[None, :] > (end - first)[:, None]] = far
+    k = np.arange(width)[None, :]
+    reach = (end - first)[:, None]
+    row = np.where((k >= most) & (k - most <= reach), k - most, far)
+    last = len(word) - 1
     for i in range(1, n + 1):
-        new = np.full_like(row, far)
-        for k in range(width):
-            length = i + k - most
-            if length < 0:
-                continue
-            ok = first + length <= end
-            best = row[:, k + 1] + 1 if k + 1 < width else np.full(len(first), far)  # item word left out
-            if length > 0:
-                same = word[np.minimum(first + length - 1, len(word) - 1)] == item[i - 1]
-                best = np.minimum(best, row[:, k] + np.where(same, 0, 1))
-                if k > 0:
-                    best = np.minimum(best, new[:, k - 1] + 1)
-            new[:, k] = np.where(ok, np.minimum(best, far), far)
-        row = new
-    k = row.argmin(1)
-    return row[np.arange(len(first)), k], first + n + k - most
+        length = i + k - most
+        same = word[np.clip(first[:, None] + length - 1, 0, last)] == item[:, i - 1:i]
+        best = np.where(length > 0, row + ~same, far)
+        best[:, :-1] = np.minimum(best[:, :-1], row[:, 1:] + 1)  # the item's word left out
+        best = np.minimum.accumulate(best - k, axis=1) + k  # words of the text left out
+        row = np.where((length >= 0) & (length <= reach), np.minimum(best, far), far)
+    at = row.argmin(1)
+    return row[np.arange(len(first)), at], first + n + at - most
+
+
+def _counters(sizes: np.ndarray) -> np.ndarray:
+    """0 .. size - 1 for each size, one after the other."""
+    total = int(sizes.sum())
+    return np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 class Benchmark:
     """Items of one block, by size, with their LSH keys and word pairs."""
 
     def __init__(self, rows: list, share: float, min_words: int):
-        self.share, self.sizes, pairs = share, {}, [np.zeros(0, np.uint64)]
+        self.share, self.sizes = share, {}
+        pairs: dict[int, list[np.ndarray]] = {}
         for number, text in rows:
             data = np.frombuffer((text or "").encode(), np.uint8)
             starts, ends, owner = tw.words(data, np.array([0, len(data)]), _SEPARATOR)
@@ -109,20 +115,28 @@ class Benchmark:
                 continue
             word = tw.hashes(data, starts, ends)
             self.sizes.setdefault(len(word), []).append((number, word))
-            pairs.append(tw.windows(word, owner, 2)[0])
-        self.pairs = np.unique(np.concatenate(pairs))
+            pairs.setdefault(len(word), []).append(tw.windows(word, owner, 2)[0])
+        # word pairs of all items, and for each of them the sizes of the items that have it (runs of ``of_size``)
+        every = [(x, n) for n in sorted(pairs) for x in (np.unique(np.concatenate(pairs[n])),)]
+        flat = np.concatenate([x for x, _ in every] or [np.zeros(0, np.uint64)])
+        size = np.concatenate([np.full(len(x), n, np.int64) for x, n in every] or [np.zeros(0, np.int64)])
+        order = np.argsort(flat, kind="stable")
+        self.of_size = size[order]
+        self.pairs, self.first = np.unique(flat[order], return_index=True)
+        self.first = np.append(self.first, len(flat))
         self.map = np.zeros(1 << 22, bool)
         self.map[(self.pairs & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
         self.keys = {}
         for n, items in self.sizes.items():
             word = np.concatenate([w for _, w in items])
             first = np.arange(len(items)) * n
-            keys = np.concatenate([_embed(word, first[x:x + 1024], first[x:x + 1024] + n, n)
-                                   for x in range(0, len(first), 1024)])
-            flat = keys.reshape(-1)
+            parts = [_keys(_walk(word, first[x:x + 1024], first[x:x + 1024] + n, 2 * n), n) for x in range(0, len(first), 1024)]
+            keys, inside = (np.concatenate([x[i] for x in parts]) for i in (0, 1))
+            owner = np.nonzero(inside)[0]
+            flat = keys[inside]
             order = np.argsort(flat, kind="stable")
-            self.keys[n] = flat[order], (order // keys.shape[1]).astype(np.int64)
-        self.need = {n: max(1, n - 1 - 2 * _max_edits(n, share)) for n in self.sizes}
+            self.keys[n] = flat[order], owner[order], word.reshape(-1, n)
+        self.need = {n: max(1, min(len(np.unique(x)) for x in pairs[n]) - 2 * _max_edits(n, share)) for n in self.sizes}
 
     def leaks(self, data: np.ndarray, offs: np.ndarray) -> list[tuple]:
         """(text number, item_id, n, distance, first word, last word), words counted within the text."""
@@ -134,45 +148,73 @@ class Benchmark:
         word = tw.hashes(data, starts, ends)
         pair, at = tw.windows(word, text, 2)
         hit = np.flatnonzero(self.map[(pair & np.uint64((1 << 22) - 1)).astype(np.int64)])
-        hit = hit[self.pairs[np.minimum(np.searchsorted(self.pairs, pair[hit]), len(self.pairs) - 1)] == pair[hit]]
-        count = np.zeros(len(word) + 1, np.int64)  # pairs that begin before a word
-        count[at[hit] + 1] = 1
-        count = np.cumsum(count)
+        which = np.minimum(np.searchsorted(self.pairs, pair[hit]), len(self.pairs) - 1)
+        same = self.pairs[which] == pair[hit]
+        hit, which = at[hit[same]], which[same]  # places of pairs out of some item
+        times = self.first[which + 1] - self.first[which]
+        entry = np.repeat(self.first[which] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        place, size = np.repeat(hit, times), self.of_size[entry]
+        order = np.argsort(size, kind="stable")
+        place, size, kind = place[order], size[order], np.repeat(which, times)[order]
         first_of = np.searchsorted(text, np.arange(len(offs)))
-        stop = first_of[text + 1]  # end of each word's text
-        longest = max(self.sizes)
-        p = np.arange(len(word))
-        reach = np.minimum(p + longest, stop)
-        p = p[count[np.maximum(reach - 1, p)] - count[p] >= min(self.need.values())]
         best: dict[tuple, tuple] = {}
-        for n in sorted(self.sizes):
-            most = _max_edits(n, self.share)
-            end = np.minimum(p + n, stop[p])
-            ok = (end - p >= n - most) & (count[end - 1] - count[p] >= self.need[n])
-            for x in range(0, int(ok.sum()), 1024):
-                self._match(n, most, p[ok][x:x + 1024], end[ok][x:x + 1024], word, text, first_of, best)
+        windows = []
+        for n in np.unique(size).tolist():
+            mine = slice(np.searchsorted(size, n), np.searchsorted(size, n, "right"))
+            q = place[mine]
+            need, most = self.need[n], _max_edits(n, self.share)
+            if len(q) < need:
+                continue
+            # a window from p holds the pairs at p .. p + n - 2: starts that see pairs i .. i + need - 1
+            lo, hi = q[need - 1:] - (n - 2), q[:len(q) - need + 1]
+            ok = (lo <= hi) & (text[q[need - 1:]] == text[hi])
+            lo, hi = np.maximum(lo[ok], first_of[text[hi[ok]]]), hi[ok]
+            p = np.unique(np.repeat(lo, hi - lo + 1) + _counters(hi - lo + 1))
+            end = np.minimum(p + n, first_of[text[p] + 1])
+            ok = end - p >= n - most
+            p, end = p[ok], end[ok]
+            # a pair that comes again in the window counts once
+            order = np.lexsort((q, kind[mine]))
+            before = np.full(len(q), -1)
+            again = kind[mine][order][1:] == kind[mine][order][:-1]
+            before[order[1:][again]] = q[order[:-1][again]]
+            i = np.searchsorted(q, p)
+            seen = np.searchsorted(q, end - 2, "right") - i
+            new = before[np.repeat(i, seen) + _counters(seen)] < np.repeat(p, seen)
+            ok = np.bincount(np.repeat(np.arange(len(p)), seen), new, len(p)) >= need
+            p, end = p[ok], end[ok]
+            windows.append((np.full(len(p), n), p, end))
+        if not windows:
+            return []
+        size, first, end = (np.concatenate(x) for x in zip(*windows))
+        for x in range(0, len(first), 1024):
+            self._match(size[x:x + 1024], first[x:x + 1024], end[x:x + 1024], word, text, first_of, best)
         return [(t, self.sizes[n][i][0], n, d, a, b) for (t, n, i), (d, a, b) in best.items()]
 
-    def _match(self, n, most, first, end, word, text, first_of, best) -> None:
-        sorted_keys, owner = self.keys[n]
-        keys = _embed(word, first, end, n)
-        lo, hi = np.searchsorted(sorted_keys, keys, "left"), np.searchsorted(sorted_keys, keys, "right")
-        met: set[tuple[int, int]] = set()
-        for w, k in zip(*np.nonzero(hi > lo)):
-            met.update((int(i), int(w)) for i in set(owner[lo[w, k]:hi[w, k]].tolist()))
-        by_item: dict[int, list[int]] = {}
-        for i, w in sorted(met):
-            by_item.setdefault(i, []).append(w)
-        for i, ws in by_item.items():
-            a = first[ws]
-            far = np.minimum(a + n + most, first_of[text[a] + 1])
-            d, b = edit_distance(self.sizes[n][i][1], word, a, far, most)
-            for x in np.flatnonzero(d <= most):
-                t = int(text[a[x]])
-                found = (int(d[x]), int(a[x] - first_of[t]), int(b[x] - first_of[t] - 1))
-                key = (t, n, i)
-                if key not in best or found < best[key]:
-                    best[key] = found
+    def _match(self, size, first, end, word, text, first_of, best) -> None:
+        """Embed windows of any sizes together, look their keys up among the items of their size, verify."""
+        out = _walk(word, first, end, 2 * int(size.max()) if len(size) else 0)
+        for n in np.unique(size).tolist():
+            mine = np.flatnonzero(size == n)
+            most = _max_edits(n, self.share)
+            sorted_keys, owner, items = self.keys[n]
+            keys, inside = _keys(out[mine], n)
+            lo, hi = np.searchsorted(sorted_keys, keys, "left"), np.searchsorted(sorted_keys, keys, "right")
+            w, k = np.nonzero((hi > lo) & inside)
+            times = (hi - lo)[w, k]
+            item = owner[np.repeat(lo[w, k], times) + _counters(times)]
+            met = np.unique(np.repeat(w, times) * len(items) + item)
+            w, item = met // len(items), met % len(items)
+            a = first[mine[w]]
+            for x in range(0, len(a), 4096):
+                part, which = a[x:x + 4096], item[x:x + 4096]
+                d, b = edit_distance(items[which], word, part, np.minimum(part + n + most, first_of[text[part] + 1]), most)
+                for y in np.flatnonzero(d <= most):
+                    t = int(text[part[y]])
+                    found = (int(d[y]), int(part[y] - first_of[t]), int(b[y] - first_of[t] - 1))
+                    key = (t, n, int(which[y]))
+                    if key not in best or found < best[key]:
+                        best[key] = found
 
 
 def _blocks(spark, items: DataFrame, block_items: int) -> Iterator[list]:
