@@ -52,7 +52,7 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 def _pack(values: np.ndarray) -> bytes:
     """Differences of an ascending array, or small numbers as they are, with equal bytes side by side: shuffle
     compression then removes the high bytes, which are mostly zero."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
 def _pack_sorted(values: np.ndarray) -> bytes:
@@ -61,7 +61,8 @@ def _pack_sorted(values: np.ndarray) -> bytes:
 
 def _unpack(blob, dtype) -> np.ndarray:
     size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(blob.as_buffer(), np.uint8).reshape(size, -1).T).reshape(-1).view(dtype)
+    raw = np.frombuffer(blob.as_buffer(), np.uint8)
+    return np.ascontiguousarray(raw.reshape(size, len(raw) // size).T).reshape(-1).view(dtype)
 
 
 def _shard_of_pair(key: np.ndarray, bits: int) -> np.ndarray:
@@ -235,21 +236,19 @@ def train(texts: DataFrame) -> Model:
             write_arrays(f"{folder}/pairs-{s}", keys=keys, counts=np.minimum(counts, 255).astype(np.uint8), many=many,
                          more=counts[many])
             context, word = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            kinds = [(0, word)] + [(k, context[np.minimum(counts, 3) == k]) for k in (1, 2, 3)]
-            histogram = _histogram(counts)
-            for kind, ids in kinds:
+            # one row per word shard: the words that follow, and the contexts whose pairs occur once, twice or more often
+            cuts = []
+            for ids in (word, *(context[np.minimum(counts, 3) == k] for k in (1, 2, 3))):
                 ids, n = np.unique(ids, return_counts=True)
                 owner = np.searchsorted(offsets, ids, "right") - 1
-                cut = np.searchsorted(owner, np.arange(shards + 2))
-                some = np.flatnonzero(np.diff(cut))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(some), pa.array([kind] * len(some), pa.int64()),
-                    pa.array([_pack_sorted((ids[cut[x]:cut[x + 1]] - offsets[x]).astype(np.uint32)) for x in some], pa.binary()),
-                    pa.array([_pack(n[cut[x]:cut[x + 1]].astype(np.uint32)) for x in some], pa.binary()),
-                    pa.array([[0] * 5] * len(some), pa.list_(pa.int64()))], names=["shard", "kind", "ids", "n", "stats"])
+                cuts.append((ids, n.astype(np.uint32), np.searchsorted(owner, np.arange(shards + 2))))
+            some = np.flatnonzero(np.any([np.diff(c) > 0 for _, _, c in cuts], axis=0))
+            ids = [[_pack_sorted((i[c[x]:c[x + 1]] - offsets[x]).astype(np.uint32)) for i, _, c in cuts] for x in some]
+            n = [[_pack(m[c[x]:c[x + 1]]) for _, m, c in cuts] for x in some]
             yield pa.RecordBatch.from_arrays([
-                pa.array([-1 - s]), pa.array([-1], pa.int64()), pa.array([b""], pa.binary()), pa.array([b""], pa.binary()),
-                pa.array([[len(keys), *histogram]], pa.list_(pa.int64()))], names=["shard", "kind", "ids", "n", "stats"])
+                pa.array([*some.tolist(), -1 - s]), pa.array([*ids, []], pa.list_(pa.binary())), pa.array([*n, []], pa.list_(pa.binary())),
+                pa.array([*([[]] * len(some)), [len(keys), *_histogram(counts)]], pa.list_(pa.int64()))],
+                names=["shard", "ids", "n", "stats"])
 
     def write_statistics(batches: Iterator) -> Iterator:
         """Per word shard: dense arrays of the four statistics, in the order of the ids."""
@@ -257,7 +256,7 @@ def train(texts: DataFrame) -> Model:
         arrays: dict[int, list[np.ndarray]] = {}
         out = []
         for b in batches:
-            for s, kind, ids, n, stats in zip(*(b.column(i) for i in range(5))):
+            for s, ids, n, stats in zip(*(b.column(i) for i in range(4))):
                 s = s.as_py()
                 if s < 0:
                     out.append((s, stats.as_py()))
@@ -265,7 +264,8 @@ def train(texts: DataFrame) -> Model:
                 if s not in arrays:
                     size = 1 if s == shards else offsets[s + 1] - offsets[s]
                     arrays[s] = [np.zeros(size, np.int64) for _ in range(4)]
-                arrays[s][kind.as_py()][np.cumsum(_unpack(ids, np.uint32))] += _unpack(n, np.uint32)
+                for array, i, m in zip(arrays[s], ids.values, n.values):
+                    array[np.cumsum(_unpack(i, np.uint32))] += _unpack(m, np.uint32)
         for s, (before, n1, n2, n3) in arrays.items():
             write_arrays(f"{folder}/statistics-{s}", before=_narrow(before), n1=_narrow(n1), n2=_narrow(n2), n3=_narrow(n3))
             some = before[before > 0]
@@ -275,7 +275,7 @@ def train(texts: DataFrame) -> Model:
                                               pa.array([o[1] for o in out], pa.list_(pa.int64()))], names=["shard", "stats"])
 
     rows = (texts.mapInArrow(count_pairs, blob).repartition(shards, "shard")
-            .mapInArrow(write_pairs, "shard bigint, kind bigint, ids binary, n binary, stats array<bigint>")
+            .mapInArrow(write_pairs, "shard bigint, ids array<binary>, n array<binary>, stats array<bigint>")
             .repartition(shards, "shard").mapInArrow(write_statistics, "shard bigint, stats array<bigint>")
             .collect())  # two rows per shard
     filled = np.zeros(shards, bool)
