@@ -10,7 +10,8 @@ full shingle sets.
 A posting list of m documents isn't expanded to all its pairs. First each list, sorted by set size, links neighbours only;
 the components of the confirmed links settle most lists. What remains are pairs of different components inside one
 list: those are compared in blocks of ``BLOCK`` documents, and block pairs that lie inside one component are never
-formed. So a hot list is spread over many small tasks, and no link between different components is missed.
+formed. So a hot list is spread over many small tasks. The promising pairs are confirmed on the full sets, the likeliest of
+every two components first, until none is left between different components: no link that would join two is missed.
 
 Defined results: null or blank text has an empty set, no links and is its own component; fewer than five words count as
 one shingle; a null doc_id can link others and has the smallest non-null id of its component, or null; rows with
@@ -214,7 +215,7 @@ def _block_pairs(batches: Iterator, similarity: float) -> Iterator:
         oph = np.frombuffer(b"".join(t.column("oph").to_pylist()), np.uint8).reshape(-1, BINS)
         i = np.flatnonzero(side == 0)
         j = np.flatnonzero(side == 1) if (side == 1).any() else i
-        out_a, out_b = [], []
+        out_a, out_b, out_e = [], [], []
         for x in i:
             y = j[(comp[j] != comp[x])]
             if j is i:
@@ -229,12 +230,13 @@ def _block_pairs(batches: Iterator, similarity: float) -> Iterator:
             mine = np.argmax(agree & posted[y] & posted[x], axis=1) == c
             y = y[mine]
             if len(y):
-                y = y[_estimate(oph[y], oph[x]) >= similarity - SLACK]
+                like = _estimate(oph[y], oph[x])
+                y, like = y[like >= similarity - SLACK], like[like >= similarity - SLACK]
                 out_a.append(np.minimum(rep[y], rep[x]))
                 out_b.append(np.maximum(rep[y], rep[x]))
+                out_e.append(like)
         if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))],
-                                             names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_a, out_b, out_e)], names=["a", "b", "like"])
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -285,10 +287,32 @@ def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     rows = (sides.join(member, ["token", "block"]).join(active, "rep")
             .select("token", "bi", "bj", "side", "rep", "n", "comp", "posted", "sig", "oph"))
     rows = rows.repartition("token", "bi", "bj").sortWithinPartitions("token", "bi", "bj", "side", "rep")
-    cross = rows.mapInArrow(lambda it: _block_pairs(it, similarity), "a bigint, b bigint").distinct()
-    second = _confirm(cross, sets, percent).select(F.col("a").alias("src"), F.col("b").alias("trg"))
-    # the first labels are a star forest of the first links
-    return second.unionByName(labels.where("v <> component").select(F.col("v").alias("src"), F.col("component").alias("trg")))
+    open_pairs = ckpt(rows.mapInArrow(lambda it: _block_pairs(it, similarity), "a bigint, b bigint, like double")
+                      .dropDuplicates(["a", "b"]))
+    return _settle(open_pairs, sets, labels, percent)
+
+
+def _settle(open_pairs: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Star forest (src, trg) of all links, given the components ``labels`` of some of them and the promising pairs
+    (a, b, like) between different ones. A confirmed link saves the other pairs of its two components, so the likeliest
+    pairs of every two components are confirmed first, four times as many in each round, until no pair is open."""
+    take = 1
+    while True:
+        side = [labels.select(F.col("v").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"]
+        live = (open_pairs.join(side[0], "a", "left").join(side[1], "b", "left")
+                .select("a", "b", "like", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+                .where("ca <> cb"))
+        salt = F.pmod(F.xxhash64("a", "b"), F.lit(16))  # two large components may share very many pairs
+        w = Window.partitionBy(F.least("ca", "cb"), F.greatest("ca", "cb"), salt).orderBy(F.desc("like"), "a", "b")
+        live = ckpt(live.withColumn("rank", F.row_number().over(w)).select("a", "b", "like", "rank"))
+        forest = labels.where("v <> component").select(F.col("v").alias("src"), F.col("component").alias("trg"))
+        if not live.limit(1).count():
+            return forest
+        new = ckpt(_confirm(live.where(F.col("rank") <= take).select("a", "b"), sets, percent))
+        if new.limit(1).count():
+            labels = connected_components(forest.unionByName(new.select(F.col("a").alias("src"), F.col("b").alias("trg"))))
+        open_pairs = live.where(F.col("rank") > take).select("a", "b", "like")
+        take *= 4
 
 
 def _doc():
