@@ -2,7 +2,8 @@
 
 Method: a text is normalised to its words (ASCII letters lower-cased, every other ASCII character a separator). An
 ordered table of signature rules, several hundred regexes written as a few forms per licence family, is gated twice: a text
-needs one of the ``GATES``, and a rule needs its family's keyword in the text. Each match is a word interval with the
+needs one of the ``GATES``, and a rule needs its family's keyword in the text; both are parts of every string that the
+rule's regex matches, so they cost no match. Each match is a word interval with the
 rule's priority. Overlaps are resolved by containment and priority: a detection goes if another one contains it and is
 longer or ranks higher, or overlaps it partly with a higher priority.
 
@@ -32,8 +33,8 @@ BASE_PHRASES = {
     "mit license": "mit",
 }
 
-GATES = (" licen", " copyright", " copyleft", " spdx ", " gpl", " lgpl", " agpl", " cc by", " cc0 ", " public domain",
-         " rights reserved", " creative commons")
+GATES = (" licen", " copyright", " copyleft", " spdx ", " gpl", " lgpl", " agpl", " cc by", " cc0", " public domain",
+         " rights reserved", " creative commons", " apache", " bsd ", " wtfpl", " unlicense ")
 
 # label, keyword, name pattern, versions
 FAMILIES = (
@@ -46,7 +47,8 @@ FAMILIES = (
     ("agpl", " agpl", "(?:gnu )?agpl", ("1.0", "3.0")),
     ("gfdl", "free documentation", "(?:gnu )?free documentation licen[sc]e", ("1.1", "1.2", "1.3")),
     ("apache", " apache", "apache(?: software)?(?: licen[sc]e)?", ("1.0", "1.1", "2.0")),
-    ("mit", " mit ", "(?:mit(?: x11)?|x11) licen[sc]e", ()),
+    ("mit", " mit ", "mit(?: x11)? licen[sc]e", ()),
+    ("mit", " x11 ", "x11 licen[sc]e", ()),
     ("bsd", " bsd ", "bsd(?: licen[sc]e)?", ("0-clause", "2-clause", "3-clause", "4-clause")),
     ("isc", " isc ", "isc licen[sc]e", ()),
     ("mpl", "mozilla public", "mozilla public licen[sc]e", ("1.0", "1.1", "2.0")),
@@ -63,19 +65,19 @@ FAMILIES = (
     ("psf", "python software foundation", "python software foundation licen[sc]e", ("2.0",)),
     ("php", " php ", "php licen[sc]e", ("3.0", "3.01")),
     ("ruby", " ruby ", "ruby licen[sc]e", ()),
-    ("wtfpl", " wtfpl ", "wtfpl", ("2.0",)),
+    ("wtfpl", " wtfpl", "wtfpl", ("2.0",)),
     ("unlicense", " unlicense ", "unlicense", ()),
-    ("cc0", " cc0 ", "cc0(?: universal)?", ("1.0",)),
-    ("cc-by", " cc by ", "cc by", ("1.0", "2.0", "2.5", "3.0", "4.0")),
-    ("cc-by-sa", " cc by sa ", "cc by sa", ("1.0", "2.0", "2.5", "3.0", "4.0")),
-    ("cc-by-nc", " cc by nc ", "cc by nc", ("1.0", "2.0", "2.5", "3.0", "4.0")),
-    ("cc-by-nd", " cc by nd ", "cc by nd", ("1.0", "2.0", "2.5", "3.0", "4.0")),
-    ("cc-by-nc-sa", " cc by nc sa ", "cc by nc sa", ("1.0", "2.0", "2.5", "3.0", "4.0")),
-    ("cc-by-nc-nd", " cc by nc nd ", "cc by nc nd", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc0", " cc0", "cc0(?: universal)?", ("1.0",)),
+    ("cc-by", " cc by", "cc by", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-sa", " cc by sa", "cc by sa", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nc", " cc by nc", "cc by nc", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nd", " cc by nd", "cc by nd", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nc-sa", " cc by nc sa", "cc by nc sa", ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    ("cc-by-nc-nd", " cc by nc nd", "cc by nc nd", ("1.0", "2.0", "2.5", "3.0", "4.0")),
     ("cc-by", "commons attribution", "creative commons attribution(?: international| unported)?", ("2.0", "3.0", "4.0")),
-    ("cc-by-sa", "attribution sharealike", "creative commons attribution share ?alike(?: international| unported)?",
+    ("cc-by-sa", "attribution share", "creative commons attribution share ?alike(?: international| unported)?",
      ("2.0", "3.0", "4.0")),
-    ("cc-by-nc", "attribution noncommercial", "creative commons attribution non ?commercial(?: international| unported)?",
+    ("cc-by-nc", "attribution non", "creative commons attribution non ?commercial(?: international| unported)?",
      ("2.0", "3.0", "4.0")),
     ("public-domain", " public domain", "(?:dedicated to|released into|in) the public domain", ()),
     ("proprietary", " rights reserved", "all rights reserved", ()),

@@ -145,6 +145,51 @@ def test_licenses_match_brute_force(spark):
     assert license_scan.scan(messy(spark, True), ["doc_id"]).count() == 10 and license_scan.scan(docs(spark), ["doc_id"]).count() == 0
 
 
+def matched_strings(parsed):
+    """Every string that a rule's regex can match (literals, sets, alternatives and optional parts; the lookahead's space too)."""
+    out = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(arg)]
+        elif name == "IN":
+            more = [chr(x) for _, x in arg]
+        elif name == "BRANCH":
+            more = [x for branch in arg[1] for x in matched_strings(branch)]
+        elif name == "MAX_REPEAT":
+            assert tuple(arg[:2]) == (0, 1)
+            more = ["", *matched_strings(arg[2])]
+        elif name == "SUBPATTERN":
+            more = matched_strings(arg[3])
+        else:
+            assert name == "ASSERT", name
+            more = matched_strings(arg[1])
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_license_gates_follow_from_every_rule():
+    from re import _parser
+    lost = [(r["regex"], s) for r in license_scan.rules() for s in matched_strings(_parser.parse(r["regex"]))
+            if r["kw"] not in s or not any(g in s for g in license_scan.GATES)]
+    assert lost == []
+
+
+def test_licenses_match_brute_force_without_gates(spark, monkeypatch):
+    want = {"This is the Unlicense": "unlicense", "WTFPL v2": "wtfpl-2.0", "WTFPLv2": "wtfpl-2.0", "BSD 3-Clause": "bsd-3-clause",
+            "released under Apache 2.0": "apache-2.0", "Creative Commons Attribution Non-Commercial": "cc-by-nc",
+            "Creative Commons Attribution Share Alike 4.0": "cc-by-sa-4.0", "the X11 License": "mit", "CC-BY4.0": "cc-by-4.0",
+            "CC-BY-NC-SA4.0": "cc-by,cc-by-nc-sa-4.0", "CC0v1": "cc0-1.0", "MIT/X11 license": "mit", "x11 only": ""}
+    d = docs(spark, *want).unionByName(spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(
+        (F.col("doc_id") + 1000).alias("doc_id"), "text", "lang", "source", "n_chars"))
+    got = license_scan.summarise(license_scan.scan(d, ["doc_id", "text"]), ["doc_id", "text"]).collect()
+    assert {r["text"]: r["labels"] for r in got if r["doc_id"] < 1000} == want
+    monkeypatch.setattr(license_scan, "GATES", ("",))
+    table = [r | {"kw": ""} for r in license_scan.rules()]
+    for r in got:
+        assert tuple(r)[2:] == pytest.approx(brute_licenses(r["text"], table)), r["text"]
+
+
 # ---- 3 quality ------------------------------------------------------------------------------------------
 
 def test_quality_defined_results(spark):
