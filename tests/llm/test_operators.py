@@ -309,6 +309,43 @@ def test_decontamination_defined_results(spark):
     assert decontam.find_leaks(docs(spark), items).count() == 0 and decontam.find_leaks(leaky, items.limit(0)).count() == 0
 
 
+def test_decontamination_finds_long_items_at_the_bound(spark):
+    rng = random.Random(12)
+    vocab = [f"v{i}" for i in range(3000)]
+    items = [[rng.choice(vocab) for _ in range(n)] for n in (40, 100, 200, 200, 300, 300, 400, 500)]
+    texts, want = [], {}
+    for i, item in enumerate(items):
+        for kind in ("insert", "delete"):
+            copy = list(item)
+            for _ in range(len(item) // 5):
+                if kind == "insert":
+                    copy.insert(rng.randrange(len(copy)), rng.choice(vocab))
+                else:
+                    del copy[rng.randrange(len(copy))]
+            want[(len(texts), i)] = edits(item, copy)[len(copy)]
+            texts.append([rng.choice(vocab) for _ in range(rng.randrange(200))] + copy + [rng.choice(vocab) for _ in range(rng.randrange(200))])
+    item_df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id bigint, text string")
+    d = docs(spark, *[" ".join(t) for t in texts])
+    got = {(r["doc_id"], r["item_id"]): r for r in decontam.find_leaks(d, item_df).collect()}
+    assert set(got) == set(want)
+    for (t, i), r in got.items():
+        assert r["n_words"] == len(items[i]) and r["distance"] <= want[(t, i)]
+        assert edits(items[i], texts[t][r["first_word"]:r["last_word"] + 1])[-1] == r["distance"]
+    assert decontam.drop_leaks(d, item_df).count() == 0
+
+
+def test_closest_stretch_matches_brute_force():
+    rng = np.random.default_rng(3)
+    for n, size in ((3, 12), (6, 20), (9, 9)):
+        items, word = rng.integers(0, 4, (20, n)).astype(np.uint64), rng.integers(0, 4, 50).astype(np.uint64)
+        first = rng.integers(0, 25, 20)
+        starts, end = rng.integers(1, size, 20), first + size
+        d, a = decontam.closest(items, word, first, starts, end)
+        for r in range(20):
+            every = [min(edits(items[r].tolist(), word[p:end[r]].tolist())) for p in range(first[r], first[r] + starts[r])]
+            assert d[r] == min(every) and a[r] == first[r] + every.index(min(every))
+
+
 # ---- 6 URLs ---------------------------------------------------------------------------------------------
 
 def test_url_rules_and_collisions(spark):
