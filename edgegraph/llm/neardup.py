@@ -326,11 +326,16 @@ def _class_id():
 def components(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, t (hash of the text), n_shingles, component_id, kept for every row: linked are documents with 100 * intersection >= ``percent`` *
     union; component_id is the smallest doc_id reachable."""
+    return _survivors(docs, percent).drop("stays")
+
+
+def _survivors(docs: DataFrame, percent: int) -> DataFrame:
+    """:func:`components` with ``stays``: the rows of the component's first (doc_id, t), null ids last."""
     sk = ckpt(sketches(docs))
     key = ["n", "s1", "s2"]
     # rep: the class; doc: a document that holds its text
     classes = ckpt(sk.where("n > 0").groupBy(*key).agg(
-        F.min("doc_id").alias("least"), F.min(_doc()).alias("doc"), F.first("sig").alias("sig"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "t")).alias("least"), F.min(_doc()).alias("doc"), F.first("sig").alias("sig"),
         F.first("oph").alias("oph"), F.count(F.lit(1)).alias("size")).withColumn("rep", _class_id()))
     labels = connected_components(links(docs, classes.select("rep", "doc", "n", "sig", "oph"), percent))
     labels = classes.select("rep", "least").join(labels.withColumnRenamed("v", "rep"), "rep")
@@ -338,18 +343,20 @@ def components(docs: DataFrame, percent: int = 80) -> DataFrame:
     named = (classes.join(labels.join(ids, "component").select("rep", "id"), "rep", "left")
              .where("size > 1 OR id IS NOT NULL").select(*key, F.coalesce("id", "least").alias("id")))
     return (sk.select("doc_id", "t", *key).join(named, key, "left")
-            .select("doc_id", "t", F.col("n").alias("n_shingles"), F.coalesce("id", "doc_id").alias("component_id"))
+            .select("doc_id", "t", F.col("n").alias("n_shingles"), F.coalesce("id.doc_id", "doc_id").alias("component_id"),
+                    (F.col("id").isNull() | (F.col("doc_id").eqNullSafe(F.col("id.doc_id")) & (F.col("t") == F.col("id.t"))))
+                    .alias("stays"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def drop_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each component, all columns unchanged. Of rows that agree in doc_id and text
-    one is kept."""
-    c = ckpt(components(docs, percent))
+    """The rows of ``docs`` that stay: one of each component, the first by doc_id (null ids last) and hash of the text, all
+    columns unchanged. Of rows that agree in doc_id and text one is kept."""
+    c = ckpt(_survivors(docs, percent))
     key = ["_doc", "_t"]
-    gone = c.where(~F.col("kept")).select(_doc().alias("_doc"), F.col("t").alias("_t")).distinct()
+    gone = c.where(~F.col("stays")).select(_doc().alias("_doc"), F.col("t").alias("_t")).distinct()
     stay = docs.select(F.struct(*docs.columns).alias("_row"), _doc().alias("_doc"), F.xxhash64("text").alias("_t")).join(
         gone, key, "left_anti")
-    if c.where("kept").groupBy("doc_id").count().where("count > 1").limit(1).count():
+    if c.where("stays").groupBy("doc_id").count().where("count > 1").limit(1).count():
         stay = stay.dropDuplicates(key)
     return stay.select("_row.*")

@@ -563,3 +563,14 @@ def test_near_dup_defined_results(spark):
     c = {r["doc_id"]: r for r in neardup.components(m).collect()}
     assert c[4]["component_id"] == 3 and not c[4]["kept"] and c[0]["n_shingles"] == 0 and c[0]["kept"] and c[None]["component_id"] is None
     assert neardup.components(docs(spark)).count() == 0 and neardup.drop_copies(docs(spark)).count() == 0
+
+
+def test_one_of_near_copies_with_null_or_equal_ids_stays(spark):
+    def family(name):
+        words = [f"{name}{i}" for i in range(100)]
+        return [" ".join(words), " ".join(words[:-1]), " ".join(words[1:])]
+    rows = [(None, x) for f in ("a", "b") for x in family(f)] + [(7, x) for x in family("c")]
+    rows += list(zip((None, 9, 9), family("d"))) + [(7, "alone in its component with an id of others")]
+    d = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    got = [(r["doc_id"], r["text"][0]) for r in neardup.drop_copies(d).collect()]
+    assert sorted(got, key=str) == sorted([(None, "a"), (None, "b"), (7, "c"), (9, "d"), (7, "a")], key=str)
