@@ -1,12 +1,12 @@
 """DuckDB SQL twins of the ``opN_<name>`` queries, where SQL can express the operator.
 
-None for op1 (a trained model: held-out accuracy is tested), op2 (several hundred regexes with look-ahead) and op5 (LSH):
-these are tested against brute force.
+None for op1 (a trained model: held-out accuracy is tested), op2 (several hundred regexes with look-ahead), op5 (LSH) and
+op11 (merges by rank): these are tested against brute force.
 """
 
 from __future__ import annotations
 
-from edgegraph.llm import mixing, quality, url_filter
+from edgegraph.llm import mixing, ns_clusters, quality, url_filter, vector_codes
 
 WORD = r"[^\x20\x09-\x0D]+"
 ASCII_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -186,6 +186,62 @@ _NEAR = f"""
     FROM n LEFT JOIN r ON r.k = n.k AND n.n > 0 LEFT JOIN lab ON lab.v = r.rep"""
 
 
+def _assign(name: str, centers: str, key: str, entries: int) -> str:
+    """Nearest centre of every row (rid, ``key``, y): m // entries is the squared distance, m % entries the entry."""
+    return f"""{name} AS MATERIALIZED (SELECT rid, p.{key}, min(list_sum([(y[i] - c[i]) * (y[i] - c[i]) for i in range(1, len(y) + 1)])::BIGINT
+            * {entries} + entry) AS m FROM p JOIN {centers} USING ({key}) GROUP BY rid, p.{key})"""
+
+
+def _update(name: str, centers: str, assigned: str, key: str, entries: int) -> str:
+    """Centres replaced by the componentwise floor of their rows' mean."""
+    return f"""{name} AS MATERIALIZED (
+      SELECT o.{key}, o.entry, coalesce(n.c, o.c) AS c FROM {centers} o LEFT JOIN (
+        SELECT {key}, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+          SELECT {key}, m % {entries} AS entry, i, sum(v)::BIGINT AS s, count(*) AS n FROM (
+            SELECT {key}, m, unnest(y) AS v, generate_subscripts(y, 1) AS i FROM p JOIN {assigned} USING (rid, {key})) GROUP BY ALL)
+        GROUP BY ALL) n USING ({key}, entry))"""
+
+
+def _rounds(key: str, entries: int, rounds: int) -> str:
+    steps = []
+    for i in range(rounds):
+        steps += [_assign(f"a{i}", f"c{i}", key, entries), _update(f"c{i + 1}", f"c{i}", f"a{i}", key, entries)]
+    return ", ".join([*steps, _assign("last", f"c{rounds}", key, entries)])
+
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _codes() -> str:
+    n, e = vector_codes.PARTS, vector_codes.ENTRIES
+    return f"""
+    WITH v AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+                      list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS x FROM embeddings WHERE {_FINITE}),
+    p AS MATERIALIZED (SELECT rid, part, x[part * (len(x) // {n}) + 1:(part + 1) * (len(x) // {n})] AS y
+                       FROM (SELECT rid, x, unnest(range({n})) AS part FROM v)),
+    c0 AS (SELECT part, rid - 1 AS entry, y AS c FROM p WHERE rid <= {e}),
+    {_rounds("part", e, vector_codes.ROUNDS)},
+    r AS (SELECT rid, string_agg(printf('%02x', m % {e}), '' ORDER BY part) AS code, sum(m // {e})::BIGINT AS error FROM last GROUP BY rid),
+    h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{vector_codes.ROUNDS})
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM v JOIN r USING (rid), h"""
+
+
+def _clusters() -> str:
+    k = ns_clusters.CLUSTERS
+    return f"""
+    WITH v AS (SELECT row_number() OVER (ORDER BY sha256('{ns_clusters.SEED}:' || vec_id), embedding) AS rid, vec_id, 0 AS part,
+                      list_transform(embedding, lambda x: floor({ns_clusters.SCALE} * x::DOUBLE)::BIGINT) AS y FROM embeddings
+               WHERE len(embedding) = {ns_clusters.DIMS} AND {_FINITE}),
+    p AS MATERIALIZED (SELECT rid, part, y FROM v),
+    c0 AS (SELECT part, rid - 1 AS entry, y AS c FROM p WHERE rid <= {k}),
+    {_rounds("part", k, ns_clusters.ROUNDS)},
+    r AS (SELECT rid, (m % {k})::INTEGER AS cluster, m // {k} AS distance FROM last)
+    SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+           (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM v JOIN r USING (rid) JOIN c{ns_clusters.ROUNDS} ON entry = cluster"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op3_quality_rules": _quality(), "op4_warc": _WARC, "op6_url_filters": _urls(), "op7_line_dedup": _LINES,
-            "op8_lm_scoring": _LM, "op9_mixing": _mix(), "op10_minhash_neardup": _NEAR}
+            "op8_lm_scoring": _LM, "op9_mixing": _mix(), "op10_minhash_neardup": _NEAR,
+            "op12_vector_codes": _codes(), "op13_centroid_clusters": _clusters()}

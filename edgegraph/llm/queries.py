@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgegraph.llm import (decontam, kneser_ney, langid, license_scan, line_dedup, mixing, neardup, quality,
-                            url_filter, warc)
+from edgegraph.llm import (byte_bpe, decontam, kneser_ney, langid, license_scan, line_dedup, mixing, neardup, ns_clusters,
+                            quality, url_filter, vector_codes, warc)
 from edgegraph.llm.oracles import oracle_sql  # noqa: F401
 from edgegraph.sources.tables import load_table
 
@@ -70,7 +70,29 @@ def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components(load_table(spark, sf_dir, "documents"), percent=85).drop("t")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = byte_bpe.encode(load_table(spark, sf_dir, "documents"), path, ["doc_id"])
+    return byte_bpe.decode(ids, path, ["doc_id", "ids"]).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = vector_codes.compress(load_table(spark, sf_dir, "embeddings"), ["vec_id", "label"])
+    return vector_codes.label_errors(rows).select("vec_id", "code", "error", "label_error",
+                                                  F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, centroids = ns_clusters.cluster(load_table(spark, sf_dir, "embeddings"), ["vec_id"])
+    return ns_clusters.with_inertia(rows, centroids).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (
         op1_language_id, op2_license_scans, op3_quality_rules, op4_warc, op5_decontamination, op6_url_filters,
-        op7_line_dedup, op8_lm_scoring, op9_mixing, op10_minhash_neardup)}
+        op7_line_dedup, op8_lm_scoring, op9_mixing, op10_minhash_neardup, op11_byte_bpe, op12_vector_codes, op13_centroid_clusters)}
