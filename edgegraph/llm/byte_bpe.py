@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from edgegraph.llm import textwords as tw
 
-CHUNK_BYTES = 1 << 23
+CHUNK_BYTES = 1 << 20
 LONGEST = 512
 NO_RANK = np.int32(np.iinfo(np.int32).max)
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
