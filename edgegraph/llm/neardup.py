@@ -2,16 +2,19 @@
 
 Method: a document is the set of its distinct 5-word shingles. Equal sets form one class, and only class representatives go
 on. A representative posts its ``COORDS`` MinHash values as (coordinate, value) tokens. Prefix merging: two signatures
-that agree in at least ``MATCH`` coordinates share a token among the ``COORDS - MATCH + 1`` rarest of each, so only
+that agree in at least as many coordinates as :func:`match_threshold` asks share a token among the rarest of each, so only
 those are posted; tokens that nobody else has fill the prefix for free, and frequent ones are skipped. Collisions are
 then counted over the whole signatures, pairs above the match threshold are kept, and every link is confirmed on the
 full shingle sets.
 
-A posting list of m documents isn't expanded to all its pairs. First each list, sorted by set size, links neighbours only;
-the components of the confirmed links settle most lists. What remains are pairs of different components inside one
-list: those are compared in blocks of ``BLOCK`` documents, and block pairs that lie inside one component are never
-formed. So a hot list is spread over many small tasks. The promising pairs are confirmed on the full sets, the likeliest of
-every two components first, until none is left between different components: no link that would join two is missed.
+A posting list isn't expanded to pairs of rows. The member of a list whose values are the commonest is its hub (the text that
+others are copies of), and lists with one hub are merged, so a group of copies becomes one list and not one per coordinate. A
+list is cut into blocks of bounded bytes, each with the hub beside it. Documents that no estimate pairs with another are dropped; the others
+meet in their block with their sets: a task compares signatures in numpy, confirms promising pairs of different components on the
+sets, the likeliest first, and returns the links that joined two components, fewer than it has documents. Lists of several
+blocks that still hold different components then compare blocks at growing distance, ``STEPS`` distances a round; after each
+round the labels are renewed and settled lists leave. Pairs that are ruled out never become rows, and none is skipped but those inside
+one component.
 
 Defined results: null or blank text has an empty set, no links and is its own component; fewer than five words count as
 one shingle; a null doc_id can link others and has the smallest non-null id of its component, or null; rows with
@@ -21,6 +24,7 @@ the same doc_id and text get the same answer; an empty table gives an empty resu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,20 +34,31 @@ from pyspark.sql import functions as F
 from edgegraph.llm import textwords as tw
 from edgegraph.llm.tables import ckpt
 from edgegraph.operators.components import connected_components
-from edgegraph.operators.positions import keyed_position
+from edgegraph.operators.positions import OrderedFrame
 
 SHINGLE = 5
 COORDS = 64
-# At a similarity of 0.85 fewer than 36 of 64 coordinates agree with a probability of 6e-8, at 0.8 with 4e-6.
-MATCH = 36
+MISS = 1e-6
 BINS = 256
-# Five and a half standard deviations of a 256-bin estimate.
+# Four standard deviations of a 256-bin estimate at a similarity of 0.5, five at 0.8 and more.
 SLACK = 0.125
-BLOCK = 2048
+BLOCK_BYTES = 1 << 24
+STEPS = 4
 _A = tw.mix64(np.arange(1, COORDS + 1, dtype=np.uint64)) | np.uint64(1)
 _B = tw.mix64(np.arange(1001, COORDS + 1001, dtype=np.uint64))
 
 
+def match_threshold(percent: int) -> int:
+    """Coordinates that must agree: at this similarity fewer do with a probability of at most ``MISS``."""
+    p, below, m = percent / 100, 0.0, 0
+    while m < COORDS:
+        below += math.comb(COORDS, m) * p ** m * (1 - p) ** (COORDS - m)
+        if below > MISS:
+            break
+        m += 1
+    return max(1, m)
+
+
 def shingle_sets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(hashes, bounds)``: text i's distinct shingles, ascending, are ``hashes[bounds[i]:bounds[i + 1]]``."""
     n = len(offs) - 1
@@ -110,20 +125,17 @@ def _tokens(batches: Iterator) -> Iterator:
                                              names=["rep", "token"])
 
 
-def postings(reps: DataFrame, match: int = MATCH) -> DataFrame:
-    """token, rep: the prefix tokens that another representative has as well."""
+def postings(reps: DataFrame, match: int) -> DataFrame:
+    """token, rep, weight: the prefix tokens that another representative has as well; weight adds up how many have each of the
+    representative's values."""
     tokens = reps.select("rep", "sig").mapInArrow(_tokens, "rep bigint, token bigint")
     df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = tokens.join(df, "token")
     per_rep = Window.partitionBy("rep")
     prefix = COORDS - match + 1
-    return (shared.withColumn("alone", COORDS - F.count(F.lit(1)).over(per_rep))
+    return (shared.withColumn("alone", COORDS - F.count(F.lit(1)).over(per_rep)).withColumn("weight", F.sum("df").over(per_rep))
             .withColumn("rank", F.row_number().over(per_rep.orderBy("df", "token")))
-            .where(F.col("alone") + F.col("rank") <= prefix).select("token", "rep"))
-
-
-def _near_in_size(a: str, b: str, similarity: float):
-    return F.least(a, b) >= F.greatest(a, b) * F.lit(similarity - 1e-9)
+            .where(F.col("alone") + F.col("rank") <= prefix).select("token", "rep", "weight"))
 
 
 def _estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -132,19 +144,6 @@ def _estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ((x == y) & (x > 0)).sum(-1) / np.maximum(used, 1)
 
 
-def _promising(batches: Iterator, similarity: float) -> Iterator:
-    """a, b, sig_a, sig_b, oph_a, oph_b -> a, b of the pairs that both estimates let through."""
-    import pyarrow as pa
-    for batch in batches:
-        for at in range(0, batch.num_rows, 2048):
-            b = batch.slice(at, 2048)
-            sa, sb, oa, ob = (np.frombuffer(b"".join(b.column(i).to_pylist()), t).reshape(b.num_rows, -1)
-                              for i, t in ((2, np.uint32), (3, np.uint32), (4, np.uint8), (5, np.uint8)))
-            ok = ((sa == sb).sum(1) >= MATCH) & (_estimate(oa, ob) >= similarity - SLACK)
-            ok = pa.array(ok)
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], names=["a", "b"])
-
-
 def _digests(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two order-free 64-bit digests of each set; 0 for an empty one."""
     full = np.flatnonzero(np.diff(bounds) > 0)
@@ -167,19 +166,6 @@ def _sets(batches: Iterator) -> Iterator:
                 names=["n", "s1", "s2", "set"])
 
 
-def _confirmed(batches: Iterator, percent: int) -> Iterator:
-    """a, b, set_a, set_b -> a, b with 100 * intersection >= percent * union."""
-    import pyarrow as pa
-    for b in batches:
-        keep = []
-        for x, y in zip(b.column(2), b.column(3)):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= percent * (len(x) + len(y) - both))
-        keep = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
-
-
 def _groups(batches: Iterator, keys: int) -> Iterator:
     """Consecutive rows with equal first ``keys`` columns, as tables, across batch borders."""
     import pyarrow as pa
@@ -201,128 +187,185 @@ def _groups(batches: Iterator, keys: int) -> Iterator:
         yield pa.Table.from_batches(held)
 
 
-def _block_pairs(batches: Iterator, similarity: float) -> Iterator:
-    """Rows (token, bi, bj, side, rep, n, comp, posted, sig, oph) of one block pair at a time -> promising pairs a < b
-    of different components. A pair that shares several lists is taken in that of its first common posted coordinate."""
+def _stack(column, dtype, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(-1, width)
+
+
+def _promising(x, y, n, sig, oph, similarity: float, match: int) -> np.ndarray:
+    """Which aligned pairs (x may be one row) may be links: by set size, agreeing coordinates and the binned estimate."""
+    ok = np.minimum(n[x], n[y]) >= np.maximum(n[x], n[y]) * (similarity - 1e-9)
+    ok[ok] = (sig[y[ok]] == sig[x[ok] if np.ndim(x) else x]).sum(-1) >= match
+    ok[ok] = _estimate(oph[y[ok]], oph[x[ok] if np.ndim(x) else x]) >= similarity - SLACK
+    return ok
+
+
+def _live(batches: Iterator, similarity: float, match: int) -> Iterator:
+    """Lists of (hub, rep, n, sig, oph) -> hub, rep of the members that may be linked with another member."""
     import pyarrow as pa
-    bits = np.uint64(1) << np.arange(COORDS, dtype=np.uint64)
-    for t in _groups(batches, 3):
-        c = int(t.column("token")[0].as_py()) >> 32
-        side = t.column("side").to_numpy()
-        rep, n, comp = (t.column(x).to_numpy() for x in ("rep", "n", "comp"))
-        posted = (t.column("posted").to_numpy().view(np.uint64)[:, None] & bits) > 0
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, COORDS)
-        oph = np.frombuffer(b"".join(t.column("oph").to_pylist()), np.uint8).reshape(-1, BINS)
-        i = np.flatnonzero(side == 0)
-        j = np.flatnonzero(side == 1) if (side == 1).any() else i
-        out_a, out_b, out_e = [], [], []
-        for x in i:
-            y = j[(comp[j] != comp[x])]
-            if j is i:
-                y = y[y > x]
-            y = y[np.minimum(n[y], n[x]) >= np.maximum(n[y], n[x]) * (similarity - 1e-9)]
-            if not len(y):
-                continue
-            agree = sig[y] == sig[x]
-            y, agree = y[agree.sum(1) >= MATCH], agree[agree.sum(1) >= MATCH]
-            if not len(y):
-                continue
-            mine = np.argmax(agree & posted[y] & posted[x], axis=1) == c
-            y = y[mine]
-            if len(y):
-                like = _estimate(oph[y], oph[x])
-                y, like = y[like >= similarity - SLACK], like[like >= similarity - SLACK]
-                out_a.append(np.minimum(rep[y], rep[x]))
-                out_b.append(np.maximum(rep[y], rep[x]))
-                out_e.append(like)
-        if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_a, out_b, out_e)], names=["a", "b", "like"])
-
-
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    j = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
-         .join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b"))
-    return j.select("a", "b", "set_a", "set_b").mapInArrow(lambda it: _confirmed(it, percent), "a bigint, b bigint")
-
-
-def links(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """src, trg: confirmed links between representatives that connect exactly what all links connect."""
+    for t in _whole_lists(batches):
+        hub, rep, n = (t.column(i).to_numpy() for i in range(3))
+        sig, oph = _stack(t.column(3), np.uint32, COORDS), _stack(t.column(4), np.uint8, BINS)
+        cuts = np.concatenate([[0], np.flatnonzero(hub[1:] != hub[:-1]) + 1, [len(hub)]])
+        live = np.zeros(len(hub), bool)
+        end = np.repeat(cuts[1:], np.diff(cuts))
+        for step in range(1, int(np.diff(cuts).max())):  # members at this distance in their lists
+            x = np.arange(len(hub) - step)
+            x = x[x + step < end[x]]
+            for at in range(0, len(x), 1 << 14):
+                a = x[at:at + (1 << 14)]
+                a = a[~(live[a] & live[a + step])]
+                ok = _promising(a, a + step, n, sig, oph, similarity, match)
+                live[a[ok]] = live[a[ok] + step] = True
+        yield pa.RecordBatch.from_arrays([pa.array(hub[live]), pa.array(rep[live])], names=["hub", "rep"])
+
+
+def _whole_lists(batches: Iterator) -> Iterator:
+    """The rows in tables that end where a list (first column) ends."""
+    import pyarrow as pa
+    held: list = []
+    held_key = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = b.column(0).to_numpy()
+        if held and held_key != key[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        change = np.flatnonzero(key[1:] != key[:-1])
+        if len(change):
+            held.append(b.slice(0, int(change[-1]) + 1))
+            yield pa.Table.from_batches(held)
+            held, b = [], b.slice(int(change[-1]) + 1)
+        held.append(b)
+        held_key = key[-1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _joining_links(side, n, comp, sig, oph, shingles, bounds, percent: int, match: int) -> list[tuple[int, int]]:
+    """Confirmed links (row numbers) that connect exactly what all links between the two sides connect, given components. Rows
+    with the commonest values come first, so that the links of a hub settle its copies before they are compared."""
     similarity = percent / 100
-    posts = ckpt(postings(reps))
-    active = posts.groupBy("rep").agg(F.bit_or(F.expr("shiftleft(1L, CAST(shiftright(token, 32) AS int))")).alias("posted"))
-    active = ckpt(reps.join(active, "rep").select("rep", "doc", "n", "posted", "sig", "oph"))
-    sets = (docs.select(_doc().alias("doc"), "text").join(active.select("doc"), "doc", "left_semi").select("text")
-            .mapInArrow(_sets, "n bigint, s1 bigint, s2 bigint, set binary")
-            .select(_class_id().alias("rep"), "set").join(active.select("rep"), "rep", "left_semi"))
-    sets = ckpt(sets.groupBy("rep").agg(F.first("set").alias("set")))
-    # 1. neighbours by set size within each list
-    ordered = keyed_position(posts.join(active.select("rep", "n"), "rep"), ["token"], ["n", "rep"], "at")
-    ordered = ckpt(ordered)
-    near = None
-    for step in (1, 2):
-        other = ordered.select("token", (F.col("at") - step).alias("at"), F.col("rep").alias("rep2"), F.col("n").alias("n2"))
-        p = (ordered.join(other, ["token", "at"]).where(_near_in_size("n", "n2", similarity))
-             .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")))
-        near = p if near is None else near.unionByName(p)
-    side = [active.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("oph").alias(f"oph_{x}")) for x in "ab"]
-    near = (near.distinct().join(side[0], "a").join(side[1], "b").select("a", "b", "sig_a", "sig_b", "oph_a", "oph_b")
-            .mapInArrow(lambda it: _promising(it, similarity), "a bigint, b bigint"))
-    first = ckpt(_confirm(near, sets, percent).select(F.col("a").alias("src"), F.col("b").alias("trg")))
-    labels = connected_components(first)
-    # 2. different components inside one list, in blocks
-    comp = active.select("rep").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select(
-        "rep", F.coalesce("component", "rep").alias("comp"))
-    member = posts.join(comp, "rep")
-    mixed = (member.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo < hi").select("token"))
-    member = ckpt(keyed_position(member.join(mixed, "token"), ["token"], ["comp", "rep"], "at")
-                  .select("token", "rep", "comp", F.expr(f"(at - 1) div {BLOCK}").alias("block")))
-    blocks = member.groupBy("token", "block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    other = blocks.select("token", F.col("block").alias("bj"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    both = (blocks.join(other, "token").where(
-        (F.col("block") <= F.col("bj")) & ~((F.col("lo") == F.col("hi2")) & (F.col("hi") == F.col("lo2"))))
-        .select("token", F.col("block").alias("bi"), "bj"))
-    sides = both.select("token", "bi", "bj", F.col("bi").alias("block"), F.lit(0).alias("side")).unionByName(
-        both.where("bi < bj").select("token", "bi", "bj", F.col("bj").alias("block"), F.lit(1).alias("side")))
-    rows = (sides.join(member, ["token", "block"]).join(active, "rep")
-            .select("token", "bi", "bj", "side", "rep", "n", "comp", "posted", "sig", "oph"))
-    rows = rows.repartition("token", "bi", "bj").sortWithinPartitions("token", "bi", "bj", "side", "rep")
-    open_pairs = ckpt(rows.mapInArrow(lambda it: _block_pairs(it, similarity), "a bigint, b bigint, like double")
-                      .dropDuplicates(["a", "b"]))
-    return _settle(open_pairs, sets, labels, percent)
-
-
-def _settle(open_pairs: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Star forest (src, trg) of all links, given the components ``labels`` of some of them and the promising pairs
-    (a, b, like) between different ones. A confirmed link saves the other pairs of its two components, so the likeliest
-    pairs of every two components are confirmed first, four times as many in each round, until no pair is open."""
-    take = 1
-    while True:
-        side = [labels.select(F.col("v").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"]
-        live = (open_pairs.join(side[0], "a", "left").join(side[1], "b", "left")
-                .select("a", "b", "like", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
-                .where("ca <> cb"))
-        salt = F.pmod(F.xxhash64("a", "b"), F.lit(16))  # two large components may share very many pairs
-        w = Window.partitionBy(F.least("ca", "cb"), F.greatest("ca", "cb"), salt).orderBy(F.desc("like"), "a", "b")
-        live = ckpt(live.withColumn("rank", F.row_number().over(w)).select("a", "b", "like", "rank"))
-        forest = labels.where("v <> component").select(F.col("v").alias("src"), F.col("component").alias("trg"))
-        if not live.limit(1).count():
-            return forest
-        new = ckpt(_confirm(live.where(F.col("rank") <= take).select("a", "b"), sets, percent))
-        if new.limit(1).count():
-            labels = connected_components(forest.unionByName(new.select(F.col("a").alias("src"), F.col("b").alias("trg"))))
-        open_pairs = live.where(F.col("rank") > take).select("a", "b", "like")
-        take *= 4
+    _, word = np.unique(shingles, return_inverse=True)
+    mark = np.zeros(len(word) + 1, bool)
+    _, label = np.unique(comp, return_inverse=True)
+    common = np.zeros(len(n), np.int64)
+    for c in range(COORDS):
+        _, at, times = np.unique(sig[:, c], return_inverse=True, return_counts=True)
+        common += times[at]
+    order = np.argsort(-common, kind="stable")
+    left = order[side[order] == 0]
+    right = order[side[order] == 1]
+    within = not len(right)
+    out: list[tuple[int, int]] = []
+    for k, x in enumerate(left.tolist()):
+        y = left[k + 1:] if within else right
+        y = y[label[y] != label[x]]
+        if not len(y):
+            continue
+        y = y[_promising(x, y, n, sig, oph, similarity, match)]
+        if not len(y):
+            continue
+        y = y[np.argsort(-_estimate(oph[y], oph[x]), kind="stable")]
+        mine = word[bounds[x]:bounds[x + 1]]
+        mark[mine] = True
+        take = 1
+        while len(y):
+            some, y = y[:take], y[take:]
+            length = bounds[some + 1] - bounds[some]
+            ends = np.cumsum(length)
+            cells = np.arange(ends[-1]) + np.repeat(bounds[some] - (ends - length), length)
+            both = np.add.reduceat(mark[word[cells]].astype(np.int64), ends - length)
+            for z in some[100 * both >= percent * (n[x] + n[some] - both)].tolist():
+                if label[z] != label[x]:
+                    out.append((x, z))
+                    label[label == label[z]] = label[x]
+            y = y[label[y] != label[x]]
+            take = min(take * 4, 256)
+        mark[mine] = False
+        if label.max() == label.min():
+            break
+    return out
+
+
+def _block_links(batches: Iterator, percent: int, match: int) -> Iterator:
+    """Rows (hub, bi, bj, side, rep, n, comp, sig, oph, set) of one pair of blocks (or one block) at a time -> src, trg."""
+    import pyarrow as pa
+    for t in _groups(batches, 3):
+        if t.num_rows < 2:
+            continue
+        side, rep, n, comp = (t.column(x).to_numpy() for x in ("side", "rep", "n", "comp"))
+        sig, oph = _stack(t.column("sig"), np.uint32, COORDS), _stack(t.column("oph"), np.uint8, BINS)
+        shingles = np.frombuffer(b"".join(t.column("set").to_pylist()), np.uint64)
+        found = _joining_links(side, n, comp, sig, oph, shingles, np.concatenate([[0], np.cumsum(n)]), percent, match)
+        if found:
+            a, b = np.array(found).T
+            yield pa.RecordBatch.from_arrays([pa.array(rep[a]), pa.array(rep[b])], names=["src", "trg"])
+
+
+def _meet(rows: DataFrame, features: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
+    """Links (src, trg) found between the blocks that ``rows`` (hub, bi, bj, side, rep) bring together."""
+    rows = rows.join(features, "rep")
+    if labels is None:
+        rows = rows.withColumn("comp", F.col("rep"))
+    else:
+        rows = rows.join(labels.withColumnRenamed("v", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
+    rows = (rows.select("hub", "bi", "bj", "side", "rep", "n", "comp", "sig", "oph", "set")
+            .repartition("hub", "bi", "bj").sortWithinPartitions("hub", "bi", "bj", "side", "rep"))
+    match = match_threshold(percent)
+    return ckpt(rows.mapInArrow(lambda it: _block_links(it, percent, match), "src bigint, trg bigint"))
+
+
+def _forest(labels: DataFrame) -> DataFrame:
+    return labels.where("v <> component").select(F.col("v").alias("src"), F.col("component").alias("trg"))
+
+
+def link_labels(docs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """v, component: the components of all confirmed links between representatives (rep, doc, n, s1, s2, sig, oph)."""
+    similarity, match = percent / 100, match_threshold(percent)
+    posts = ckpt(postings(reps, match))
+    hubs = (posts.groupBy("token").agg(F.max_by("rep", F.struct("weight", "rep")).alias("hub"), F.count(F.lit(1)).alias("k"))
+            .where("k > 1").drop("k"))
+    member = posts.join(hubs, "token").groupBy("hub", "rep").agg((-F.max("weight")).alias("light"))
+    cost = (F.col("n") * 8 + 4096).cast("bigint")
+    member = OrderedFrame(member.join(reps.select("rep", "n"), "rep").withColumn("cost", cost), ["hub"], ["light", "rep"])
+    member = ckpt(member.running("bytes", "cost", "sum").result()
+                  .select("hub", "rep", F.expr(f"(bytes - cost) div {BLOCK_BYTES}").alias("block")))
+    long = ckpt(member.where("block > 0").groupBy("hub").agg(F.max("block").alias("last")))
+    short = (member.join(long, "hub", "left_anti").join(reps.select("rep", "n", "sig", "oph"), "rep").select("hub", "rep", "n", "sig", "oph")
+             .repartition("hub").sortWithinPartitions("hub", "rep"))
+    live = ckpt(short.mapInArrow(lambda it: _live(it, similarity, match), "hub bigint, rep bigint").withColumn("block", F.lit(0).cast("bigint"))
+                .unionByName(member.join(long, "hub", "left_semi")))
+    chosen = reps.join(live.select("rep").distinct(), "rep", "left_semi")
+    sets = (docs.select(_doc().alias("doc"), "text").join(chosen.select("doc"), "doc", "left_semi").select("text")
+            .mapInArrow(_sets, "n bigint, s1 bigint, s2 bigint, set binary"))
+    features = ckpt(sets.join(chosen.select("rep", "n", "s1", "s2", "sig", "oph"), ["n", "s1", "s2"])
+                    .groupBy("rep").agg(*[F.first(c).alias(c) for c in ("n", "sig", "oph", "set")]))
+    # every block by itself, with its list's hub
+    beside = long.select("hub", F.explode(F.sequence(F.lit(1).cast("bigint"), "last")).alias("block")).withColumn("rep", F.col("hub"))
+    rows = live.unionByName(beside).distinct().select("hub", F.col("block").alias("bi"), F.col("block").alias("bj"), F.lit(0).alias("side"), "rep")
+    labels = connected_components(_meet(rows, features, None, percent))
+    # blocks of one list at growing distance
+    step, most = 1, long.agg(F.max("last")).first()[0] or 0
+    while step <= most:
+        comp = member.join(long.where(F.col("last") >= step), "hub").join(labels.withColumnRenamed("v", "rep"), "rep", "left").select(
+            "hub", "block", "rep", F.coalesce("component", "rep").alias("comp"))
+        blocks = ckpt(comp.groupBy("hub", "block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")))
+        other = blocks.select("hub", F.col("block").alias("bj"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+        pairs = (blocks.select("hub", F.col("block").alias("bi"), "lo", "hi",
+                               F.explode(F.expr(f"transform(sequence({step}, {step + STEPS - 1}), d -> block + d)")).alias("bj"))
+                 .join(other, ["hub", "bj"]).where(~((F.col("lo") == F.col("hi2")) & (F.col("hi") == F.col("lo2")))).select("hub", "bi", "bj"))
+        sides = [pairs.select("*", F.col(c).alias("block"), F.lit(i).alias("side")) for i, c in enumerate(("bi", "bj"))]
+        rows = sides[0].unionByName(sides[1]).join(member, ["hub", "block"]).select("hub", "bi", "bj", "side", "rep")
+        labels = connected_components(_forest(labels).unionByName(_meet(rows, features, labels, percent)))
+        step += STEPS
+    return labels
 
 
 def _doc():
     return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
 
 
-def _class_id():
-    return F.xxhash64("n", "s1", "s2")
-
-
 def components(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, t (hash of the text), n_shingles, component_id, kept for every row: linked are documents with 100 * intersection >= ``percent`` *
     union; component_id is the smallest doc_id reachable."""
@@ -336,8 +379,8 @@ def _survivors(docs: DataFrame, percent: int) -> DataFrame:
     # rep: the class; doc: a document that holds its text
     classes = ckpt(sk.where("n > 0").groupBy(*key).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "t")).alias("least"), F.min(_doc()).alias("doc"), F.first("sig").alias("sig"),
-        F.first("oph").alias("oph"), F.count(F.lit(1)).alias("size")).withColumn("rep", _class_id()))
-    labels = connected_components(links(docs, classes.select("rep", "doc", "n", "sig", "oph"), percent))
+        F.first("oph").alias("oph"), F.count(F.lit(1)).alias("size")).withColumn("rep", F.monotonically_increasing_id()))
+    labels = ckpt(link_labels(docs, classes.select("rep", "doc", *key, "sig", "oph"), percent))
     labels = classes.select("rep", "least").join(labels.withColumnRenamed("v", "rep"), "rep")
     ids = labels.groupBy("component").agg(F.min("least").alias("id"))
     named = (classes.join(labels.join(ids, "component").select("rep", "id"), "rep", "left")
