@@ -555,6 +555,63 @@ def test_a_large_chained_group_is_one_component(spark):
     assert {r["component_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
 
 
+def random_copies(rng, families=10, per=30):
+    texts = []
+    for family in range(families):
+        words = [f"f{family}w{rng.randrange(400)}" for _ in range(rng.randrange(30, 160))]
+        for _ in range(rng.randrange(1, per)):
+            copy = list(words)
+            for _ in range(rng.randrange(0, max(2, len(copy) // 20))):
+                copy[rng.randrange(len(copy))] = f"n{rng.random()}"
+            texts.append(" ".join(copy))
+    return texts
+
+
+def test_lists_of_many_blocks_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 20_000)  # about four documents a block
+    texts = dict(enumerate(random_copies(random.Random(8))))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.components(docs(spark, *texts.values()), 85).collect()}
+    assert got == brute_components(texts, 85)
+
+
+def test_thresholds_follow_percent(spark):
+    assert [neardup.match_threshold(p) for p in (50, 70, 80, 85, 95)] == sorted(neardup.match_threshold(p) for p in (50, 70, 80, 85, 95))
+    pairs = {}
+    for i in range(60):  # 60 pairs of similarity 5/9
+        words = [f"p{i}w{k}" for k in range(104)]
+        pairs[2 * i], pairs[2 * i + 1] = " ".join(words[:77]), " ".join(words[28:])
+    got = neardup.components(docs(spark, *pairs.values()), 40)
+    assert got.where("kept").count() == 120 - 60
+
+
+def test_borderline_group_writes_links_in_proportion(spark, monkeypatch):
+    """5,000 copies of one page, most pairs of which look alike but are no links: rows between the steps stay linear."""
+    rng = random.Random(5)
+    page = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(5000):
+        copy = list(page)
+        for k in rng.sample(range(120), 2):
+            copy[k] = f"n{rng.random()}"
+        texts.append(" ".join(copy))
+    written = []
+    keep = neardup.ckpt
+
+    def counting(df):
+        out = keep(df)
+        written.append(out.count())
+        return out
+    monkeypatch.setattr(neardup, "ckpt", counting)
+    got = neardup.components(docs(spark, *texts), 88).collect()
+    assert max(written) <= 5000 * neardup.COORDS and len({r["component_id"] for r in got}) > 100
+    sets = [{" ".join(t.split()[i:i + 5]) for i in range(116)} for t in texts]
+    label = {r["doc_id"]: r["component_id"] for r in got}
+    for a in rng.sample(range(5000), 25):
+        for b in range(5000):
+            both = len(sets[a] & sets[b])
+            assert 100 * both < 88 * (232 - both) or label[a] == label[b]
+
+
 def test_near_dup_defined_results(spark):
     m = messy(spark, True)
     out = neardup.drop_copies(m)
