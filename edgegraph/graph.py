@@ -27,6 +27,7 @@ from edgegraph.operators import summary as _sum
 from edgegraph.operators import transforms as _t
 from edgegraph.operators import triangles as _tri
 from edgegraph.operators import windows as _win
+from edgegraph.operators.monoid import Monoid
 from edgegraph.operators.positions import with_position
 
 
@@ -48,8 +49,8 @@ class SnapshotStream:
     def apply_on_neighbors(self, value: str = "amount", **rule) -> DataFrame:
         return _snap.apply_on_neighbors(self.df, value, **rule)
 
-    def fold_edges(self, value, zero, add, merge, **options) -> DataFrame:
-        return _snap.fold_edges(self.df, value, zero, add, merge, **options)
+    def fold_edges(self, monoid: Monoid, order: str | None = None, **options) -> DataFrame:
+        return _snap.fold_edges(self.df, monoid, order, **options)
 
     def summary(self) -> DataFrame:
         return _snap.neighborhood_summary(self.df)
@@ -127,7 +128,7 @@ class EdgeStream:
     def aggregate(self, edge_values: list[tuple[str, Column]], agg: Column, name: str = "value") -> DataFrame:
         return _deg.vertex_aggregate(self.df, edge_values, agg, name)
 
-    def global_aggregate(self, value: Column, op: str = "max", order: str = "pos",
+    def global_aggregate(self, value: Column | Monoid, op: str = "max", order: str = "pos",
                          collect_updates: bool = True) -> DataFrame:
         return _deg.global_aggregate(self.df, value, op, order, collect_updates)
 
@@ -155,7 +156,7 @@ class EdgeStream:
         return _deg.window_graph_size(self.df, size)
 
     # ---- summaries and algorithms -----------------------------------------------------------
-    def summarize(self, size: str, spec: Sequence[_sum.Field], tree: bool = False, buckets: int | None = None,
+    def summarize(self, size: str, spec: Sequence[_sum.Field | _sum.StateField], tree: bool = False, buckets: int | None = None,
                   cumulative: bool = True) -> DataFrame:
         fn = _sum.summarize_tree if tree else _sum.summarize_bulk
         return fn(self.df, size, spec, buckets, cumulative)

@@ -34,8 +34,12 @@ def _copies(edges: DataFrame, wide: bool) -> DataFrame:
 
 
 def double_cover(edges: DataFrame) -> DataFrame:
-    """Edges between bigint copies 2v + side, for ids from -2**61 to 2**61 - 1."""
-    return _copies(edges, wide=False)
+    """Edges between bigint copies 2v + side, for ids from -2**61 to 2**61 - 1; others raise when the edge is read."""
+    def checked(v: str):
+        fits = F.col(v).between(-_FITS, _FITS - 1)
+        return F.when(fits, F.col(v)).when(F.col(v).isNotNull(), F.raise_error(F.lit("vertex id beyond +-2**61")).cast("bigint")).alias(v)
+
+    return _copies(edges.select(checked("src"), checked("trg")), wide=False)
 
 
 def vertex_signs(edges: DataFrame) -> DataFrame:

@@ -7,10 +7,13 @@ Final values are plain grouped aggregates (partial + final). The reference's per
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgegraph.functions import win_end_ms, win_start_ms
+from edgegraph.operators.monoid import Monoid, scan
 from edgegraph.operators.positions import OrderedFrame, keyed_position, with_position
 from edgegraph.operators.transforms import endpoints
 
@@ -75,15 +78,20 @@ def vertex_aggregate(edges: DataFrame, edge_values: list[tuple[str, Column]], ag
     return edges.select(rows.alias("_r")).select("_r.v", "_r.x").groupBy("v").agg(agg.alias(name))
 
 
-def global_aggregate(edges: DataFrame, value: Column, op: str = "max", order: str = "pos",
+def global_aggregate(edges: DataFrame, value: Column | Monoid, op: str = "max", order: str = "pos",
                      collect_updates: bool = True) -> DataFrame:
-    """``globalAggregate``: one running value over the whole stream in arrival order.
+    """``globalAggregate``: one running value over the whole stream in arrival order. ``value`` is a column with ``op`` (sum, min
+    or max), or a user's mergeable state over the edges' columns.
 
     With ``collect_updates`` only rows where the running value changes are kept (emit-on-change). The
     previous row is found by an equi-join on the dense position (no global ``lag`` window).
     """
-    base = with_position(edges.select(F.col(order).alias("_o"), value.alias("_x")), ["_o"], name="_i")
-    run = OrderedFrame(base, [], ["_i"]).running("value", F.col("_x"), op).result()
+    if isinstance(value, Monoid):
+        base = with_position(edges.select(F.col(order).alias("_o"), value.lift.alias("_x")), ["_o"], name="_i")
+        run = scan(base, [], ["_i"], replace(value, lift=F.col("_x")), "value")
+    else:
+        base = with_position(edges.select(F.col(order).alias("_o"), value.alias("_x")), ["_o"], name="_i")
+        run = OrderedFrame(base, [], ["_i"]).running("value", F.col("_x"), op).result()
     if not collect_updates:
         return run.select(F.col("_o").alias(order), "value")
     prev = run.select((F.col("_i") + 1).alias("_i"), F.col("value").alias("_prev"))

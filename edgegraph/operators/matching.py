@@ -14,7 +14,7 @@ Two priorities:
 * :func:`weight_class_matching`: power-of-two weight classes, a hash within a class. A 1/4-approximation (a rejected edge is
   blocked by one of at least half its weight); random priorities need O(log n) rounds per class with high probability.
 
-Every round is one aggregate (combined map-side) and semi/anti joins. The live edges are checkpointed, and the
+Weights keep their type (integers, decimals, doubles). Every round is one aggregate (combined map-side) and semi/anti joins. The live edges are checkpointed, and the
 matched edges of all rounds are appended to one table, so the plan does not grow with the rounds.
 """
 
@@ -34,7 +34,7 @@ def _rounds(edges: DataFrame, weight: str, priority: Column) -> tuple[DataFrame,
     spark = edges.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/matching-{uuid.uuid4().hex}"
     live = (edges.select(F.least("src", "trg").alias("a"), F.greatest("src", "trg").alias("b"),
-                         F.col(weight).cast("bigint").alias("w"))
+                         F.col(weight).alias("w"))
             .where(F.col("a") != F.col("b"))
             .groupBy("a", "b").agg(F.max("w").alias("w"))).checkpoint(eager=True)
     live.limit(0).write.parquet(f"{folder}/round=0")
@@ -57,9 +57,19 @@ def _heaviest() -> Column:
     return F.struct(F.col("w"), (-F.col("a")).alias("na"), (-F.col("b")).alias("nb"))
 
 
-def _classes() -> Column:
-    size = F.when(F.col("w") > 0, F.length(F.bin("w"))).otherwise(0)
-    return F.struct(size.alias("c"), md5_bigint(F.lit("match"), F.col("a"), F.col("b")).alias("h"),
+def power_class(w: Column, whole: bool) -> Column:
+    """Number of the power-of-two class of a weight, smallest for weights of 0 and less; exact for fractions as well (the
+    logarithm's last digit is corrected by comparing with the powers themselves)."""
+    if whole:
+        return F.when(w > 0, F.length(F.bin(w))).otherwise(0)
+    x = w.cast("double")
+    c = F.floor(F.log2(x))
+    c = c + F.when(x >= F.pow(F.lit(2.0), c + 1), 1).otherwise(0) - F.when(x < F.pow(F.lit(2.0), c), 1).otherwise(0)
+    return F.when(x > 0, c).otherwise(F.lit(-2000))
+
+
+def _classes(whole: bool = True) -> Column:
+    return F.struct(power_class(F.col("w"), whole).alias("c"), md5_bigint(F.lit("match"), F.col("a"), F.col("b")).alias("h"),
                     (-F.col("a")).alias("na"), (-F.col("b")).alias("nb"))
 
 
@@ -70,9 +80,10 @@ def locally_dominant_matching(edges: DataFrame, weight: str = "amount") -> DataF
 
 def weight_class_matching(edges: DataFrame, weight: str = "amount") -> DataFrame:
     """(src, trg, weight) of the greedy matching by power-of-two weight class and hash."""
-    return _rounds(edges, weight, _classes())[0]
+    whole = edges.schema[weight].dataType.typeName() in ("byte", "short", "integer", "long")
+    return _rounds(edges.withColumn(weight, F.col(weight).cast("bigint")) if whole else edges, weight, _classes(whole))[0]
 
 
 def matching_weight(matching: DataFrame) -> DataFrame:
     return matching.agg(F.count(F.lit(1)).cast("bigint").alias("n_matched"),
-                        F.coalesce(F.sum("weight"), F.lit(0)).cast("bigint").alias("total_weight"))
+                        F.coalesce(F.sum("weight"), F.lit(0)).alias("total_weight"))

@@ -125,7 +125,7 @@ class OrderedFrame:
         joined = keyed.join(F.broadcast(carry),
                             (F.col(_PID) == F.col("_eg_p")) & (F.col("_eg_key") == F.col("_eg_ck")), "left")
         if op == "sum":
-            out = F.col(_LOCAL) + F.coalesce(F.col("_eg_carry"), F.lit(0))
+            out = F.coalesce(F.col(_LOCAL) + F.coalesce(F.col("_eg_carry"), F.lit(0)), F.col(_LOCAL), F.col("_eg_carry"))
         elif op == "min":
             out = F.least(F.col(_LOCAL), F.coalesce(F.col("_eg_carry"), F.col(_LOCAL)))
         else:

@@ -7,12 +7,13 @@ gathered into one task) instead of opaque per-neighbourhood code.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgegraph.functions import win_end_ms, win_start_ms
+from edgegraph.operators.monoid import Monoid, fold
 from edgegraph.operators.transforms import reverse, undirected
 
 
@@ -62,26 +63,11 @@ def fold_neighbors(sliced: DataFrame, order: str = "pos") -> DataFrame:
                                         F.count(F.lit(1)).cast("bigint").alias("n_edges")])
 
 
-def fold_edges(sliced: DataFrame, value: Column, zero: Column, add: Callable[[Column, Column], Column],
-               merge: Callable[[Column, Column], Column], finish: Callable[[Column], Column] = lambda acc: acc,
-               name: str = "result", group: int = 1024) -> DataFrame:
-    """User fold of a neighbourhood in mergeable form, as column functions: ``add(acc, value)`` folds an edge in, ``merge(a, b)``
-    combines two results (in any grouping and order), ``finish(acc)`` makes the output column ``name``.
-
-    A (window, vertex) is folded in hash buckets of about ``group`` edges and the results are merged ``group`` at a time, level by
-    level, until one is left: the number of levels follows the largest neighbourhood, and no list is longer than about ``group``.
-    """
-    keys = ["window", "v"]
-    rows = sliced.select(*keys, value.alias("_x"), F.xxhash64(*sliced.columns).alias("_h"))
-    most = rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 1
-    buckets = -(-most // group)
-    part = (rows.withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets))).groupBy(*keys, "_b")
-            .agg(F.aggregate(F.collect_list("_x"), zero, add).alias("_acc")))
-    while buckets > 1:
-        buckets = -(-buckets // group)
-        part = (part.withColumn("_b", F.pmod("_b", F.lit(buckets))).groupBy(*keys, "_b")
-                .agg(F.aggregate(F.collect_list("_acc"), zero, merge).alias("_acc")))
-    return _finish(part.select(*keys, finish(F.col("_acc")).alias(name)))
+def fold_edges(sliced: DataFrame, monoid: Monoid, order: str | None = None, name: str = "result", block: int = 256) -> DataFrame:
+    """User fold of every neighbourhood (:class:`~edgegraph.operators.monoid.Monoid` over the edges' columns). With ``order`` the
+    edges are folded in arrival order and the merge need not commute; the result doesn't depend on ``block``, and a hub's
+    edges are spread over tasks either way."""
+    return _finish(fold(sliced, ["window", "v"], monoid, None if order is None else [order], name, block))
 
 
 def apply_on_neighbors(sliced: DataFrame, value: str = "amount", aggs: Sequence[Column] | None = None,

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from edgegraph.operators import degrees as D
+from edgegraph.operators.monoid import clamped_walk
 from edgegraph.plans.catalog import register
 from edgegraph.plans.oracle_views import with_views
-from edgegraph.sources import cust_edges, txn_edges, user_edges
+from edgegraph.sources import cust_edges, signed_edges, txn_edges, user_edges
 
 ENDS = "SELECT src AS v, pos, 0 AS side FROM user_edges UNION ALL SELECT trg, pos, 1 FROM user_edges"
 
@@ -119,3 +120,11 @@ SELECT ts - ts % {D1} AS w_start, ts - ts % {D1} + {D1} AS w_end, src, arg_max(t
 FROM user_edges GROUP BY 1, 2, src"""))
 def win_last_value(spark, sf_dir):
     return D.window_last_value(user_edges(spark, sf_dir), "1 day", "src", "trg", "pos")
+
+
+@register("agg_global_struct", with_views(["signed_edges"], """
+SELECT pos, CAST(s - least(0, min(s) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING)) AS BIGINT) AS value
+FROM (SELECT pos, sum(chg) OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING) AS s FROM signed_edges)"""))
+def agg_global_struct(spark, sf_dir):
+    """A running level over the whole stream that never falls below 0: a struct state, merged in arrival order."""
+    return D.global_aggregate(signed_edges(spark, sf_dir), clamped_walk(F.col("chg")), collect_updates=False)

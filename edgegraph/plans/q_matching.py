@@ -6,15 +6,17 @@ picked by both endpoints (heaviest, then smaller ids) and drops edges touching t
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from edgegraph.operators import matching as Ma
 from edgegraph.plans.catalog import register
 from edgegraph.sources import edge_lines
 from edgegraph.sources.text import decode
 
-def _rounds(order: str) -> str:
+def _rounds(order: str, weight: str = "CAST(l_quantity AS BIGINT) * 10") -> str:
     return f"""
 e AS (SELECT least(l_suppkey, l_partkey + 1000000) AS a, greatest(l_suppkey, l_partkey + 1000000) AS b,
-             max(CAST(l_quantity AS BIGINT) * 10) AS w
+             max({weight}) AS w
       FROM lineitem WHERE l_suppkey <> l_partkey + 1000000 GROUP BY 1, 2),
 r(a, b, w, st) AS (
   SELECT a, b, w, 'L' FROM e
@@ -55,3 +57,25 @@ def match_final_weight(spark, sf_dir):
 SELECT a AS src, b AS trg, w AS weight FROM r WHERE st = 'N'""")
 def match_weight_classes(spark, sf_dir):
     return Ma.weight_class_matching(_ratings(spark, sf_dir), "amount")
+
+
+def _fractional(spark, sf_dir):
+    return _ratings(spark, sf_dir).withColumn("amount", F.col("amount") * F.lit(0.025))
+
+
+QUARTERS = "CAST(l_quantity AS BIGINT) * 10 * 0.025::DOUBLE"
+
+
+@register("match_fractional", "WITH RECURSIVE " + _rounds("w DESC, a, b", QUARTERS).strip() + """
+SELECT a AS src, b AS trg, w AS weight FROM r WHERE st = 'N'""")
+def match_fractional(spark, sf_dir):
+    """Weights in fractions: 0.25 times the quantity."""
+    return Ma.locally_dominant_matching(_fractional(spark, sf_dir), "amount")
+
+
+@register("match_fractional_classes", "WITH RECURSIVE " + _rounds(
+    "floor(log2(w * 1024.0::DOUBLE + 0.001)) DESC, CAST('0x' || substr(md5('match:' || a || ':' || b), 1, 15) AS BIGINT) DESC, a, b",
+    QUARTERS).strip() + """
+SELECT a AS src, b AS trg, w AS weight FROM r WHERE st = 'N'""")
+def match_fractional_classes(spark, sf_dir):
+    return Ma.weight_class_matching(_fractional(spark, sf_dir), "amount")

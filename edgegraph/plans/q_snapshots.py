@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from edgegraph.operators import snapshot as S
+from edgegraph.operators.monoid import Monoid
 from edgegraph.plans.catalog import register
 from edgegraph.plans.oracle_views import with_views
 from edgegraph.sources import user_edges
@@ -83,8 +84,17 @@ def slice_fold_product(spark, sf_dir):
     """Product of the amounts modulo a prime: a fold that no built-in aggregate gives."""
     sl = S.slice_edges(user_edges(spark, sf_dir, pos=False), SIZE, "all")
     mod = F.lit(PRIME).cast("bigint")
-    times = lambda a, x: a * x % mod
-    return S.fold_edges(sl, (F.col("amount") % mod).cast("bigint"), F.lit(1).cast("bigint"), times, times, name="product", group=16)
+    times = Monoid((F.col("amount") % mod).cast("bigint"), lambda a, x: a * x % mod, zero=F.lit(1))
+    return S.fold_edges(sl, times, name="product", block=16)
+
+
+@register("slice_fold_ordered", _sql(ALL, """string_agg(nbr, '>' ORDER BY pos, nbr) AS path,
+       'v' || v || string_agg('>' || nbr, '' ORDER BY pos, nbr) AS named"""))
+def slice_fold_ordered(spark, sf_dir):
+    """Neighbours in arrival order as one string: a fold that doesn't commute, with and without a start value."""
+    sl = S.slice_edges(user_edges(spark, sf_dir), SIZE, "all")
+    path = Monoid(F.col("nbr").cast("string"), lambda a, b: F.concat(a, F.lit(">"), b))
+    return S.fold_edges(sl, path, "pos", "path", block=8).withColumn("named", F.concat(F.lit("v"), "v", F.lit(">"), "path"))
 
 
 @register("slice_apply_top", with_views(["user_edges"], f"""

@@ -14,10 +14,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from edgegraph.operators import bipartite as B
+from edgegraph.operators.monoid import Monoid, fold
 from edgegraph.operators.positions import OrderedFrame
-from edgegraph.operators.summary import Field, merge_fields, running_fields, window_partials
+from edgegraph.operators.summary import (Field, StateField, merge_fields, running_fields, running_states, window_partials,
+                                         window_states)
 from edgegraph.operators.transforms import endpoints
 from edgegraph.operators.windows import count_windows
 from edgegraph.streaming.components import IncrementalComponents, _HadoopFS
@@ -61,21 +64,65 @@ class KeyedState:
 
 
 class SummaryStream(KeyedState):
-    """Cumulative window summary (H2) on a stream: state is one merged row per window."""
+    """Cumulative window summary (H2) on a stream: state is one merged row per window, in the types of the spec's fields."""
+
+    schema: StructType | str | None = None
 
     def __init__(self, spark: SparkSession, state_dir: str, size: str, spec: Sequence[Field]):
         super().__init__(spark, state_dir)
         self.size, self.spec = size, list(spec)
-        self.schema = "w_start bigint, w_end bigint, " + ", ".join(f"{f.name} bigint" for f in spec)
 
     def merge(self, state: DataFrame, batch: DataFrame) -> DataFrame:
         new = window_partials(batch, self.size, self.spec)
-        return merge_fields(state.unionByName(new), ["w_start", "w_end"], self.spec)
+        merged = merge_fields(state.unionByName(new), ["w_start", "w_end"], self.spec)
+        return merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in state.schema])
+
+    def update(self, batch: DataFrame, batch_id: int) -> None:
+        if self.schema is None:
+            self.schema = window_partials(batch, self.size, self.spec).schema
+        super().update(batch, batch_id)
 
     def results(self) -> DataFrame:
         return running_fields(self.state(), self.spec)
 
 
+class StateStream(KeyedState):
+    """Any mergeable state (:class:`~edgegraph.operators.monoid.Monoid`) on a stream: per key, or per window of ``size``. A batch's
+    edges are folded in the order of ``field.order`` and merged behind the state so far; so arrival order is the order of
+    the micro-batches and, within one, ``field.order``."""
+
+    schema: StructType | str | None = None
+
+    def __init__(self, spark: SparkSession, state_dir: str, field: StateField, keys: Sequence[str] = (), size: str | None = None):
+        super().__init__(spark, state_dir)
+        self.field, self.size = field, size
+        self.keys = ["w_start", "w_end"] if size else list(keys)
+
+    def _folded(self, batch: DataFrame) -> DataFrame:
+        if self.size:
+            return window_states(batch, self.size, self.field)
+        return fold(batch, self.keys, Monoid(self.field.state.lift, self.field.state.merge), [self.field.order], self.field.name)
+
+    def merge(self, state: DataFrame, batch: DataFrame) -> DataFrame:
+        kind = state.schema[self.field.name].dataType
+        both = state.withColumn("_new", F.lit(0)).unionByName(self._folded(batch).withColumn("_new", F.lit(1)))
+        side = [F.first(F.when(F.col("_new") == i, F.col(self.field.name)), ignorenulls=True).alias(f"_s{i}") for i in (0, 1)]
+        joined = self.field.state.joined(kind)(F.col("_s0"), F.col("_s1"))
+        return both.groupBy(*self.keys).agg(*side).select(*self.keys, joined.alias(self.field.name))
+
+    def update(self, batch: DataFrame, batch_id: int) -> None:
+        if self.schema is None:
+            self.schema = self._folded(batch.limit(0)).schema
+        super().update(batch, batch_id)
+
+    def results(self, cumulative: bool = True) -> DataFrame:
+        """Finished values per key; of windows, merged in time order if ``cumulative``."""
+        if self.size:
+            return running_states(self.state(), self.field, cumulative)
+        state, m = self.state(), self.field.state
+        return state.select(*self.keys, m.output(F.col(self.field.name), state.schema[self.field.name].dataType).alias(self.field.name))
+
+
 class CountWindowStream(KeyedState):
     """Count windows (F6) on a stream: state is one row per window of ``n`` edges, the last one still filling.
 

@@ -141,13 +141,14 @@ def test_spanner_contract_for_every_k(spark):
 
 def test_user_fold_of_a_hub(spark):
     from edgegraph.operators import snapshot as S
+    from edgegraph.operators.monoid import Monoid
     from pyspark.sql import functions as F
     rows = [(1, i, (i * 37) % 101 + 1, 0) for i in range(3000)] + [(2, 5, 7, 0)]
     e = spark.createDataFrame(rows, "src bigint, trg bigint, amount bigint, t bigint").withColumn("ts", F.timestamp_millis("t")).drop("t")
     sl = S.slice_edges(e, "1 hour", "out")
     mod = F.lit(1000003).cast("bigint")
-    got = {r["v"]: r["p"] for r in S.fold_edges(sl, F.col("amount"), F.lit(1).cast("bigint"), lambda a, x: a * x % mod,
-                                                lambda a, b: a * b % mod, name="p", group=8).collect()}
+    times = Monoid(F.col("amount"), lambda a, b: a * b % mod, zero=F.lit(1))
+    got = {r["v"]: r["p"] for r in S.fold_edges(sl, times, name="p", block=8).collect()}
     exp = 1
     for r in rows[:3000]:
         exp = exp * r[2] % 1000003
