@@ -1,6 +1,7 @@
 """Language identification with spans.
 
-Method: the letters of a word belong to scripts (Unicode ranges), and only languages that were seen in a word's script are
+Method: letters are the code points of Unicode's categories L*; those of a word belong to one script (ranges; other letters form the
+script ``other``), combining marks inside a script's range go with its words, and only languages that were seen in a word's script are
 candidates for it. A word's score per language is the log-likelihood of its letter trigrams (with a blank at either end),
 counted over all labelled training texts in hashed cells. Viterbi over the word scores, with a fixed penalty for each
 switch, labels the spans of a text; the text's language is the one with most letters in its spans.
@@ -13,12 +14,15 @@ the text, the single-language path is optimal. Only other texts run Viterbi word
 
 Defined results: null text and text without letters are ``und`` with score 0 and no spans, as is everything if there is nothing
 to learn from; null languages are not learned; ties go to the first language in order; repeated rows are judged alike;
-an empty table gives an empty result; other columns are never read.
+an empty table gives an empty result; other columns are never read; a carried column named like a result is replaced.
+Counts reach the driver as one pair of arrays per language (at most ``CELLS`` and a few numbers each), for at most
+``MOST_LANGUAGES`` languages; more raise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,13 +35,14 @@ SWITCH = 25.0
 # A language is a candidate in a script that holds at least this share of its letters.
 SCRIPT_SHARE = 0.01
 PIECE_BYTES = 1 << 19
+MOST_LANGUAGES = 1000
 
 # First code points of script ranges and what they hold (blocks of the Unicode standard).
 SCRIPTS = (
     (0x0041, "latin"), (0x005B, ""), (0x0061, "latin"), (0x007B, ""), (0x00AA, "latin"), (0x00AB, ""), (0x00B5, "latin"),
     (0x00B6, ""), (0x00BA, "latin"), (0x00BB, ""), (0x00C0, "latin"), (0x00D7, ""), (0x00D8, "latin"), (0x00F7, ""),
     (0x00F8, "latin"), (0x02B0, ""), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
-    (0x0600, "arabic"), (0x0700, "syriac"), (0x0750, "arabic"), (0x0780, "thaana"), (0x0900, "devanagari"), (0x0980, "bengali"),
+    (0x0600, "arabic"), (0x0700, "syriac"), (0x0750, "arabic"), (0x0780, "thaana"), (0x07C0, ""), (0x0900, "devanagari"), (0x0980, "bengali"),
     (0x0A00, "gurmukhi"), (0x0A80, "gujarati"), (0x0B00, "oriya"), (0x0B80, "tamil"), (0x0C00, "telugu"), (0x0C80, "kannada"),
     (0x0D00, "malayalam"), (0x0D80, "sinhala"), (0x0E00, "thai"), (0x0E80, "lao"), (0x0F00, "tibetan"), (0x1000, "myanmar"),
     (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "ethiopic"), (0x13A0, "cherokee"), (0x1400, "canadian"), (0x1680, ""),
@@ -47,19 +52,26 @@ SCRIPTS = (
     (0xF900, "han"), (0xFB00, "latin"), (0xFB07, ""), (0xFB50, "arabic"), (0xFE00, ""), (0xFE70, "arabic"), (0xFF00, ""),
     (0x20000, "han"), (0x30000, ""),
 )
-NAMES = sorted({s for _, s in SCRIPTS if s})
+NAMES = sorted({s for _, s in SCRIPTS if s} | {"other"})
 
 
-def _script_of(code: np.ndarray) -> np.ndarray:
-    """Script number of each code point, -1 for none."""
+@lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Of every code point: script number, -1 outside words; whether it is a letter."""
+    import unicodedata
+    kind = np.array([unicodedata.category(chr(i))[0] for i in range(0x110000)])
     starts = np.array([a for a, _ in SCRIPTS], np.uint32)
     number = np.array([-1] + [NAMES.index(s) if s else -1 for _, s in SCRIPTS], np.int16)
-    table = number[np.searchsorted(starts, np.arange(0x10000, dtype=np.uint32), "right")]
-    low = code < 0x10000
-    out = table[np.where(low, code, 0)]
-    if not low.all():
-        out = np.where(low, out, number[np.searchsorted(starts, code, "right")])
-    return out
+    script = number[np.searchsorted(starts, np.arange(0x110000, dtype=np.uint32), "right")]
+    letter = kind == "L"
+    script[letter & (script < 0)] = NAMES.index("other")
+    script[~letter & (kind != "M")] = -1
+    return script, letter
+
+
+def _script_of(code: np.ndarray) -> np.ndarray:
+    """Script number of each code point, -1 for none."""
+    return _tables()[0][code]
 
 
 def _letters(texts, at: int, end: int):
@@ -76,6 +88,11 @@ def _letters(texts, at: int, end: int):
     pos = np.flatnonzero(script >= 0)
     new = np.ones(len(pos), bool)
     new[1:] = (pos[1:] != pos[:-1] + 1) | (text[pos[1:]] != text[pos[:-1]]) | (script[pos[1:]] != script[pos[:-1]])
+    if len(pos):  # marks alone are no word
+        heads = np.flatnonzero(new)
+        real = np.add.reduceat(_tables()[1][code[pos]].astype(np.int64), heads) > 0
+        if not real.all():
+            pos, new = (x[np.repeat(real, np.diff(np.append(heads, len(new))))] for x in (pos, new))
     word = np.cumsum(new) - 1
     return code[pos], script[pos], word, new, text[pos[new]]
 
@@ -122,9 +139,10 @@ def _count(batches: Iterator) -> Iterator:
 
 
 class Model:
-    """languages (sorted), score (CELLS + 1 rows, one column per language) and candidates (scripts x languages)."""
+    """languages (sorted), score (one row per cell, one column per language) and candidates (scripts x languages), from (language,
+    cells, counts), where cells and counts may be numbers or arrays."""
 
-    def __init__(self, rows: list[tuple[str, int, int]]):
+    def __init__(self, rows: list[tuple]):
         self.languages = sorted({r[0] for r in rows})
         counts = np.zeros((CELLS + len(NAMES), len(self.languages)))
         for lang, cell, n in rows:
@@ -139,7 +157,12 @@ def train(docs: DataFrame) -> Model:
     counts = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
               .mapInArrow(_count, "lang string, cell bigint, n bigint")
               .groupBy("lang", "cell").agg(F.sum("n").alias("n")))
-    return Model([tuple(r) for r in counts.collect()])  # languages x cells at most
+    packed = counts.groupBy("lang").agg(F.collect_list(F.struct("cell", "n")).alias("c")).select("lang", "c.cell", "c.n")
+    rows = packed.limit(MOST_LANGUAGES + 1).toArrow().combine_chunks()
+    if len(rows) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    return Model([(lang, np.asarray(c.values), np.asarray(n.values)) for lang, c, n in
+                  zip(rows["lang"].to_pylist(), rows["cell"], rows["n"])])
 
 
 def _viterbi(score: np.ndarray, penalty: float) -> np.ndarray:
@@ -198,8 +221,9 @@ def label(model: Model, texts, at: int, end: int, penalty: float = SWITCH):
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str], penalty: float = SWITCH) -> DataFrame:
-    """``keep`` columns (plain names), lang_pred, score (share of the letters in spans of lang_pred) and spans: (first,
+    """``keep`` columns, lang_pred, score (share of the letters in spans of lang_pred) and spans: (first,
     last, lang) with words counted from 0; words are runs of letters of one script."""
+    keep = [c for c in keep if c not in ("lang_pred", "score", "spans")]
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.languages, model.score, model.candidates))
     fields = [docs.schema[c] for c in keep]

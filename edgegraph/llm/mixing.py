@@ -1,8 +1,9 @@
 """Mixing sources to target weights (native).
 
-Method: every source is cut into disjoint blocks by a hash permutation of its documents. A source's target fixes how
+Method: every source is cut into disjoint blocks by a hash permutation of its documents (id and text). A source's target fixes how
 many passes over all its blocks the mix takes, plus a prefix of the permuted blocks for the remainder, the last block
-cut at the document nearest the target. A multivariate-hypergeometric splitting tree then deals the exact numbers of
+cut at the document nearest the target; rows equal in id and text are one unit there, of which as many are taken as come
+nearest. A multivariate-hypergeometric splitting tree then deals the exact numbers of
 block instances among the output shards: a node's instances are halved by selection sampling over its sources, so each
 child's counts are a multivariate-hypergeometric draw and the quotas add up exactly at every level. Within a shard the
 copies are ordered by a hash.
@@ -12,7 +13,7 @@ spread a hot source over many rows; its running block totals are computed by ran
 about ``SOURCES_PER_TREE`` sources; more sources mean more trees, which fill the same shards.
 
 Defined results: a null or blank text has size 0 and is taken with its block; a null source is a source of its own,
-last in order; repeated rows share their block and are counted each; an empty table gives an empty mix; extra columns
+last in order; null and equal ids are told apart by their texts; rows equal in both share their block and are counted each; an empty table gives an empty mix; extra columns
 are carried through and never read.
 """
 
@@ -25,11 +26,14 @@ from pyspark.sql import functions as F
 
 from edgegraph.functions import md5_bigint
 from edgegraph.llm.tables import WORD, ckpt, sized_join
-from edgegraph.operators.positions import OrderedFrame
+from edgegraph.operators.positions import OrderedFrame, keyed_position
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 SOURCES_PER_TREE = 1024
+# A tree walks the block instances of a node: blocks grow with the corpus, so that there are about this many at most.
+MOST_BLOCKS = 1 << 20
+SHARD_WORDS = 20_000_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -87,16 +91,26 @@ def _split_tree(quotas: DataFrame, levels: int, seed: str) -> DataFrame:
             .select(F.col("s.key").alias("key"), "shard", F.col("s.quota").alias("quota")))
 
 
+def _hash(seed: str):
+    """Place of a row in its source's permutation."""
+    return md5_bigint(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.md5(F.col("text")), F.lit("null")))
+
+
 def document_shards(docs: DataFrame, keep: Sequence[str], weights: Sequence[int] = WEIGHTS,
-                    max_repeats: int = MAX_REPEATS, levels: int = 4, block_words: int = 20_000,
+                    max_repeats: int = MAX_REPEATS, levels: int | None = 4, block_words: int = 20_000,
                     block_docs: int = 2_000, seed: str = "mix") -> DataFrame:
     """``keep`` columns of every row plus size, source_size, target and ``shards``: one output shard (0 to
-    ``2**levels - 1``) for each copy that the mix takes. ``block_words`` and ``block_docs`` size the blocks; raise them
-    with the input so that the number of blocks stays in proportion to the shards."""
+    ``2**levels - 1``) for each copy that the mix takes. ``levels`` follows from the total size (``SHARD_WORDS`` words a shard) if
+    it is None. ``block_words`` and ``block_docs`` are the least sizes of a block; beyond ``MOST_BLOCKS`` blocks they grow."""
     key = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    h = F.coalesce(md5_bigint(F.lit(seed), F.col("doc_id")), F.lit(0).cast("bigint"))
+    h = _hash(seed)
     narrow = ckpt(docs.select("doc_id", key.alias("key"), size.alias("size"), h.alias("h")))
+    whole = narrow.agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")).first()
+    block_words = max(block_words, (whole["words"] or 0) // MOST_BLOCKS)
+    block_docs = max(block_docs, whole["rows"] // MOST_BLOCKS)
+    if levels is None:
+        levels = max(0, -(-(whole["words"] or 0) // SHARD_WORDS) - 1).bit_length()
     src = source_targets(narrow, weights, max_repeats)
     src = ckpt(src.select("*", F.expr(
         f"greatest(1L, (source_size + {block_words - 1}) div {block_words}, (n_docs + {block_docs - 1}) div {block_docs})")
@@ -116,9 +130,15 @@ def document_shards(docs: DataFrame, keep: Sequence[str], weights: Sequence[int]
     border = ranked.where((F.col("cum") > F.col("rest")) & (F.col("cum") - F.col("words") < F.col("rest")))
     border = border.select("key", "block", (F.col("rest") - (F.col("cum") - F.col("words"))).alias("need"))
     inside = sized_join(dealt, border, ["key", "block"], "inner")
-    up = Window.partitionBy("key", "block").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    cuts = (inside.withColumn("mid", F.sum("size").over(up) - F.col("size") / 2).where("mid <= need")
-            .groupBy("key", "block").agg(F.max("h").alias("cut")))
+    # rows of equal hash are one unit of ``copies`` rows, of which ``part`` lie before the middle that is the last one below it
+    unit = inside.groupBy("key", "block", "need", "h", "size").agg(F.count(F.lit(1)).alias("copies"))
+    up = Window.partitionBy("key", "block").orderBy("h", "size").rowsBetween(Window.unboundedPreceding, -1)
+    unit = unit.withColumn("left", F.col("need") - F.coalesce(F.sum(F.col("size") * F.col("copies")).over(up), F.lit(0)))
+    unit = unit.withColumn("part", F.when(F.col("size") == 0, F.when(F.col("left") >= 0, F.col("copies")).otherwise(0)).otherwise(
+        F.least(F.col("copies"), F.floor(F.col("left") / F.greatest("size", F.lit(1)) + 0.5))))
+    cuts = unit.where("part > 0").groupBy("key", "block").agg(
+        F.max("h").alias("cut"), F.max_by(F.when(F.col("part") < F.col("copies"), F.col("part")), F.struct("h", "size")).alias("part"))
+    cuts = ckpt(cuts)
     ranked = sized_join(ranked, cuts, ["key", "block"])
     extra = F.when((F.col("cum") <= F.col("rest")) | F.col("cut").isNotNull(), 1).otherwise(0)
     copies = ranked.withColumn("n", F.col("passes") + extra)
@@ -127,25 +147,35 @@ def document_shards(docs: DataFrame, keep: Sequence[str], weights: Sequence[int]
     up = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     places = (tree.withColumn("end", F.sum("quota").over(up))
               .select("key", "shard", F.explode(F.expr("sequence(end - quota, end - 1)")).alias("j")))
-    drawn = (copies.where("n > 0").select("key", "block", "rank", "filled", "passes", "cut",
+    drawn = (copies.where("n > 0").select("key", "block", "rank", "filled", "passes", "cut", "part",
                                           F.explode(F.expr("sequence(0L, n - 1)")).alias("pass"))
              .withColumn("j", F.col("pass") * F.col("filled") + F.col("rank") - 1))
     plan = (drawn.join(places, ["key", "j"]).groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct(
-        "pass", "shard", F.when(F.col("pass") == F.col("passes"), F.col("cut")).alias("cut")))).alias("copies")))
+        "pass", "shard", F.when(F.col("pass") == F.col("passes"), F.col("cut")).alias("cut"),
+        F.when(F.col("pass") == F.col("passes"), F.col("part")).alias("part")))).alias("copies")))
     rows = docs.select(*keep, key.alias("key"), size.alias("size"), h.alias("h"))
     rows = sized_join(rows, src.select("key", "source_size", "target", "n_blocks"), ["key"], "inner")
     rows = sized_join(rows.withColumn("block", F.col("h") % F.col("n_blocks")), ckpt(plan), ["key", "block"])
-    shards = F.expr("transform(filter(coalesce(copies, array()), c -> c.cut IS NULL OR h <= c.cut), c -> c.shard)")
+    partial = cuts.where("part IS NOT NULL").select("key", F.col("cut").alias("h"))
+    if partial.limit(1).count():  # number the equal rows of which only a part is taken
+        equal = sized_join(rows.withColumn("_place", F.monotonically_increasing_id()), partial, ["key", "h"], "inner")
+        other = sized_join(rows, partial.withColumn("_split", F.lit(True)), ["key", "h"]).where("_split IS NULL").drop("_split")
+        rows = other.withColumn("_nth", F.lit(1).cast("bigint")).unionByName(
+            keyed_position(equal, ["key", "h"], ["_place"], "_nth").drop("_place"))
+    else:
+        rows = rows.withColumn("_nth", F.lit(1).cast("bigint"))
+    shards = F.expr("transform(filter(coalesce(copies, array()), c -> c.cut IS NULL OR h < c.cut OR "
+                    "(h = c.cut AND (c.part IS NULL OR _nth <= c.part))), c -> c.shard)")
     return rows.select(*keep, "size", "source_size", "target", shards.alias("shards"))
 
 
-def mix(docs: DataFrame, levels: int = 4, seed: str = "mix", **options) -> DataFrame:
-    """The mixed corpus: every taken copy of every row with ``mix_shard`` and ``mix_order``, partitioned by shard and
-    ordered within it by a hash. Clashing input columns of these two names are replaced."""
+def mix(docs: DataFrame, levels: int | None = None, seed: str = "mix", **options) -> DataFrame:
+    """The mixed corpus: every taken copy of every row with ``mix_shard`` and ``mix_order``, range-partitioned by
+    (shard, order) and sorted; the order within a shard is a hash. Clashing input columns of these two names are replaced."""
     cols = [c for c in docs.columns if c not in ("mix_shard", "mix_order")]
     d = docs.select(*cols).withColumn("_row", F.struct(*cols))
     d = document_shards(d, ["_row"], levels=levels, seed=seed, **options)
     out = d.select("_row", F.posexplode("shards").alias("_copy", "mix_shard"))
     out = out.select("_row.*", "mix_shard", F.xxhash64(F.lit(seed), F.col("mix_shard"), F.col("_row.doc_id"),
                                                        F.col("_copy")).alias("mix_order"))
-    return out.repartition(F.col("mix_shard")).sortWithinPartitions("mix_shard", "mix_order")
+    return out.repartitionByRange("mix_shard", "mix_order").sortWithinPartitions("mix_shard", "mix_order")

@@ -16,18 +16,18 @@ BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 def _quality() -> str:
     names = list(quality.METRICS)
     b = quality.SKETCH_BITS
-    expr = {"symbol_rate": "n_symbols * 1000 // greatest(word_chars, 1)", "dup_line_rate": "n_dup_lines * 1000 // greatest(n_lines, 1)",
-            "repeat_rate": "n_repeat_words * 1000 // greatest(n_words, 1)", "word_length": "word_chars * 100 // greatest(n_words, 1)",
+    expr = {"symbol_rate": "n_symbols * 1000 // greatest(word_chars, 1)", "word_length": "word_chars * 100 // greatest(n_words, 1)",
             "mark_rate": "n_marks * 1000 // greatest(word_chars, 1)", "upper_rate": "n_upper * 1000 // greatest(word_chars, 1)"}
-    gaps = " ".join(f"WHEN '{k}' THEN {v}" for k, v in quality.METRICS.items())
+    r = float(quality.RESOLUTION)
 
     def fence(keys: str) -> str:
         lead = f"{keys}, " if keys else ""
-        return f"""SELECT {lead}metric, max(nn) AS n_docs, min(CASE WHEN c * 4 >= nn * 3 THEN bucket END)
-            + greatest({quality.FENCE} * (min(CASE WHEN c * 4 >= nn * 3 THEN bucket END) - min(CASE WHEN c * 4 >= nn THEN bucket END)),
-              CASE metric {gaps} END) AS cut
-          FROM (SELECT {lead}metric, bucket, sum(sum(n)) OVER (PARTITION BY {lead}metric ORDER BY bucket) AS c,
-                       sum(sum(n)) OVER (PARTITION BY {lead}metric) AS nn FROM sk GROUP BY {lead}metric, bucket)
+        return f"""SELECT {lead}metric, max(nn) AS n_docs, coalesce(arg_max((bucket + nx) // 2, {{'r': ratio, 'low': -bucket}})
+            FILTER (c * 4 >= nn * 3 AND ratio >= {quality.FACTOR}), {quality.NO_CUT}) AS cut
+          FROM (SELECT *, (nx + {r}::DOUBLE) / (bucket + {r}::DOUBLE) AS ratio FROM (
+            SELECT {lead}metric, bucket, sum(sum(n)) OVER (PARTITION BY {lead}metric ORDER BY bucket) AS c,
+                   sum(sum(n)) OVER (PARTITION BY {lead}metric) AS nn, lead(bucket) OVER (PARTITION BY {lead}metric ORDER BY bucket) AS nx
+            FROM sk GROUP BY {lead}metric, bucket))
           GROUP BY {lead}metric"""
 
     return f"""
@@ -149,7 +149,7 @@ def _mix() -> str:
     return f"""
     WITH z AS (SELECT row_number() OVER () AS rid, doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
                  coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size,
-                 {md5("'mix'", "doc_id::VARCHAR")} AS h FROM documents),
+                 {md5("'mix'", "coalesce(doc_id::VARCHAR, 'null')", "coalesce(md5(text), 'null')")} AS h FROM documents),
     s0 AS (SELECT key, sum(size)::BIGINT AS source_size, count(*) AS n_docs FROM z GROUP BY key),
     s1 AS (SELECT *, ({weights})[(row_number() OVER (ORDER BY key) - 1) % {len(mixing.WEIGHTS)} + 1]::DOUBLE AS w,
                  source_size::DOUBLE * {mixing.MAX_REPEATS} AS cap FROM s0),

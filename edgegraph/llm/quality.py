@@ -1,8 +1,10 @@
 """Quality rules with adaptive thresholds (native).
 
 Method: every text gets a few integer metrics; per (language, source, metric) they are summarised in a mergeable
-quantile sketch, and the cut-off of a metric is a far-out fence over the sketch's quartiles. The cut-offs are
-joined back to the documents. The sketch is a log-linear histogram: a value's bucket keeps its leading
+quantile sketch, and the sketch decides the cut-off: it lies in the middle of the widest gap between neighbouring buckets from the
+third quartile upwards, measured as a ratio, that is, where the group's own bulk ends and something of another kind begins.
+Without a gap of ``FACTOR`` or more there is no cut-off, so even groups lose nothing. Ratios are taken after adding
+``RESOLUTION``, below which differences of these metrics say nothing. The cut-offs are joined back to the documents. The sketch is a log-linear histogram: a value's bucket keeps its leading
 ``SKETCH_BITS`` bits, so a quantile has a relative error below 2**-(SKETCH_BITS-1), a sketch has a bounded number
 of buckets whatever the data, and merging two sketches adds their bucket counts (``groupBy``, combined map-side).
 Groups with fewer than ``min_docs`` documents use the sketch merged over their language, then over everything.
@@ -20,10 +22,12 @@ from pyspark.sql import functions as F
 from edgegraph.llm.tables import BLANKS, WORD, WORD_CHAR, ckpt, sized_join
 
 SKETCH_BITS = 7
-# metric -> smallest distance of its fence above the third quartile
-METRICS = {"symbol_rate": 60, "dup_line_rate": 500, "repeat_rate": 400, "word_length": 200, "mark_rate": 100,
-           "upper_rate": 250}
-FENCE = 6
+# What makes a text unlike the bulk of its group. Repeated lines and words aren't among them: a few of them part a sound text from
+# texts without any by as wide a gap; the base rule and line dedup see to them.
+METRICS = ("symbol_rate", "word_length", "mark_rate", "upper_rate")
+RESOLUTION = 20
+FACTOR = 1.5
+NO_CUT = 1 << 62
 
 
 def text_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -66,8 +70,6 @@ def _metrics(d: DataFrame) -> DataFrame:
         return F.expr(f"{part} * {scale} div greatest({whole}, 1)")
 
     return (d.withColumn("symbol_rate", rate("n_symbols", "word_chars"))
-            .withColumn("dup_line_rate", rate("n_dup_lines", "n_lines"))
-            .withColumn("repeat_rate", rate("n_repeat_words", "n_words"))
             .withColumn("word_length", rate("word_chars", "n_words", 100))
             .withColumn("mark_rate", rate("n_marks", "word_chars"))
             .withColumn("upper_rate", rate("n_upper", "word_chars"))
@@ -89,16 +91,17 @@ def merge(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return sketches.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, n_docs, q1, q3``: the lower ends of the buckets that hold the ranks ceil(n/4) and ceil(3n/4).
-    The window runs over one sketch, whose bucket number is bounded."""
+def cut_offs(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, n_docs, cut``: the middle of the widest gap from the third quartile upwards, ``NO_CUT`` without one.
+    The windows run over one sketch, whose bucket number is bounded."""
     w = Window.partitionBy(*keys)
-    up = w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = sketches.select(*keys, "bucket", F.sum("n").over(up).alias("_c"), F.sum("n").over(w).alias("_n"))
-    return d.groupBy(*keys).agg(
-        F.max("_n").alias("n_docs"),
-        F.min(F.when(F.col("_c") * 4 >= F.col("_n"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(F.col("_c") * 4 >= F.col("_n") * 3, F.col("bucket"))).alias("q3"))
+    up = w.orderBy("bucket")
+    d = sketches.select(*keys, "bucket", F.sum("n").over(up.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_c"),
+                        F.sum("n").over(w).alias("_n"), F.lead("bucket").over(up).alias("_next"))
+    ratio = (F.col("_next") + float(RESOLUTION)) / (F.col("bucket") + float(RESOLUTION))
+    gap = F.when((F.col("_c") * 4 >= F.col("_n") * 3) & (ratio >= FACTOR), F.struct(
+        ratio.alias("ratio"), (-F.col("bucket")).alias("low"), F.expr("(bucket + _next) div 2").alias("cut")))
+    return d.groupBy(*keys).agg(F.max("_n").alias("n_docs"), F.coalesce(F.max(gap)["cut"], F.lit(NO_CUT)).alias("cut"))
 
 
 def thresholds(metrics: DataFrame, min_docs: int = 30) -> DataFrame:
@@ -108,36 +111,29 @@ def thresholds(metrics: DataFrame, min_docs: int = 30) -> DataFrame:
                        .select("lang", "source", "_m.metric", "_m.value"), ["lang", "source", "metric"]))
     by_lang = merge(fine, ["lang", "metric"])
     everything = merge(fine, ["metric"])
-    gap = F.create_map(*[x for k, v in METRICS.items() for x in (F.lit(k), F.lit(v))])
 
-    def fence(s: DataFrame, keys: list[str], name: str) -> DataFrame:
-        q = quartiles(s, keys + ["metric"])
-        cut = F.col("q3") + F.greatest(F.lit(FENCE) * (F.col("q3") - F.col("q1")), gap[F.col("metric")])
+    def by(s: DataFrame, keys: list[str], name: str) -> DataFrame:
+        q = cut_offs(s, keys + ["metric"])
         enough = F.col("n_docs") >= min_docs if keys else F.lit(True)
         return q.where(enough).groupBy(*keys).agg(
-            *[F.max(F.when(F.col("metric") == m, cut)).alias(f"{name}_{m}") for m in METRICS])
+            *[F.max(F.when(F.col("metric") == m, F.col("cut"))).alias(f"{name}_{m}") for m in METRICS])
 
     groups = fine.select("lang", "source").distinct()  # groups whose documents all fail the base rule need no cut-off
-    out = sized_join(groups, fence(fine, ["lang", "source"], "s"), ["lang", "source"])
-    out = sized_join(out, fence(by_lang, ["lang"], "l"), ["lang"])
-    overall = fence(everything, [], "a").first()  # one row of a few numbers
+    out = sized_join(groups, by(fine, ["lang", "source"], "s"), ["lang", "source"])
+    out = sized_join(out, by(by_lang, ["lang"], "l"), ["lang"])
+    overall = by(everything, [], "a").first()  # one row of a few numbers
     return ckpt(out.select("lang", "source", *[
         F.coalesce(F.col(f"s_{m}"), F.col(f"l_{m}"), F.lit(overall[f"a_{m}"]).cast("bigint")).alias(f"t_{m}")
         for m in METRICS]))
 
 
-def judge(docs: DataFrame, keep: list[str], min_docs: int = 30, materialise: bool = True) -> DataFrame:
+def judge(docs: DataFrame, keep: list[str], min_docs: int = 30) -> DataFrame:
     """``keep`` columns, the counts, ``base_failed`` and ``kept`` for every row of ``docs`` (text, lang, source).
 
-    The sketches need one pass over the texts, the verdicts another; ``materialise`` keeps the counts of the first
-    pass (without texts) in the shared folder instead."""
+    The texts are counted once; the counts (with the ``keep`` columns) go to the shared folder, as the cut-offs need all of them."""
     cols = list(dict.fromkeys([*keep, "lang", "source"]))
-    m = _metrics(text_counts(docs, cols))
-    if materialise:
-        m = ckpt(m)
-        t = thresholds(m, min_docs)
-    else:
-        t = thresholds(_metrics(text_counts(docs.select("text", "lang", "source"), ["lang", "source"])), min_docs)
+    m = ckpt(_metrics(text_counts(docs, cols)))
+    t = thresholds(m, min_docs)
     j = sized_join(m, t, ["lang", "source"])
     over = F.lit(False)
     for name in METRICS:
@@ -146,7 +142,7 @@ def judge(docs: DataFrame, keep: list[str], min_docs: int = 30, materialise: boo
 
 
 def filter_documents(docs: DataFrame, min_docs: int = 30) -> DataFrame:
-    """The rows of ``docs`` that pass, all columns unchanged. Texts are not shuffled: the verdict is computed beside
-    the text it judges, and only the cut-off table (size-checked) travels."""
+    """The rows of ``docs`` that pass, all columns unchanged. Texts are not shuffled: only the cut-off table
+    (size-checked) travels."""
     d = docs.select(F.struct(*docs.columns).alias("_row"), "text", "lang", "source")
-    return judge(d, ["_row"], min_docs, materialise=False).where(F.col("kept") & (F.col("_once") >= 0)).select("_row.*")
+    return judge(d, ["_row"], min_docs).where(F.col("kept") & (F.col("_once") >= 0)).select("_row.*")

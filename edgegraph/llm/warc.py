@@ -5,19 +5,19 @@ files are committed atomically on any store. Pages with an equal payload of at l
 once: the smallest page_id is the response, the others are revisit records without a body. Archives are read back file by
 file by Content-Length (a payload may hold anything), and response bodies are checked against their digest.
 
-Index: each file's captures, sorted by (URL key, timestamp, page_id), are a run. Split points from a sample of bounded size
-cut the key space into ranges of about ``range_rows`` captures; every run sends one sorted segment to each range, and
-one task per range merges its k segments by a loser tree. Ranges are ordered among each other, so the result is one
+Index: each file's captures, sorted by (URL key, timestamp, page_id), are a run. Spark's range partitioning cuts the key
+space into ranges of about ``range_rows`` captures; every run sends a sorted segment to each range, and one task per
+range merges its k segments by a loser tree. Ranges are ordered among each other, so the result is one
 global order; a URL captured very often spreads over several ranges, as the timestamp is part of the key.
 
-Defined results: null html is an empty payload; null URLs have an empty key; null page_ids are responses unless a non-null one has
+Defined results: any bigint is a page_id (a page's capture time is ``EPOCH`` plus its page_id modulo ``SPAN`` seconds, so that
+it exists for all of them); null html is an empty payload; null URLs have an empty key; null page_ids are responses unless a non-null one has
 the payload; repeated rows of the smallest page_id are responses too; an empty table gives an empty index; other columns are
 not archived.
 """
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -30,7 +30,8 @@ MIN_REVISIT = 100
 END = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_BYTES = 8 << 20
-EPOCH = 1_700_000_000  # a page's capture time is this many seconds plus its page_id
+EPOCH = 1_700_000_000
+SPAN = 1 << 33  # the last capture time lies in the year 2296
 INDEX = ("page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string, "
          "url_key string, captured bigint, file string, offset bigint, length bigint")
 
@@ -54,7 +55,7 @@ def write(pages: DataFrame, folder: str) -> None:
     uri = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), "%", "%25"), "\r", "%0D"), "\n", "%0A")
     revisit = F.col("refers_to").isNotNull()
     ident = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit(">"))
-    when = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + F.coalesce("page_id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    when = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(SPAN))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     lines = [
         F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
         F.concat(F.lit("WARC-Record-ID: "), ident), F.concat(F.lit("WARC-Date: "), when),
@@ -188,56 +189,32 @@ class LoserTree:
             self._replay(w)
 
 
-def merge_runs(runs: DataFrame, range_rows: int = 100_000, sample_per_range: int = 100) -> DataFrame:
+def merge_runs(runs: DataFrame, range_rows: int = 100_000) -> DataFrame:
     """All captures of all runs with range_id and range_pos: ordered by both, they are the globally ordered index.
-    ``runs`` is read three times: it should be a table."""
+    ``runs`` is read several times: it should be a table."""
     total = runs.agg(F.sum(F.size("run"))).first()[0] or 0
     ranges = max(1, -(-total // range_rows))
-    splits: list[tuple] = []
-    if ranges > 1:
-        share = min(1.0, ranges * sample_per_range / total)
-        sample = (runs.select(F.explode("run").alias("r")).select("r.*")
-                  .where(F.pmod(F.xxhash64("file", "offset"), F.lit(1 << 40)) < int(share * (1 << 40))))
-        keys = sorted(order(tuple(r)) for r in sample.select(*_names()).toLocalIterator())
-        splits = [keys[len(keys) * i // ranges] for i in range(1, ranges)] if keys else []
-
-    def cut(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        for b in batches:
-            for file, run in zip(b.column(0).to_pylist(), b.column(1)):
-                rows = run.values
-                keys = [order(tuple(r.values())) for r in rows.to_pylist()]
-                at = [0, *(bisect.bisect_left(keys, s) for s in splits), len(keys)]
-                some = [i for i in range(len(at) - 1) if at[i] < at[i + 1]]
-                if some:
-                    part = pa.ListArray.from_arrays(pa.array([at[some[0]], *(at[i + 1] for i in some)], pa.int32()), rows)
-                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([file] * len(some)), part],
-                                                     names=["range_id", "file", "run"])
 
     def merge(batches: Iterator) -> Iterator:
+        """Rows of one range, run by run and sorted within each -> one order."""
         import pyarrow as pa
-        held, now = [], None
-
-        def flush():
-            for start, rows in _chunks(iter(LoserTree([iter(r) for r in held], lambda r: order(tuple(r.values())))), 10_000):
-                cols = [pa.array([r[c] for r in rows], t.type) for c, t in zip(_names(), _run_type().value_type)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([now] * len(rows), pa.int64()), pa.array(range(start, start + len(rows)), pa.int64()), *cols],
-                    names=["range_id", "range_pos", *_names()])
-
+        from pyspark import TaskContext
+        held: dict[str, list] = {}
         for b in batches:
-            for rid, run in zip(b.column(0).to_pylist(), b.column(2)):
-                if held and rid != now:
-                    yield from flush()
-                    held = []
-                now = rid
-                held.append(run.values.to_pylist())
-        if held:
-            yield from flush()
-
-    segments = runs.mapInArrow(cut, f"range_id bigint, file string, run array<struct<{_struct()}>>")
-    return (segments.repartition(int(min(ranges, 1 << 20)), "range_id").sortWithinPartitions("range_id", "file")
-            .mapInArrow(merge, f"range_id bigint, range_pos bigint, {INDEX}"))
+            names = b.schema.names
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                held.setdefault(row[names.index("file")], []).append(row)
+        now = TaskContext.get().partitionId()
+        for start, rows in _chunks(iter(LoserTree([iter(r) for r in held.values()], order)), 10_000):
+            cols = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_run_type().value_type)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([now] * len(rows), pa.int64()), pa.array(range(start, start + len(rows)), pa.int64()), *cols],
+                names=["range_id", "range_pos", *_names()])
+
+    captures = runs.select(F.explode("run").alias("r")).select("r.*")
+    key = ["url_key", "captured", "page_id", "file", "offset"]
+    return (captures.repartitionByRange(int(min(ranges, 1 << 20)), *key).sortWithinPartitions("file", *key)
+            .select(*_names()).mapInArrow(merge, f"range_id bigint, range_pos bigint, {INDEX}"))
 
 
 def _chunks(rows: Iterator, size: int) -> Iterator[tuple[int, list]]:

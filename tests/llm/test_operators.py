@@ -91,9 +91,84 @@ def test_language_shortcut_equals_viterbi():
         assert value(s, path[text == t]) == pytest.approx(value(s, langid._viterbi(s, 3.0)))
 
 
+def plain_words(text):
+    """Runs of letters, and marks inside a script's range, of one script, lower-cased; each with its script."""
+    import unicodedata
+    out, held, now = [], "", None
+    for ch in (text or "").lower() + "\0":
+        kind, at = unicodedata.category(ch)[0], ord(ch)
+        script = next((s for a, s in reversed(langid.SCRIPTS) if a <= at), "")
+        script = (script or "other") if kind == "L" else script if kind == "M" else ""
+        if script != now or not script:
+            if held and any(unicodedata.category(c)[0] == "L" for c in held):
+                out.append((held, now))
+            held, now = "", script
+        if script:
+            held += ch
+    return out
+
+
+def plain_cell(a, b, c):
+    x = (ord(a) << 42 | ord(b) << 21 | ord(c)) & (2 ** 64 - 1)
+    for k, m in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = ((x ^ (x >> k)) * m) & (2 ** 64 - 1)
+    return (x ^ (x >> 31)) % langid.CELLS
+
+
+def grams(word):
+    w = f" {word} "
+    return [plain_cell(*w[i:i + 3]) for i in range(len(word))]
+
+
+def plain_identify(train, text, penalty=langid.SWITCH):
+    """Counts, word scores, candidates and the best path of all, from the definitions."""
+    counts, letters = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
+    for lang, t in train:
+        for w, script in plain_words(t):
+            counts[lang].update(grams(w))
+            letters[lang][script] += len(w)
+    langs, words = sorted(counts), plain_words(text)
+    if not words or not langs:
+        return "und", 0.0, []
+    best = {lang: (0.0, []) for lang in langs}
+    for i, (w, script) in enumerate(words):
+        raw = {lang: sum(np.log((counts[lang][g] + 0.5) / (sum(counts[lang].values()) + 0.5 * langid.CELLS)) for g in grams(w)) for lang in langs}
+        fits = [lang for lang in langs if letters[lang][script] >= langid.SCRIPT_SHARE * max(1, sum(letters[lang].values()))]
+        score = {lang: raw[lang] if lang in fits else min(raw[x] for x in fits) - penalty if fits else 0.0 for lang in langs}
+        step = {}
+        for lang in langs:
+            before = max(langs, key=lambda x: (best[x][0] - penalty * (x != lang and i > 0), x == lang))
+            step[lang] = (best[before][0] - penalty * (before != lang and i > 0) + score[lang], [*best[before][1], lang])
+        best = step
+    path = best[max(langs, key=lambda x: best[x][0])][1]
+    size = collections.Counter()
+    for (w, _), lang in zip(words, path):
+        size[lang] += len(w)
+    top = max(langs, key=lambda x: (size[x], -langs.index(x)))
+    return top, size[top] / sum(size.values()), path
+
+
+def test_language_matches_brute_force(spark):
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("lang is not null").orderBy("doc_id").limit(60).collect()
+    train = [(r["lang"], (r["text"] or "")[:400]) for r in d] + [("ru", "это слово и ещё одно слово"), ("hi", "यह एक वाक्य है और यह भी")]
+    model = langid.train(spark.createDataFrame([(a, t) for a, t in train], "lang string, text string"))
+    pick = [t for _, t in train if len(t) > 300][:8]
+    texts = [pick[i][:150] + " слово это " + pick[-1 - i][:150] + " यह और" for i in range(4)] + [t for _, t in train[-2:]] + pick
+    texts += ["٠١٢٣ ٤٥٦", "।॥", "123 !?", "ⵜⴰⵎⴰⵣⵉⵖⵜ", "ｆｕｌｌｗｉｄｔｈ", "\u0301\u0302", None, "x"]
+    got = langid.identify(docs(spark, *texts), model, ["doc_id"]).orderBy("doc_id").collect()
+    for r, t in zip(got, texts):
+        lang, score, path = plain_identify(train, t)
+        spans = [s["lang"] for s in r["spans"] for _ in range(s["last"] - s["first"] + 1)]
+        assert (r["lang_pred"], spans) == (lang, path) and r["score"] == pytest.approx(score), t
+    by = {t: r["lang_pred"] for r, t in zip(got, texts)}
+    assert by["٠١٢٣ ٤٥٦"] == by["।॥"] == by["123 !?"] == by["\u0301\u0302"] == "und"
+    assert by["ⵜⴰⵎⴰⵣⵉⵖⵜ"] != "und" and by["ｆｕｌｌｗｉｄｔｈ"] != "und"
+
+
 def test_language_defined_results(spark):
     model = langid.train(docs(spark, "the cat and the dog"))
-    out = langid.identify(messy(spark, True), model, ["doc_id", "score"]) if False else langid.identify(messy(spark), model, ["doc_id"])
+    out = langid.identify(messy(spark, True), model, ["doc_id", "score", "kept"])
+    assert out.columns == ["doc_id", "kept", "lang_pred", "score", "spans"] and dict(out.dtypes)["score"] == "double"
     got = [(r["doc_id"], r["lang_pred"]) for r in out.collect()]
     assert got.count((0, "und")) == 1 and (1, "und") in got and (2, "und") in got and (3, "en") in got and len(got) == 10
     nothing = langid.train(docs(spark))
@@ -205,13 +280,32 @@ def test_sketch_is_mergeable_and_accurate(spark):
     rng = random.Random(5)
     values = [int(rng.paretovariate(1.1) * 20) for _ in range(4000)]
     df = spark.createDataFrame([("a" if i % 3 else "b", v) for i, v in enumerate(values)], "g string, value bigint")
-    whole = quality.quartiles(quality.sketch(df, []), []).first()
-    merged = quality.quartiles(quality.merge(quality.sketch(df, ["g"]), []), []).first()
-    assert whole == merged
-    s = sorted(values)
-    for q, rank in ((whole["q1"], 1000), (whole["q3"], 3000)):
-        exact = s[rank - 1]
-        assert q <= exact <= q * (1 + 2 ** -(quality.SKETCH_BITS - 1)) + 1
+    whole, merged = quality.sketch(df, []), quality.merge(quality.sketch(df, ["g"]), [])
+    assert sorted(whole.collect()) == sorted(merged.collect()) and quality.cut_offs(whole, []).first() == quality.cut_offs(merged, []).first()
+    buckets = sorted(r["bucket"] for r in whole.collect())
+    assert all(any(b <= v <= b * (1 + 2 ** -(quality.SKETCH_BITS - 1)) for b in buckets) for v in values)
+
+
+def test_cut_offs_follow_the_groups_spread(spark):
+    """Equal outliers, different bulks: every group gets the cut-off of its own gap, a group without a gap none."""
+    rng = random.Random(6)
+    rows = [("narrow", rng.randrange(0, 30)) for _ in range(300)] + [("narrow", 200)] * 9
+    rows += [("wide", rng.randrange(0, 120)) for _ in range(300)] + [("wide", 200)] * 9
+    rows += [("even", 100 + i) for i in range(150)] + [("zero", 0)] * 50
+    cut = {r["g"]: r["cut"] for r in quality.cut_offs(quality.sketch(
+        spark.createDataFrame(rows, "g string, value bigint"), ["g"]), ["g"]).collect()}
+    high = {g: max(v for k, v in rows if k == g and v < 200) for g in ("narrow", "wide")}
+    assert cut == {"narrow": (high["narrow"] + 200) // 2, "wide": cut["wide"], "even": quality.NO_CUT, "zero": quality.NO_CUT}
+    assert cut["wide"] in ((high["wide"] + 200) // 2, (high["wide"] + 199) // 2) or cut["wide"] > cut["narrow"]
+
+
+def test_quality_keeps_clean_and_drops_junk(spark):
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    r = quality.judge(d, ["doc_id"]).where("n_words >= 50").join(labels, "doc_id").groupBy("quality").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    kept = {x["quality"]: x["kept"] for x in r}
+    assert kept[1] >= 0.99 and kept[0] <= 0.01
 
 
 # ---- 4 WARC ---------------------------------------------------------------------------------------------
@@ -237,6 +331,13 @@ def test_warc_round_trip_and_order(spark):
     assert warc.archive_and_index(pages.limit(0)).count() == 0
 
 
+def test_warc_takes_every_bigint_as_page_id(spark):
+    ids = [-(1 << 63), (1 << 63) - 1, 0, -1, 300_000_000_000, -70_000_000_000, 10 ** 13, None]
+    pages = spark.createDataFrame([(i, f"http://a/{i}", "same page " * 20) for i in ids], "page_id bigint, url string, html string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.archive_and_index(pages, range_rows=2).collect()}
+    assert got == {i: ("response", None) if i == -(1 << 63) else ("revisit", -(1 << 63)) for i in ids}
+
+
 def test_loser_tree():
     rng = random.Random(2)
     for k in (0, 1, 2, 3, 5, 8, 13):
@@ -487,6 +588,26 @@ def test_mix_targets_quotas_and_shards(spark):
     assert set(shards) == set(range(16)) and max(shards.values()) < 2 * min(shards.values())
 
 
+def test_mix_meets_targets_with_null_and_equal_ids(spark):
+    rng = random.Random(9)
+    for same in (None, 7):
+        for texts in ([" ".join(f"x{rng.random()}" for _ in range(20)) for _ in range(1000)], ["one and the same text here"] * 1000):
+            rows = [(same, t, "en", "a", 0) for t in texts] + [(i, "some other words of b " * 8, "en", s, 0) for i, s in enumerate("bbbccc" * 60)]
+            d = spark.createDataFrame(rows, DOCS)
+            got = mixing.document_shards(d, ["source"]).collect()
+            taken = sum(r["size"] * len(r["shards"]) for r in got if r["source"] == "a")
+            target = next(r["target"] for r in got if r["source"] == "a")
+            assert abs(taken - target) <= 20 and max(len(r["shards"]) for r in got) <= 3
+
+
+def test_mix_shards_follow_the_total(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 1000)
+    d = docs(spark, *[" ".join(["w"] * 50) + f" {i}" for i in range(300)])
+    out = mixing.mix(d, block_words=200, block_docs=4)
+    assert out.select("mix_shard").distinct().count() == 16 and out.count() == 300
+    assert mixing.mix(d.limit(10)).select("mix_shard").distinct().count() == 1
+
+
 def test_split_tree_is_exact(spark):
     q = spark.createDataFrame([("a", 37), ("b", 5), ("c", 1)], "key string, quota bigint")
     out = mixing._split_tree(q, 3, "s").collect()
