@@ -14,6 +14,11 @@ Two priorities:
 * :func:`weight_class_matching`: power-of-two weight classes, a hash within a class. A 1/4-approximation (a rejected edge is
   blocked by one of at least half its weight); random priorities need O(log n) rounds per class with high probability.
 
+:func:`preempt` is the form for a stream: new edges are merged into a matching, and an edge whose weight exceeds twice the matched
+weight that it collides with evicts it. Edges that qualify compete in rounds (weight class, then hash); winners share no vertex, so
+a round gives what the sequential rule gives when the edges that don't qualify arrive first and the winners in any order after
+them. Every accepted edge passes the sequential rule against what is matched at its time, so its factor of 1/6 holds.
+
 Weights keep their type (integers, decimals, doubles). Every round is one aggregate (combined map-side) and semi/anti joins. The live edges are checkpointed, and the
 matched edges of all rounds are appended to one table, so the plan does not grow with the rounds.
 """
@@ -87,3 +92,48 @@ def weight_class_matching(edges: DataFrame, weight: str = "amount") -> DataFrame
 def matching_weight(matching: DataFrame) -> DataFrame:
     return matching.agg(F.count(F.lit(1)).cast("bigint").alias("n_matched"),
                         F.coalesce(F.sum("weight"), F.lit(0)).alias("total_weight"))
+
+
+def preempt(matched: DataFrame, edges: DataFrame, weight: str = "amount") -> tuple[DataFrame, DataFrame]:
+    """``(matching, events)`` after the edges (src, trg, ``weight``) were offered to the matching (src, trg, weight): events (round,
+    op, src, trg, weight) with op ADD or REMOVE rebuild the new matching from the old one, round by round. Parallel edges
+    count by their largest weight, self-loops and null ends drop; an offered edge that is matched already changes nothing."""
+    spark = edges.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/preempt-{uuid.uuid4().hex}"
+    kind = edges.schema[weight].dataType
+    whole = kind.typeName() in ("byte", "short", "integer", "long")
+    now = matched.select(F.col("src").alias("a"), F.col("trg").alias("b"), F.col("weight").cast(kind).alias("w")).checkpoint(eager=True)
+    live = (edges.select(F.least("src", "trg").alias("a"), F.greatest("src", "trg").alias("b"), F.col(weight).alias("w"))
+            .where(F.col("src").isNotNull() & F.col("trg").isNotNull() & F.col(weight).isNotNull() & (F.col("a") != F.col("b")))
+            .groupBy("a", "b").agg(F.max("w").alias("w")).join(now.select("a", "b"), ["a", "b"], "left_anti")).checkpoint(eager=True)
+    rounds = []
+    while True:
+        ends = now.select(F.explode(F.array("a", "b")).alias("v"), F.struct("a", "b", "w").alias("m"))
+        at = [ends.select(F.col("v").alias(x), F.col("m").alias(f"m{x}")) for x in "ab"]
+        near = live.join(at[0], "a", "left").join(at[1], "b", "left")
+        zero = F.lit(0).cast(kind)
+        collided = F.coalesce("ma.w", zero) + F.when(F.col("ma").eqNullSafe(F.col("mb")), zero).otherwise(F.coalesce("mb.w", zero))
+        fit = near.where(F.col("w") > collided * 2).checkpoint(eager=True)
+        if not fit.limit(1).count():
+            break
+        priority = F.struct(power_class(F.col("w"), whole).alias("c"), md5_bigint(F.lit("preempt"), F.col("a"), F.col("b")).alias("h"),
+                            (-F.col("a")).alias("na"), (-F.col("b")).alias("nb"))
+        each = fit.select(F.explode(F.array("a", "b")).alias("v"), "a", "b", priority.alias("p"))
+        best = each.groupBy("v").agg(F.max_by(F.struct("a", "b"), "p").alias("e"))
+        picked = best.select("e.a", "e.b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).where("k = 2")
+        won = fit.join(picked.select("a", "b"), ["a", "b"], "left_semi")
+        out = won.select(F.explode(F.array("ma", "mb")).alias("m")).where("m IS NOT NULL").select("m.*").distinct()
+        n = len(rounds) + 1
+        log = out.withColumn("op", F.lit("REMOVE")).unionByName(won.select("a", "b", "w").withColumn("op", F.lit("ADD")))
+        log.withColumn("round", F.lit(n)).select("round", "op", "a", "b", "w").write.mode("overwrite").parquet(f"{folder}/{n}")
+        log = spark.read.parquet(f"{folder}/{n}")
+        rounds.append(f"{folder}/{n}")
+        gone, new = log.where("op = 'REMOVE'").select("a", "b"), log.where("op = 'ADD'").select("a", "b", "w")
+        now = now.join(gone, ["a", "b"], "left_anti").unionByName(new).checkpoint(eager=True)
+        live = fit.select("a", "b", "w").join(new.select("a", "b"), ["a", "b"], "left_anti").checkpoint(eager=True)
+    named = [F.col("a").alias("src"), F.col("b").alias("trg"), F.col("w").alias("weight")]
+    if rounds:
+        events = spark.read.parquet(*rounds).select("round", "op", *named)
+    else:
+        events = now.where(F.lit(False)).select(F.lit(0).alias("round"), F.lit("").alias("op"), *named)
+    return now.select(*named), events

@@ -10,7 +10,8 @@
   with ``foreachBatch`` (:class:`IncrementalComponents`);
 * cumulative summaries, count windows, degree distributions with deletions and bipartiteness merge one row per key and micro-batch
   into versioned state (:class:`SummaryStream`, :class:`CountWindowStream`, :class:`DegreeDistributionStream`, :class:`BipartiteStream`),
-  and so does any user state with an ordered merge (:class:`StateStream`);
+  and so does any user state with an ordered merge (:class:`StateStream`); a weighted matching with its ADD / REMOVE events and a k-spanner grow
+  the same way (:class:`MatchingStream`, :class:`SpannerStream`);
 * windowed triangles stage edges per window and count each window with the batch operator once the
   watermark closes it (:class:`WindowTriangles`).
 """
@@ -22,6 +23,6 @@ from edgegraph.streaming.runtime import (  # noqa: F401
 from edgegraph.streaming.stateful import degree_changelog_stream, DegreeChangelog  # noqa: F401
 from edgegraph.streaming.components import IncrementalComponents  # noqa: F401
 from edgegraph.streaming.keyed import (  # noqa: F401
-    BipartiteStream, CountWindowStream, DegreeDistributionStream, StateStream, SummaryStream,
+    BipartiteStream, CountWindowStream, DegreeDistributionStream, MatchingStream, SpannerStream, StateStream, SummaryStream,
 )
 from edgegraph.streaming.triangles import WindowTriangles  # noqa: F401

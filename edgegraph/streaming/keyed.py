@@ -1,5 +1,5 @@
-"""Keyed state merged per micro-batch (``foreachBatch``): cumulative summaries, count windows, degree distribution,
-bipartiteness.
+"""Keyed state merged per micro-batch (``foreachBatch``): cumulative summaries, user states, count windows, degree
+distribution, bipartiteness, matching, spanner.
 
 Operators that chain an unbounded history (a running total over all windows, a clamped walk per vertex, a growing
 graph) have no append-mode plan. Each micro-batch is reduced to one mergeable row per key, joined to the state table and
@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from edgegraph.operators import bipartite as B
+from edgegraph.operators.matching import preempt
 from edgegraph.operators.monoid import Monoid, fold
 from edgegraph.operators.positions import OrderedFrame
+from edgegraph.operators.spanner import extend_spanner
 from edgegraph.operators.summary import (Field, StateField, merge_fields, running_fields, running_states, window_partials,
                                          window_states)
 from edgegraph.operators.transforms import endpoints
@@ -189,3 +191,49 @@ class BipartiteStream:
     def results(self) -> DataFrame:
         """(component, bipartite, size) of the edges so far."""
         return B.components_of_cover(self.cover.labels())
+
+
+class MatchingStream(KeyedState):
+    """Weighted matching (H13) on a stream: state is the matching, and every micro-batch logs its ADD and REMOVE events."""
+
+    schema: StructType | str | None = None
+
+    def __init__(self, spark: SparkSession, state_dir: str, weight: str = "amount"):
+        super().__init__(spark, state_dir)
+        self.weight = weight
+
+    def update(self, batch: DataFrame, batch_id: int) -> None:
+        if self.schema is None:
+            kind = batch.schema[self.weight].dataType.simpleString()
+            self.schema = f"src bigint, trg bigint, weight {kind}"
+        self._batch_id = batch_id
+        super().update(batch, batch_id)
+
+    def merge(self, state: DataFrame, batch: DataFrame) -> DataFrame:
+        matching, events = preempt(state, batch, self.weight)
+        # before the state: a version without its events cannot exist, and a replay overwrites both
+        events.write.mode("overwrite").parquet(f"{self.state_dir}/events/batch={self._batch_id}")
+        return matching
+
+    def events(self) -> DataFrame:
+        """(batch, round, op, src, trg, weight) of all batches so far."""
+        return self.spark.read.parquet(f"{self.state_dir}/events")
+
+    def results(self) -> DataFrame:
+        return self.state()
+
+
+class SpannerStream(KeyedState):
+    """k-spanner (H6) on a stream: state is the spanner; see :func:`~edgegraph.operators.spanner.extend_spanner`."""
+
+    schema = "src bigint, trg bigint"
+
+    def __init__(self, spark: SparkSession, state_dir: str, k: int = 3):
+        super().__init__(spark, state_dir)
+        self.k = k
+
+    def merge(self, state: DataFrame, batch: DataFrame) -> DataFrame:
+        return extend_spanner(state, batch.where(F.col("src").isNotNull() & F.col("trg").isNotNull()), self.k)
+
+    def results(self) -> DataFrame:
+        return self.state()
