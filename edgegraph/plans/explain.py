@@ -14,7 +14,8 @@ from edgegraph.plans.catalog import queries
 def summary(df) -> str:
     """The plan that ran: the query is executed in full first, so adaptive joins and reused exchanges show."""
     spark = df.sparkSession
-    df.collect()
+    for _ in df.toLocalIterator():  # the same plan, one partition in the driver at a time
+        pass
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     text = df._jdf.queryExecution().explainString(mode)
     tree = text.split("\n\n\n")[0].replace("== Physical Plan ==\n", "")
