@@ -6,8 +6,9 @@ window not yet emitted is counted with the batch operator
 (:func:`~edgegraph.operators.triangles.window_triangles`, degree-oriented ``array_intersect``, no neighbour
 pairs) over its staged edges only (partition pruning), and appended to the output table. Rows for an
 already emitted window are late: they are dropped and counted, as Spark's watermark would. Staged edges
-are deduplicated by the operator and results are overwritten per window, so a replayed batch is harmless.
-Progress (watermark, last emitted window) is a small text file written after the outputs.
+are deduplicated by the operator and results are overwritten per window, so a batch that broke off is repeated without harm.
+Progress (watermark, last emitted window, late rows, batch id) is a small text file written after the outputs; a batch that it
+covers is not run again, so its rows don't count as late. Staged windows are deleted once progress says they are emitted.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ class WindowTriangles:
         self.delay_ms = _interval_ms(spark, delay)
         self._fs = _HadoopFS(spark, self.root)
         saved = self._fs.read_text("_PROGRESS")
-        self.watermark, self.emitted_until, self.late_rows = (
-            tuple(int(x) for x in saved.split(",")) if saved else (-2 ** 62, -2 ** 62, 0))
+        self.watermark, self.emitted_until, self.late_rows, self.batch_id = (
+            tuple(int(x) for x in saved.split(",")) if saved else (-2 ** 62, -2 ** 62, 0, -1))
 
     @property
     def staging(self) -> str:
@@ -44,6 +45,8 @@ class WindowTriangles:
         return f"{self.root}/output"
 
     def update(self, batch: DataFrame, batch_id: int | None = None) -> None:
+        if batch_id is not None and batch_id <= self.batch_id:
+            return  # done before, up to the stream's own commit
         e = batch.select("src", "trg", "ts").withColumn(
             "w_start", F.unix_millis("ts") - F.pmod(F.unix_millis("ts"), F.lit(self.size_ms)))
         stats = e.agg(F.max(F.unix_millis("ts")).alias("mx"),
@@ -65,7 +68,12 @@ class WindowTriangles:
             self.emitted_until = closed_until
         self.watermark = watermark
         self.late_rows += int(stats["late"] or 0)
-        self._fs.write_text("_PROGRESS", f"{self.watermark},{self.emitted_until},{self.late_rows}")
+        self.batch_id = self.batch_id if batch_id is None else batch_id
+        self._fs.write_text("_PROGRESS", f"{self.watermark},{self.emitted_until},{self.late_rows},{self.batch_id}")
+        staged_fs = _HadoopFS(self.spark, self.staging)
+        for name in staged_fs.names("w_start="):
+            if int(name.split("=", 1)[1]) < self.emitted_until:
+                staged_fs.delete(name)
 
     def results(self) -> DataFrame:
         return self.spark.read.parquet(self.output).drop("w")
