@@ -1,10 +1,11 @@
 """Licence scans (native).
 
 Method: a text is normalised to its words (ASCII letters lower-cased, every other ASCII character a separator). An
-ordered table of signature rules, several hundred regexes written as a few forms per licence family, is gated twice: a text
-needs one of the ``GATES``, and a rule needs its family's keyword in the text; both are parts of every string that the
-rule's regex matches, so they cost no match. Each match is a word interval with the
-rule's priority. Overlaps are resolved by containment and priority: a detection goes if another one contains it and is
+ordered table of signature rules, several hundred regexes, is gated twice: a text needs one of the ``GATES``, and a rule needs its
+keyword in the text; both are parts of every string that the rule's regex matches, so they cost no match. The table has the base
+phrases, SPDX identifiers, hand-written passages of notices and licence texts (``license_signatures``), and a few forms per licence
+name. Only a rule for the later operands of an SPDX expression has a keyword that is a condition (``context``): the expression's
+prefix. Each match is a word interval with the rule's priority. Overlaps are resolved by containment and priority: a detection goes if another one contains it and is
 longer or ranks higher, or overlaps it partly with a higher priority.
 
 All steps are in-row array expressions: nothing is shuffled and no Python runs.
@@ -21,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edgegraph.llm.license_signatures import CC_TERMS, CC_VERSIONS, SIGNATURES, SPDX_IDS
 from edgegraph.llm.tables import lower_ascii
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -34,7 +36,11 @@ BASE_PHRASES = {
 }
 
 GATES = (" licen", " copyright", " copyleft", " spdx ", " gpl", " lgpl", " agpl", " cc by", " cc0", " public domain",
-         " rights reserved", " creative commons", " apache", " bsd ", " wtfpl", " unlicense ")
+         " rights reserved", " creative commons", " apache", " bsd ", " wtfpl", " unlicense ", " permission ", " redistribution",
+         " creativecommons org", " gnu org", " endorse or promote", " advertising", " good not evil", " openssl project", " mozilla org",
+         " eclipse org", " boost org", " opendatacommons org", " under which a package", " beer in return", " implied warranty",
+         " altered source versions", " unencumbered software", " neighboring rights", " terms and conditions",
+         " contributor hereby", " unauthorized copying", " no part of this publication")
 
 # label, keyword, name pattern, versions
 FAMILIES = (
@@ -79,26 +85,52 @@ FAMILIES = (
      ("2.0", "3.0", "4.0")),
     ("cc-by-nc", "attribution non", "creative commons attribution non ?commercial(?: international| unported)?",
      ("2.0", "3.0", "4.0")),
+    ("cc-by-nd", "attribution no", "creative commons attribution no ?deriv(?:ative)?s(?: international| unported)?", ("2.0", "3.0", "4.0")),
+    ("cc-by-nc-sa", "attribution non", "creative commons attribution non ?commercial share ?alike(?: international| unported)?",
+     ("2.0", "3.0", "4.0")),
+    ("cc-by-nc-nd", "attribution non", "creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: international| unported)?",
+     ("2.0", "3.0", "4.0")),
     ("public-domain", " public domain", "(?:dedicated to|released into|in) the public domain", ()),
     ("proprietary", " rights reserved", "all rights reserved", ()),
 )
 
 # form -> (priority, text before the name, text after it)
 FORMS = {
-    "spdx": (100, "spdx license identifier ", ""),
     "grant": (80, "(?:licensed|released|distributed|available|published) under (?:the terms of )?(?:the |an? )?", ""),
     "title": (60, "(?:the )?", "(?: licen[sc]e)?"),
 }
 BASE_PRIORITY = 40
+SPDX_PRIORITY = 105  # the highest
+PASSAGE_PRIORITY = 95
+HEADER_PRIORITY = 70
+SPDX_PREFIX = " spdx license identifier "
+
+
+def _rule(label: str, kw: str, pattern: str, priority: int, base: bool = False, context: bool = False) -> dict:
+    return {"kw": kw, "regex": f" {pattern}(?= )", "label": label, "priority": priority, "base": base, "context": context}
 
 
 def rules() -> list[dict]:
-    """The ordered signature table: base phrases, then per family every form with and without each version."""
-    out = [{"kw": f" {p} ", "regex": f" {p}(?= )", "label": label, "priority": BASE_PRIORITY, "base": True}
-           for p, label in BASE_PHRASES.items()]
+    """The ordered signature table: base phrases, SPDX identifiers, passages, then per licence name every form with and without each
+    version. ``context`` marks rules whose keyword is a condition of its own, not a part of their regex."""
+    out = [_rule(label, f" {p} ", p, BASE_PRIORITY, base=True) for p, label in BASE_PHRASES.items()]
+    every = "|".join(i for i, _ in SPDX_IDS)
+    for i, label in SPDX_IDS:
+        word = i.split("(")[0]
+        out.append(_rule(label, f"{SPDX_PREFIX}{word}", f"spdx license identifier {i}", SPDX_PRIORITY))
+        # an operand overlaps the one before it, so that neither contains the other
+        out.append(_rule(label, SPDX_PREFIX, f"(?:{every}) (?:or|and) {i}", SPDX_PRIORITY, context=True))
+        if any(c.isdigit() for c in word) or word in ("mit", "isc", "unlicense"):
+            out.append(_rule(label, f" {word}", f"licen[sc]e(?: id| type| name)? {i}", HEADER_PRIORITY))
+    out += [_rule(label, kw, pattern, PASSAGE_PRIORITY) for label, kw, pattern in SIGNATURES]
+    for terms in CC_TERMS:
+        label, address = f"cc-{terms.replace(' ', '-')}", f"creativecommons org licenses {terms}"
+        out.append(_rule(label, f" {address}", address, PASSAGE_PRIORITY))
+        out += [_rule(f"{label}-{v}", f" {address} {v.replace('.', ' ')}", f"{address} {v.replace('.', ' ')}", PASSAGE_PRIORITY)
+                for v in CC_VERSIONS]
     for label, kw, name, versions in FAMILIES:
         for priority, before, after in FORMS.values():
-            out.append({"kw": kw, "regex": f" {before}{name}{after}(?= )", "label": label, "priority": priority, "base": False})
+            out.append(_rule(label, kw, f"{before}{name}{after}", priority))
             for v in versions:
                 if v.endswith("-clause"):
                     n = v.split("-")[0]
@@ -107,8 +139,7 @@ def rules() -> list[dict]:
                     major, minor = v.split(".")
                     digits = f"{major}(?: {minor})?" if minor == "0" else f"{major} {minor}"
                     named = f"{name}{after}(?: version| v)? ?v?{digits}"
-                out.append({"kw": kw, "regex": f" {before}{named}(?: only| or later)?(?= )", "label": f"{label}-{v}",
-                            "priority": priority + 5, "base": False})
+                out.append(_rule(f"{label}-{v}", kw, f"{before}{named}(?: only| or later)?", priority + 5))
     for i, r in enumerate(out):
         r["id"] = i
     return out
@@ -163,7 +194,7 @@ def scan(docs: DataFrame, keep: Sequence[str], table: Sequence[dict] | None = No
 def summarise(found: DataFrame, keep: Sequence[str]) -> DataFrame:
     """n_base, first_word, last_word, base_labels, labels and score (priority of the best kept detection over the
     highest priority there is) of :func:`scan`'s rows."""
-    top = max(p for p, _, _ in FORMS.values()) + 5.0
+    top = float(SPDX_PRIORITY)
     base = "filter(detections, x -> x.base)"
     return found.select(
         *keep, "n_words", F.expr(f"CAST(size({base}) AS bigint)").alias("n_base"),

@@ -246,10 +246,53 @@ def matched_strings(parsed):
 def test_license_gates_follow_from_every_rule():
     from re import _parser
     lost = [(r["regex"], s) for r in license_scan.rules() for s in matched_strings(_parser.parse(r["regex"]))
-            if r["kw"] not in s or not any(g in s for g in license_scan.GATES)]
+            if (not r["context"] and r["kw"] not in s) or not any(g in (r["kw"] if r["context"] else s) for g in license_scan.GATES)]
     assert lost == []
 
 
+def test_every_license_rule_finds_its_strings(spark):
+    """The shortest and the longest string of each rule as a document of its own."""
+    from re import _parser
+    table, texts = license_scan.rules(), []
+    for r in table:
+        found = sorted(matched_strings(_parser.parse(r["regex"])), key=len)
+        texts += [(r["id"], (r["kw"] if r["context"] else "") + f) for f in (found[0], found[-1])]
+    got = license_scan.scan(docs(spark, *[t for _, t in texts]), ["doc_id"]).select("doc_id", "detections.id").collect()
+    assert [t for r in got for t in [texts[r["doc_id"]]] if t[0] not in r["id"]] == []
+
+
+LICENSE_TEXTS = {
+    "// SPDX-License-Identifier: MIT": "mit", "# SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: MIT-0": "mit-0",
+    "/* SPDX-License-Identifier: GPL-2.0+ */": "gpl-2.0", "SPDX-License-Identifier: (Apache-2.0 OR MIT)": "apache-2.0,mit",
+    "SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause": "apache-2.0,bsd-3-clause,mit", "{\"license\": \"MIT\"}": "mit",
+    "MIT or ISC, as you like": "", "Creative Commons Zero": "cc0-1.0", "https://creativecommons.org/licenses/by-sa/4.0/": "cc-by-sa-4.0",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files "
+    "(the \"Software\"), to deal in the Software": "mit",
+    "Permission to use, copy, modify, and/or distribute this software for any\n# purpose with or without fee is hereby granted": "isc",
+    "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following "
+    "conditions are met: Neither the name of X nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software": "bsd,bsd-3-clause",
+    "you can redistribute it under the terms of the GNU General Public License as published by the Free Software Foundation; either "
+    "version 2 of the License, or (at your option) any later version.": "gpl,gpl-2.0",
+    "you may not use this file except in compliance with the License. http://www.apache.org/licenses/LICENSE-2.0": "apache-2.0",
+    "This is free and unencumbered software released into the public domain.": "unlicense",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2.0",
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+    "damages arising from the use of this software.": "zlib",
+    "The Software shall be used for Good, not Evil.": "json", "Business Source License 1.1": "busl-1.1",
+    "he gave permission to use the garden, and the redistribution of land went on": "",
+}
+
+
+def test_license_texts(spark):
+    texts = list(LICENSE_TEXTS)
+    got = license_scan.summarise(license_scan.scan(docs(spark, *texts), ["doc_id"]), ["doc_id"]).collect()
+    assert {texts[r["doc_id"]]: r["labels"] for r in got} == LICENSE_TEXTS
+    table = license_scan.rules()
+    for r in got:
+        assert (r["n_words"], r["n_base"], r["labels"]) == tuple(brute_licenses(texts[r["doc_id"]], table)[i] for i in (0, 1, 5))
+
+
 def test_licenses_match_brute_force_without_gates(spark, monkeypatch):
     want = {"This is the Unlicense": "unlicense", "WTFPL v2": "wtfpl-2.0", "WTFPLv2": "wtfpl-2.0", "BSD 3-Clause": "bsd-3-clause",
             "released under Apache 2.0": "apache-2.0", "Creative Commons Attribution Non-Commercial": "cc-by-nc",
@@ -260,7 +303,7 @@ def test_licenses_match_brute_force_without_gates(spark, monkeypatch):
     got = license_scan.summarise(license_scan.scan(d, ["doc_id", "text"]), ["doc_id", "text"]).collect()
     assert {r["text"]: r["labels"] for r in got if r["doc_id"] < 1000} == want
     monkeypatch.setattr(license_scan, "GATES", ("",))
-    table = [r | {"kw": ""} for r in license_scan.rules()]
+    table = [r if r["context"] else r | {"kw": ""} for r in license_scan.rules()]
     for r in got:
         assert tuple(r)[2:] == pytest.approx(brute_licenses(r["text"], table)), r["text"]
 
