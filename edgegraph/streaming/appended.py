@@ -1,4 +1,4 @@
-"""Ordered changelogs and exact triangles of an unbounded stream, over tables that only grow (``foreachBatch``).
+"""Ordered changelogs, components and exact triangles of an unbounded stream, over tables that only grow (``foreachBatch``).
 
 What a stream has seen (vertices, neighbour pairs, edges) is never changed, only added to. So its state is a Parquet table with one
 partition per micro-batch: a batch reads the partitions before its own, and writes (or, replayed, overwrites) its own partition. The
@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edgegraph.operators.components import connected_components
 from edgegraph.operators.degree_dist import changes_of_walk, clamped_walk
 from edgegraph.operators.positions import OrderedFrame, with_position
 from edgegraph.operators.transforms import endpoints
@@ -227,3 +228,40 @@ class ExactTriangleStream(AppendStream):
         per_v = self.table("local").groupBy("v").agg(F.sum("triangles").cast("bigint").alias("triangles"))
         total = self.table("log").agg(F.lit(-1).cast("bigint").alias("v"), F.sum("new_triangles").cast("bigint").alias("triangles"))
         return per_v.unionByName(total)
+
+
+class ComponentsStream(AppendStream):
+    """Connected components (H4e) with two levels of labels. A vertex is written once, with the label that its component has then
+    (its root). When components merge, only roots are written again: (root, label) in ``forest``, where the newest batch counts.
+    So a batch writes its new vertices and the roots of the components that it merges, whatever the number of vertices so far. A
+    label is the smallest vertex of its component."""
+
+    tables = {"roots": "v bigint, root bigint", "forest": "root bigint, label bigint, at bigint"}
+
+    def _forest(self, before: int | None = None) -> DataFrame:
+        return self.table("forest", before).groupBy("root").agg(F.max_by("label", "at").alias("label"))
+
+    def step(self, batch: DataFrame, batch_id: int) -> None:
+        edges = batch.select("src", "trg").where(F.col("src").isNotNull() & F.col("trg").isNotNull())
+        touched = edges.select(F.explode(F.array("src", "trg")).alias("v")).distinct()
+        forest = self._forest(batch_id)
+        known = (self.table("roots", batch_id).join(touched, "v", "left_semi").join(forest, "root", "left")
+                 .select("v", F.coalesce("label", "root").alias("label"))).checkpoint(eager=True)
+        for end in ("src", "trg"):
+            edges = (edges.join(known.select(F.col("v").alias(end), "label"), end, "left")
+                     .withColumn(end, F.coalesce("label", end)).drop("label"))
+        merged = connected_components(edges).checkpoint(eager=True)  # (label or new vertex, its component's smallest one)
+        new = touched.join(known, "v", "left_anti").join(merged, "v", "left")
+        self.put("roots", new.select("v", F.coalesce("component", "v").alias("root")), batch_id)
+        moved = (merged.where(F.col("v") != F.col("component")).select(F.col("v").alias("label"), "component")
+                 .join(known.select("label").distinct(), "label", "left_semi"))
+        roots = (moved.select(F.col("label").alias("root"), "component")
+                 .unionByName(forest.join(moved, "label").select("root", "component")))
+        self.put("forest", roots.select("root", F.col("component").alias("label"), F.lit(batch_id).alias("at")), batch_id)
+
+    def labels(self) -> DataFrame:
+        """(v, component) of the edges so far."""
+        return (self.table("roots").join(self._forest(), "root", "left")
+                .select("v", F.coalesce("label", "root").alias("component")))
+
+    results = labels

@@ -6,11 +6,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from edgegraph.operators import components as C
 from edgegraph.operators import degree_dist as DD
 from edgegraph.operators import degrees as D
 from edgegraph.operators import triangles as T
 from edgegraph.sources import signed_edges, user_edges
-from edgegraph.streaming import (DegreeChangelogStream, DegreeDistributionChangelogStream, ExactTriangleStream, NeighborhoodStream,
+from edgegraph.streaming import (ComponentsStream, DegreeChangelogStream, DegreeDistributionChangelogStream, ExactTriangleStream, NeighborhoodStream,
                                  VertexCountStream, WindowTriangles)
 from tests.conftest import SF_SMALL
 
@@ -124,3 +125,24 @@ def test_window_triangles_replayed_after_their_progress(spark, tmpdir_path):
     assert sorted(n for n in os.listdir(again.staging) if n.startswith("w_start")) == ["w_start=900"]
     again.update(e.where("src = 1"), 1)
     assert again.late_rows == 2
+
+
+def test_components_write_new_vertices_and_merged_roots_only(spark, tmpdir_path):
+    edges = random_graph(spark, 11, 90, 120, hub=False)
+    bridges = spark.createDataFrame([(5, 300, 1, 500), (300, 301, 1, 501), (None, 4, 1, 502), (9, 9, 1, 503), (400, 400, 1, 504)],
+                                    edges.schema)
+    everything, bounds = edges.unionByName(bridges), [25, 50, 400]
+    c = ComponentsStream(spark, tmpdir_path)
+    for i, part in enumerate(cut(everything, bounds)):
+        c.update(part, i)
+        if i == 2:
+            again = ComponentsStream(spark, tmpdir_path)  # a new instance after a crash replays the batch
+            again.update(part, i)
+        so_far = everything.where((F.col("pos") <= ([*bounds, 1 << 62])[i]) & F.col("src").isNotNull() & F.col("trg").isNotNull())
+        want = {r["v"]: r["component"] for r in C.connected_components(so_far).collect()}
+        got = {r["v"]: r["component"] for r in c.labels().collect()}
+        assert {v: k for v, k in got.items() if v in want} == want
+        assert set(got) - set(want) <= {v for v, k in got.items() if v == k}  # vertices with loops only
+    assert c.table("roots").count() == c.table("roots").select("v").distinct().count()
+    last = spark.read.parquet(os.path.join(tmpdir_path, "roots", "batch=3"))
+    assert {r["v"] for r in last.collect()} <= {300, 301, 400, 9, 5}
