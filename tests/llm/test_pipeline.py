@@ -1,8 +1,10 @@
 """The corpus pipeline, stage by stage, against brute force on the whole small table."""
 
 import collections
+import random
 
 import duckdb
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from edgegraph.llm.oracles import oracle_sql
@@ -94,3 +96,42 @@ def test_stages_match_brute_force(spark, tmpdir_path):
 def test_run_gives_the_last_stage(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert corpus_pipeline.ORACLE_SQL is None and out.count() > 50 and "mix_shard" in out.columns
+
+
+def tables(folder, docs, items):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    items.write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+def test_run_on_messy_and_empty_tables(spark, tmpdir_path):
+    """Nulls in every column, empty and long texts, repeated rows, equal ids, clashing extra columns; then tables without rows."""
+    # sentences of words that occur in all documents, in an order of their own, so that no rule takes them for junk
+    def prose(n, seed):
+        rng = random.Random(seed)
+        return "\n".join(" ".join(rng.choice(VOCABULARY) for _ in range(12)).capitalize() + "." for _ in range(n))
+    rows = [(i, prose(12, i), "en", "a" if i % 3 else "b", 1) for i in range(30)]
+    rows += [(100, None, "en", "a", None), (None, prose(12, 500), None, None, None), (None, None, None, None, None), (101, "", "en", "a", 0),
+             (102, prose(2000, 600), "en", "b", 1), rows[0], rows[0], (1, prose(12, 700), "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for c in ("_row", "rep", "mix_shard", "mix_order", "kept", "h", "size", "component"):
+        docs = docs.withColumn(c, F.lit(f"extra {c}"))
+    items = spark.createDataFrame([(1, rows[3][1].replace("\n", " ")), (2, None), (3, ""), (4, "two words")], "item_id bigint, text string")
+    folder = tables(f"{tmpdir_path}/messy", docs, items)
+    kept = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:4]:  # the mix takes by target, not all
+        stage(spark, kept, folder).write.parquet(f"{tmpdir_path}/{name}")
+        kept = spark.read.parquet(f"{tmpdir_path}/{name}")
+        assert kept.columns == docs.columns
+    kept = kept.select("doc_id", "text").collect()
+    texts = [r["text"] for r in kept]
+    assert len(texts) == len(set(texts)) and set(texts) == {r[1] for r in rows} - {rows[3][1], None, ""}
+    assert {r["doc_id"] for r in kept} == set(range(30)) - {3} | {None, 102}
+    mixed = corpus_pipeline.run(spark, folder).select("text").collect()
+    assert mixed and {r["text"] for r in mixed} <= set(texts)
+    out = corpus_pipeline.run(spark, tables(f"{tmpdir_path}/empty", docs.limit(0), items.limit(0)))
+    assert out.count() == 0 and {"doc_id", "text", "source"} <= set(out.columns)
+
+
+VOCABULARY = [a + b for a in ("ba", "do", "fi", "gu", "ke", "lo", "mi", "na", "pe", "ro", "su", "ta", "ve", "wi", "zo", "ya")
+              for b in ("r", "lin", "nto", "med", "s", "rak", "vel", "tion", "sh", "nder", "p", "cko", "m", "gle", "x", "th")]
