@@ -12,9 +12,10 @@
   into versioned state (:class:`SummaryStream`, :class:`CountWindowStream`, :class:`DegreeDistributionStream`, :class:`BipartiteStream`),
   and so does any user state with an ordered merge (:class:`StateStream`); a weighted matching with its ADD / REMOVE events and a k-spanner grow
   the same way (:class:`MatchingStream`, :class:`SpannerStream`);
-* components with two levels of labels (:class:`ComponentsStream`), running vertex counts, neighbourhoods, degrees, degree distributions and exact triangles keep what they have seen in tables that only
-  grow, one partition per micro-batch (:class:`VertexCountStream`, :class:`NeighborhoodStream`, :class:`DegreeChangelogStream`,
-  :class:`DegreeDistributionChangelogStream`, :class:`ExactTriangleStream`);
+* components with two levels of labels, running vertex counts, neighbourhoods, degrees, degree distributions and exact triangles keep
+  what they have seen in tables that only grow, one partition per micro-batch (:class:`ComponentsStream`, :class:`VertexCountStream`,
+  :class:`NeighborhoodStream`, :class:`DegreeChangelogStream`, :class:`DegreeDistributionChangelogStream`,
+  :class:`ExactTriangleStream`);
 * windowed triangles stage edges per window and count each window with the batch operator once the
   watermark closes it (:class:`WindowTriangles`).
 """
