@@ -198,8 +198,8 @@ class EdgeStream:
         return _tri.window_triangles(self.df, size)
 
     def estimate_triangles(self, samples: int, method: str = "broadcast", seed: str = _est.DEFAULT_SEED,
-                           prefixes: list[int] | None = None) -> DataFrame:
-        return _est.estimate(self.df, samples, seed, method, prefixes)
+                           prefixes: list[int] | None = None, vertices: int | None = None) -> DataFrame:
+        return _est.estimate(self.df, samples, seed, method, prefixes, vertices)
 
     def degree_distribution(self, order: str = "pos") -> DataFrame:
         return _dd.degree_distribution(self.df, order)

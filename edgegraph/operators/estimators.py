@@ -23,7 +23,7 @@ import hashlib
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgegraph.functions import HEX15_RANGE, md5_bigint
@@ -33,17 +33,35 @@ from edgegraph.operators.positions import with_position
 DEFAULT_SEED = "tri"
 
 
+def _next_position(i: int, p: int, seed: str) -> int:
+    """Where instance ``i`` takes the sample after that of ``p``: floor(p / u) + 1, u from md5 of seed:e:i:p."""
+    h = int(hashlib.md5(f"{seed}:e:{i}:{p}".encode()).hexdigest()[:15], 16)
+    return math.floor(p / (float(h + 1) / float(HEX15_RANGE))) + 1
+
+
 def _chain_rows(i: int, m: int, seed: str) -> list[int]:
-    """Positions of instance ``i``: 1, then floor(p / u) + 1 while <= m (u from md5 of seed:e:i:p)."""
+    """Positions of instance ``i`` up to ``m``, from 1 on."""
     out, p = [], 1
     while p <= m:
         out.append(p)
-        h = int(hashlib.md5(f"{seed}:e:{i}:{p}".encode()).hexdigest()[:15], 16)
-        u = float(h + 1) / float(HEX15_RANGE)
-        p = math.floor(p / u) + 1
+        p = _next_position(i, p, seed)
     return out
 
 
+def resume_chain(i: int, p: int, m: int, seed: str) -> tuple[int, int]:
+    """From position ``p`` <= ``m`` on: the last position up to ``m`` and the one after it, which fits a bigint."""
+    while True:
+        later = _next_position(i, p, seed)
+        if later > m:
+            return p, min(later, 2 ** 63 - 1)
+        p = later
+
+
+def scaled(beta_sum: Column, m: Column, s: int, n: int) -> Column:
+    """The estimate from the number of closed wedges of ``s`` samples, ``m`` edges and ``n`` vertices."""
+    return F.floor(F.lit(1.0 / s) * beta_sum * m * F.lit(n - 2)).cast("long").alias("estimate")
+
+
 def sample_chain(spark: SparkSession, m: int, s: int, seed: str = DEFAULT_SEED) -> DataFrame:
     """(i, p): every position p <= m at which instance i takes a new sample."""
     def gen(batches):
@@ -73,8 +91,14 @@ def vertex_ranks(edges: DataFrame) -> DataFrame:
     return with_position(v, ["v"], "_p").select("v", (F.col("_p") - 1).alias("r"))
 
 
-def samples_at(edges: DataFrame, chain: DataFrame, ranks: DataFrame, n: int, limits: list[int], seed: str) -> DataFrame:
-    """Per (instance, limit): the sample held after ``limit`` edges: (i, lim, p, a, b, t).
+def with_third(samples: DataFrame, n: int, seed: str) -> DataFrame:
+    """Samples (i, p, a, b, ...) with their third vertex ``t`` of 0..n-1, ``a`` and ``b`` left out."""
+    third = _third(F.col("i"), F.col("p"), F.least("a", "b"), F.greatest("a", "b"), F.lit(n), seed)
+    return samples.withColumn("t", third)
+
+
+def samples_at(edges: DataFrame, chain: DataFrame, ranks: DataFrame | None, n: int, limits: list[int], seed: str) -> DataFrame:
+    """Per (instance, limit): the sample held after ``limit`` edges: (i, lim, p, a, b, t). Without ``ranks`` the ids are the ranks.
 
     The tables of samples have ``s`` times the number of limits as rows; Spark picks the joins by their size."""
     lims = F.explode(F.array(*[F.lit(int(x)).cast("long") for x in limits])).alias("lim")
@@ -82,6 +106,8 @@ def samples_at(edges: DataFrame, chain: DataFrame, ranks: DataFrame, n: int, lim
             .groupBy("i", "lim").agg(F.max("p").alias("p")))
     pick = edges.select(F.col("pos").alias("p"), F.col("src").alias("a"), F.col("trg").alias("b"))
     s = last.join(pick, "p")
+    if ranks is None:
+        return with_third(s, n, seed)
     s = (s.join(ranks.select(F.col("v").alias("a"), F.col("r").alias("ra")), "a")
          .join(ranks.select(F.col("v").alias("b"), F.col("r").alias("rb")), "b"))
     third = _third(F.col("i"), F.col("p"), F.least("ra", "rb"), F.greatest("ra", "rb"), F.lit(n), seed)
@@ -125,16 +151,17 @@ def _beta_incidence(edges: DataFrame, samples: DataFrame) -> DataFrame:
 
 
 def estimate(edges: DataFrame, s: int, seed: str = DEFAULT_SEED, method: str = "broadcast",
-             prefixes: list[int] | None = None) -> DataFrame:
+             prefixes: list[int] | None = None, vertices: int | None = None) -> DataFrame:
     """Triangle estimate after the whole stream, or after each prefix size in ``prefixes``.
 
     ``edges`` needs a dense arrival position ``pos`` (1..m). Output per limit: (n_edges, beta_sum, estimate).
-    The third vertex is drawn among the ``n`` vertices by rank, so ids may be sparse or negative.
+    The third vertex is drawn among the ``n`` vertices by rank, so ids may be sparse or negative. With ``vertices`` the ids are
+    0..vertices-1, known before the first edge, and the third vertex is one of them whether or not it has an edge.
     """
     spark = edges.sparkSession
     m = edges.count()
-    ranks = vertex_ranks(edges)
-    n = ranks.count()
+    ranks = vertex_ranks(edges) if vertices is None else None
+    n = ranks.count() if vertices is None else vertices
     if m == 0 or n < 3:  # nothing to sample, or no third vertex
         return spark.createDataFrame([(int(x), 0, 0) for x in prefixes or [m]], "n_edges long, beta_sum long, estimate long")
     lims = prefixes or [m]
@@ -145,5 +172,4 @@ def estimate(edges: DataFrame, s: int, seed: str = DEFAULT_SEED, method: str = "
             else _beta_incidence(edges, smp))
     per = limits.join(beta.groupBy("lim").agg(F.sum("beta").alias("beta_sum")), "lim", "left")
     bsum = F.coalesce(F.col("beta_sum"), F.lit(0)).cast("long")
-    est = F.floor(F.lit(1.0 / s) * bsum * F.col("lim") * F.lit(n - 2)).cast("long")
-    return per.select(F.col("lim").alias("n_edges"), bsum.alias("beta_sum"), est.alias("estimate"))
+    return per.select(F.col("lim").alias("n_edges"), bsum.alias("beta_sum"), scaled(bsum, F.col("lim"), s, n))

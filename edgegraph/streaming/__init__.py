@@ -11,7 +11,8 @@
 * cumulative summaries, count windows, degree distributions with deletions and bipartiteness merge one row per key and micro-batch
   into versioned state (:class:`SummaryStream`, :class:`CountWindowStream`, :class:`DegreeDistributionStream`, :class:`BipartiteStream`),
   and so does any user state with an ordered merge (:class:`StateStream`); a weighted matching with its ADD / REMOVE events and a k-spanner grow
-  the same way (:class:`MatchingStream`, :class:`SpannerStream`);
+  the same way (:class:`MatchingStream`, :class:`SpannerStream`); the triangle estimators keep one resumable reservoir per sampler
+  (:class:`EstimatorStream`);
 * components with two levels of labels, running vertex counts, neighbourhoods, degrees, degree distributions and exact triangles keep
   what they have seen in tables that only grow, one partition per micro-batch (:class:`ComponentsStream`, :class:`VertexCountStream`,
   :class:`NeighborhoodStream`, :class:`DegreeChangelogStream`, :class:`DegreeDistributionChangelogStream`,
@@ -29,6 +30,7 @@ from edgegraph.streaming.components import IncrementalComponents  # noqa: F401
 from edgegraph.streaming.keyed import (  # noqa: F401
     BipartiteStream, CountWindowStream, DegreeDistributionStream, MatchingStream, SpannerStream, StateStream, SummaryStream,
 )
+from edgegraph.streaming.estimators import EstimatorStream  # noqa: F401
 from edgegraph.streaming.appended import (  # noqa: F401
     ComponentsStream, DegreeChangelogStream, DegreeDistributionChangelogStream, ExactTriangleStream, NeighborhoodStream,
     VertexCountStream,
