@@ -14,8 +14,8 @@ different word pairs, so a window with fewer of them, out of the pieces of its s
 The benchmark is read in blocks of bounded size (``block_items``), each broadcast to one scan of the documents, so memory
 does not grow with it; documents are never shuffled.
 
-Defined results: null or blank texts leak nothing; an item with fewer than ``min_words`` words is ignored, as it would fit
-clean text; each (row, item) pair is reported once, with its closest stretch, the first of equal ones; repeated rows or
+Defined results: null or blank texts leak nothing; an item with fewer than ``min_words`` words may stand in clean text, so it is
+matched word for word and reported only with ``short``, and never drops a document; an item without a word is ignored; each (row, item) pair is reported once, with its closest stretch, the first of equal ones; repeated rows or
 items are reported each; empty tables give empty results; extra columns are carried through by :func:`drop_leaks`.
 """
 
@@ -131,21 +131,30 @@ def _counters(sizes: np.ndarray) -> np.ndarray:
 class Benchmark:
     """Items of one block, and their pieces by size with their LSH keys and word pairs."""
 
-    def __init__(self, rows: list, share: float, min_words: int):
+    def __init__(self, rows: list, share: float, min_words: int, short: bool = False):
         self.share, self.items, self.sizes = share, [], {}
+        brief: dict[int, list[tuple[np.ndarray, int]]] = {}  # by size: hash of all words, number among the items
         pairs: dict[int, list[np.ndarray]] = {}
         for number, text in rows:
             data = np.frombuffer((text or "").encode(), np.uint8)
             starts, ends, owner = tw.words(data, np.array([0, len(data)]), _SEPARATOR)
-            if len(starts) < min_words:
+            if not len(starts) or (len(starts) < min_words and not short):
                 continue
             word = tw.hashes(data, starts, ends)
+            if len(word) < min_words:
+                brief.setdefault(len(word), []).append((tw.windows(word, owner, len(word))[0][0], len(self.items)))
+                self.items.append((number, word))
+                continue
             cuts = -(-len(word) // PIECE)
             cuts = [i * len(word) // cuts for i in range(cuts + 1)]
             for a, b in zip(cuts, cuts[1:]):
                 self.sizes.setdefault(b - a, []).append((len(self.items), a, word[a:b]))
                 pairs.setdefault(b - a, []).append(tw.windows(word[a:b], owner[a:b], 2)[0])
             self.items.append((number, word))
+        self.brief = {}
+        for n, found in brief.items():
+            found.sort()
+            self.brief[n] = np.array([k for k, _ in found], np.uint64), np.array([i for _, i in found])
         # word pairs of all pieces, and for each of them the sizes of the pieces that have it (runs of ``of_size``)
         every = [(x, n) for n in sorted(pairs) for x in (np.unique(np.concatenate(pairs[n])),)]
         flat = np.concatenate([x for x, _ in every] or [np.zeros(0, np.uint64)])
@@ -171,12 +180,33 @@ class Benchmark:
 
     def leaks(self, data: np.ndarray, offs: np.ndarray) -> list[tuple]:
         """(text number, item_id, n, distance, first word, last word), words counted within the text."""
-        if not self.sizes:
+        if not self.sizes and not self.brief:
             return []
         starts, ends, text = tw.words(data, offs, _SEPARATOR)
-        if len(starts) < min(self.need.values()) + 1:
+        least = min([*self.brief, *(n + 1 for n in self.need.values())])
+        if len(starts) < least:
             return []
         word = tw.hashes(data, starts, ends)
+        return self._brief_leaks(word, text, len(offs) - 1) + (self._long_leaks(word, text, offs) if self.sizes else [])
+
+    def _brief_leaks(self, word: np.ndarray, text: np.ndarray, texts: int) -> list[tuple]:
+        """The first place of each short item in each text, word for word."""
+        first_of = np.searchsorted(text, np.arange(texts))
+        out = []
+        for n, (keys, number) in self.brief.items():
+            key, at = tw.windows(word, text, n)
+            lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
+            hit = np.flatnonzero(hi > lo)
+            times = (hi - lo)[hit]
+            item, place = number[np.repeat(lo[hit], times) + _counters(times)], np.repeat(at[hit], times)
+            _, once = np.unique(text[place] * len(self.items) + item, return_index=True)  # places ascend
+            for i, p in zip(item[once].tolist(), place[once].tolist()):
+                if np.array_equal(word[p:p + n], self.items[i][1]):
+                    a = int(p - first_of[text[p]])
+                    out.append((int(text[p]), self.items[i][0], n, 0, a, a + n - 1))
+        return out
+
+    def _long_leaks(self, word: np.ndarray, text: np.ndarray, offs: np.ndarray) -> list[tuple]:
         pair, at = tw.windows(word, text, 2)
         hit = np.flatnonzero(self.map[(pair & np.uint64((1 << 22) - 1)).astype(np.int64)])
         which = np.minimum(np.searchsorted(self.pairs, pair[hit]), len(self.pairs) - 1)
@@ -294,8 +324,9 @@ def _blocks(spark, items: DataFrame, block_items: int) -> Iterator[list]:
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, max_edits: float = MAX_EDITS, min_words: int = MIN_WORDS,
-               block_items: int = 20_000) -> DataFrame:
-    """doc_id, item_id, n_words (of the item), distance, first_word, last_word (from 0, in the document)."""
+               block_items: int = 20_000, short: bool = False) -> DataFrame:
+    """doc_id, item_id, n_words (of the item), distance, first_word, last_word (from 0, in the document). With ``short`` also the
+    items of fewer than ``min_words`` words, matched exactly."""
     spark = docs.sparkSession
     out = None
     for rows in _blocks(spark, items, block_items):
@@ -303,7 +334,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, max_edits: float = MAX_EDITS,
 
         def scan(batches, block=block):
             import pyarrow as pa
-            bench = Benchmark(block.value, max_edits, min_words)
+            bench = Benchmark(block.value, max_edits, min_words, short)
             for b in batches:
                 for at, end, data, offs in tw.pieces(b.column(1)):
                     found = bench.leaks(data, offs)

@@ -43,7 +43,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.find_leaks(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
+    return decontam.find_leaks(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"),
+                               short=True)
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

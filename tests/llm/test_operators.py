@@ -453,6 +453,29 @@ def test_decontamination_defined_results(spark):
     assert decontam.find_leaks(docs(spark), items).count() == 0 and decontam.find_leaks(leaky, items.limit(0)).count() == 0
 
 
+def test_decontamination_short_items_are_matched_exactly(spark):
+    rng = random.Random(13)
+    vocab = list("abcde")
+    items = [[rng.choice(vocab) for _ in range(rng.randrange(1, 5))] for _ in range(25)] + [["a", "b"], ["a", "b"]]
+    texts = [[rng.choice(vocab) for _ in range(rng.randrange(0, 12))] for _ in range(60)]
+    item_df = spark.createDataFrame([*((i, " ".join(x)) for i, x in enumerate(items)), (99, " - "), (98, None),
+                                     (97, "p q r s t u")], "item_id bigint, text string")
+    d = docs(spark, *[", ".join(t).upper() for t in texts], "x p q r s t u")
+    want = {}
+    for t, words in enumerate(texts):
+        for i, x in enumerate(items):
+            at = next((p for p in range(len(words) - len(x) + 1) if words[p:p + len(x)] == x), None)
+            if at is not None:
+                want[(t, i)] = (len(x), 0, at, at + len(x) - 1)
+    want[(60, 97)] = (6, 0, 1, 6)
+    got = {(r["doc_id"], r["item_id"]): tuple(r)[2:] for r in decontam.find_leaks(d, item_df, short=True, block_items=9).collect()}
+    assert got == want and len(want) > 200
+    assert [(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(d, item_df).collect()] == [(60, 97)]
+    only = item_df.where("item_id < 90")
+    assert decontam.find_leaks(d, only, short=True).count() == len(want) - 1
+    assert decontam.drop_leaks(d, item_df).count() == 60
+
+
 def test_decontamination_finds_long_items_at_the_bound(spark):
     rng = random.Random(12)
     vocab = [f"v{i}" for i in range(3000)]
