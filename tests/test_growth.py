@@ -1,10 +1,14 @@
 """Plans and operators whose cost has to follow the input."""
 
+import random
 import re
 
-from pyspark.sql import functions as F
+import pytest
 
 from edgegraph.operators import degrees as D
+from edgegraph.operators import paths as Pa
+from edgegraph.operators import spanner as Sp
+from edgegraph.operators import triangles as Tr
 
 
 def edges(spark, rows):
@@ -18,3 +22,57 @@ def test_one_sketch_for_all_vertices(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     keyed = re.findall(r"Aggregate\(keys=\[[^\]]+\], functions=\[[^\]]*approx_count_distinct", plan)
     assert "approx_count_distinct" in plan and not keyed
+
+
+def _random_graph(spark, n, m, seed):
+    rng = random.Random(seed)
+    return edges(spark, [(rng.randrange(n), rng.randrange(n)) for _ in range(m)])
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 3, 5])
+def test_beyond_k_is_what_within_k_misses(spark, k, monkeypatch):
+    monkeypatch.setattr(Pa, "HUBS", 3)
+    e = _random_graph(spark, 150, 210, k)
+    asked = _random_graph(spark, 170, 600, 10 + k).toDF("a", "b")
+    asked = asked.unionByName(asked.limit(5))
+    want = {tuple(r) for r in Pa.within_k(e, asked, k).where("NOT reachable").select("a", "b").collect()}
+    got = [tuple(r) for r in Pa.beyond_k(e, asked, k).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
+
+
+def test_stretch_check_counts_long_edges(spark):
+    ring = edges(spark, [(i, (i + 1) % 9) for i in range(9)])
+    r = Sp.stretch_check(ring, ring.where("src < 8"), 3).first()
+    assert (r["n_edges"], r["n_spanner_edges"], r["n_violations"]) == (9, 8, 1)
+
+
+def test_stretch_check_does_not_spread_the_last_level(spark, monkeypatch):
+    """The pairs of a clustered spanner are settled by its hubs: no ball of every vertex is grown."""
+    grown = []
+    ball = Pa._ball
+    monkeypatch.setattr(Pa, "_ball", lambda adj, numbered, k: grown.append((numbered.count(), k)) or ball(adj, numbered, k))
+    e = _random_graph(spark, 200, 6000, 5)
+    r = Sp.stretch_check(e, Sp.spanner(e, 3), 3).first()
+    assert r["n_violations"] == 0 and r["n_spanner_edges"] < r["n_edges"]
+    assert grown and all(k == 2 for _, k in grown)
+    assert sum(n for n, _ in grown) < 200
+
+
+def test_triangles_are_found_once(spark, monkeypatch):
+    """Vertices' counts and the total come from one pass: the second reading of the triangles would be a second search."""
+    marks = spark.sparkContext.accumulator(0)
+    closing = Tr.closing_vertices
+
+    def counted(canon):
+        cv = closing(canon, method="lists")
+
+        def tell(batches):
+            for b in batches:
+                marks.add(b.num_rows)
+                yield b
+        return cv.mapInArrow(tell, cv.schema)
+
+    monkeypatch.setattr(Tr, "closing_vertices", counted)
+    got = dict(tuple(r) for r in Tr.local_triangles(edges(spark, [(1, 2), (2, 3), (3, 1), (3, 4), (4, 1), (5, 6)])).collect())
+    assert got == {1: 2, 2: 1, 3: 2, 4: 1, -1: 2}
+    assert marks.value == 2
