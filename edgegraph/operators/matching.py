@@ -46,9 +46,7 @@ def _rounds(edges: DataFrame, weight: str, priority: Column) -> tuple[DataFrame,
     n = 0
     while live.limit(1).count():
         n += 1
-        ends = live.select(F.explode(F.array(F.col("a"), F.col("b"))).alias("v"), "a", "b", priority.alias("p"))
-        best = ends.groupBy("v").agg(F.max_by(F.struct("a", "b"), "p").alias("e"))
-        picked = best.select("e.a", "e.b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") == 2)
+        picked = _mutual(live, priority)
         live.join(picked.select("a", "b"), ["a", "b"], "left_semi").write.mode("overwrite").parquet(f"{folder}/round={n}")
         used = spark.read.parquet(f"{folder}/round={n}").select(F.explode(F.array("a", "b")).alias("v"))
         live = (live.join(used.withColumnRenamed("v", "a"), "a", "left_anti")
@@ -58,6 +56,14 @@ def _rounds(edges: DataFrame, weight: str, priority: Column) -> tuple[DataFrame,
     return matched.select(F.col("a").alias("src"), F.col("b").alias("trg"), F.col("w").alias("weight")), n
 
 
+def _mutual(live: DataFrame, priority: Column) -> DataFrame:
+    """The edges (a, b) that are first at both ends. ``priority`` ends in (na, nb), the ends' negatives, so the sorted and
+    shuffled rows hold a vertex and one priority, and the edge is read from that."""
+    ends = live.select("a", "b", priority.alias("p")).select(F.explode(F.array("a", "b")).alias("v"), "p")
+    best = ends.groupBy("v").agg(F.max("p").alias("p")).select((-F.col("p.na")).alias("a"), (-F.col("p.nb")).alias("b"))
+    return best.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).where("k = 2")
+
+
 def _heaviest() -> Column:
     return F.struct(F.col("w"), (-F.col("a")).alias("na"), (-F.col("b")).alias("nb"))
 
@@ -118,9 +124,7 @@ def preempt(matched: DataFrame, edges: DataFrame, weight: str = "amount") -> tup
             break
         priority = F.struct(power_class(F.col("w"), whole).alias("c"), md5_bigint(F.lit("preempt"), F.col("a"), F.col("b")).alias("h"),
                             (-F.col("a")).alias("na"), (-F.col("b")).alias("nb"))
-        each = fit.select(F.explode(F.array("a", "b")).alias("v"), "a", "b", priority.alias("p"))
-        best = each.groupBy("v").agg(F.max_by(F.struct("a", "b"), "p").alias("e"))
-        picked = best.select("e.a", "e.b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).where("k = 2")
+        picked = _mutual(fit, priority)
         won = fit.join(picked.select("a", "b"), ["a", "b"], "left_semi")
         out = won.select(F.explode(F.array("ma", "mb")).alias("m")).where("m IS NOT NULL").select("m.*").distinct()
         n = len(rounds) + 1
