@@ -1,7 +1,8 @@
 """Windowed transaction-graph patterns: adjacency per window, money-movement alerts, edge probes.
 
 Every operator is a ``groupBy(window, ...)`` plan, so the same code runs in batch and on a
-Structured Streaming frame with a watermark on ``ts`` (append mode emits each window once it closes).
+Structured Streaming frame with a watermark on ``ts`` (append mode emits each window once it closes);
+only ``adjacency`` over a batch's sliding windows takes a plan of its own, by slices of time.
 The reference gathers each window into one task (``windowAll``); here the window is only a grouping
 column, so work spreads over (window, payer, payee) keys and every step pre-aggregates map-side.
 """
@@ -10,9 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from edgegraph.functions import epoch_ms, win_end_ms, win_start_ms
 
@@ -111,8 +115,14 @@ def adjacency(edges: DataFrame, size: str, slide: str | None = None) -> DataFram
     """Windowed weighted adjacency (P1): per (window, src) the set of (trg, amount, ts).
 
     Returned as sizes and sums (``n_triples``, ``n_targets``, ``amount``); ``adjacency_sets`` gives the
-    nested set form.
+    nested set form. Sliding windows of a batch are put together from slices of time, so that no row is copied
+    per window before the result (:func:`_sliding_adjacency`); a stream, and windows of more slides than
+    ``MAX_SLICES``, take the plain grouping by window.
     """
+    if slide and not edges.isStreaming and isinstance(edges.schema["ts"].dataType, TimestampType):
+        size_us, slide_us = _micros(edges.sparkSession, size), _micros(edges.sparkSession, slide)
+        if slide_us < size_us <= slide_us * MAX_SLICES:
+            return _sliding_adjacency(edges, size_us, slide_us)
     triples = distinct_triples(edges, size, slide)
     per_trg = triples.groupBy("window", "src", "trg").agg(F.count(F.lit(1)).alias("k"),
                                                           F.sum("amount").alias("amt"))
@@ -123,6 +133,88 @@ def adjacency(edges: DataFrame, size: str, slide: str | None = None) -> DataFram
                     "n_triples", "n_targets", "amount"))
 
 
+# Most slices that make a window (a few columns each), and slices per block: a pair's or a payer's rows
+# are sorted by blocks of time, so a long history never meets in one task.
+MAX_SLICES = 8
+SLICES_PER_BLOCK = 256
+
+
+def _micros(spark: SparkSession, duration: str) -> int:
+    """A window length as Spark reads it, in microseconds."""
+    w = spark.range(1).select(F.window(F.timestamp_micros(F.lit(0)), duration).alias("w"))
+    return w.select(F.unix_micros("w.end") - F.unix_micros("w.start")).first()[0]
+
+
+def _floor_div(a: Column, n: int) -> Column:
+    return F.call_function("div", a - F.pmod(a, F.lit(n).cast("bigint")), F.lit(n).cast("bigint"))
+
+
+def _plus(terms: Sequence[Column]) -> Column:
+    """Sum that skips nulls, null if there is nothing else (as ``F.sum``)."""
+    return F.when(F.coalesce(*terms).isNotNull(), reduce(add, [F.coalesce(t, F.lit(0)) for t in terms]))
+
+
+def _sliding_adjacency(edges: DataFrame, size_us: int, slide_us: int) -> DataFrame:
+    """:func:`adjacency` of sliding windows: window w is made of slices w to w + m - 1, each ``slide_us`` long, of the
+    last one only the early part (up to the window's end).
+
+    Triples are first summed per (payer, payee, part of a slice). A payee is new to those windows of its row that
+    start after its row before (``gap`` slices ago), which gives each slice its number of payees that are new to the
+    window starting j slices earlier (``t_j``). A window is then a sum over at most m slices of one payer: it is
+    written at its first slice, from the m - 1 rows that follow. So rows are grouped and shuffled once each, not once
+    per window, and only the result has a row per window.
+    """
+    m = -(-size_us // slide_us)
+    early_us = size_us - (m - 1) * slide_us
+    u, period = F.unix_micros("ts"), F.lit(slide_us).cast("bigint")
+    s, early = F.col("s"), (F.col("part") % 2 == 0)
+    own = _floor_div(s, SLICES_PER_BLOCK)
+    triples = (edges.where(F.col("ts").isNotNull()).select("src", "trg", "amount", "ts")
+               .dropDuplicates(["src", "trg", "amount", "ts"])
+               .select("src", "trg", "amount",  # part 2 s: the early part of slice s; 2 s + 1: the rest
+                       (_floor_div(u, slide_us) * 2 + (F.pmod(u, period) >= early_us).cast("int")).alias("part")))
+    parts = triples.groupBy("src", "trg", "part").agg(F.count(F.lit(1)).alias("k"), F.sum("amount").alias("amt"))
+
+    # a row is also seen by the next block if one of its windows could reach into it
+    pair = Window.partitionBy("src", "trg", "block").orderBy("part")
+    gaps = (parts.withColumn("s", F.shiftright("part", 1))
+            .withColumn("block", F.explode(F.sequence(own, _floor_div(s + (m - 1), SLICES_PER_BLOCK))))
+            .withColumn("gap", F.coalesce(s - F.shiftright(F.lag("part").over(pair), 1), F.lit(m)))
+            .where(F.col("block") == own))
+    new = [F.count_if((F.col("gap") > j) & early if j == m - 1 else F.col("gap") > j) for j in range(m)]
+    slices = gaps.groupBy("src", "s").agg(
+        F.sum("k").alias("k"), F.sum(F.when(early, F.col("k"))).alias("k_early"),
+        F.sum("amt").alias("amt"), F.sum(F.when(early, F.col("amt"))).alias("amt_early"),
+        *[n.alias(f"t_{j}") for j, n in enumerate(new)])
+
+    # likewise, a slice is seen by every block that one of its windows starts in
+    payer = Window.partitionBy("src", "block").orderBy("s")
+    row = F.struct("k", "k_early", "amt", "amt_early", *[f"t_{j}" for j in range(m)])
+    seen = (slices.withColumn("block", F.explode(F.sequence(_floor_div(s - (m - 1), SLICES_PER_BLOCK), own)))
+            .select("src", "block", "s", row.alias("at_0"),
+                    *[F.first(row).over(payer.rangeBetween(d, d)).alias(f"at_{d}") for d in range(1, m)],
+                    F.coalesce(s - F.lag("s").over(payer), F.lit(m)).alias("gap")))
+    return (seen.select("src", "block", F.explode(F.array(*[_window_at(j, m) for j in range(m)])).alias("w"))
+            .where(F.col("block") == _floor_div(F.col("w.s"), SLICES_PER_BLOCK))
+            .select(_floor_div(F.col("w.s") * slide_us, 1000).alias("w_start"),
+                    _floor_div(F.col("w.s") * slide_us + size_us, 1000).alias("w_end"), "src",
+                    F.col("w.n_triples").cast("bigint").alias("n_triples"),
+                    F.col("w.n_targets").cast("bigint").alias("n_targets"),
+                    F.col("w.amount").cast("bigint").alias("amount")))
+
+
+def _window_at(j: int, m: int) -> Column:
+    """The window that starts j slices before the row, if the row is in its first slice; else null."""
+    def summed(whole: str, early: str) -> Column:  # place p of the window is p - j slices after the row
+        return _plus([F.col(f"at_{p - j}.{early if p == m - 1 else whole}".format(p=p)) for p in range(j, m)])
+    first = F.col("gap") > j
+    if j == m - 1:
+        first &= F.col("at_0.k_early").isNotNull()
+    return F.when(first, F.struct((F.col("s") - j).alias("s"), summed("k", "k_early").alias("n_triples"),
+                                  summed("t_{p}", "t_{p}").alias("n_targets"),
+                                  summed("amt", "amt_early").alias("amount")))
+
+
 def adjacency_sets(edges: DataFrame, size: str, slide: str | None = None) -> DataFrame:
     """Nested form of P1: ``ARRAY<STRUCT<trg, amount, ts>>`` per (window, src), sorted.
 
