@@ -59,6 +59,43 @@ def test_stretch_check_does_not_spread_the_last_level(spark, monkeypatch):
     assert sum(n for n, _ in grown) < 200
 
 
+def test_look_ups_away_from_hubs_grow_no_balls(spark, monkeypatch):
+    """Without a cluster's hub, lists of neighbours travel instead of a row for every vertex of every source's ball."""
+    grown = []
+    ball = Pa._ball
+    monkeypatch.setattr(Pa, "_ball", lambda adj, numbered, k: grown.append(numbered.count()) or ball(adj, numbered, k))
+    monkeypatch.setattr(Pa, "HUBS", 3)
+    e, asked = _random_graph(spark, 150, 210, 3), _random_graph(spark, 170, 600, 13).toDF("a", "b")
+    assert Pa.beyond_k(e, asked, 3).count() > 0
+    assert sum(grown) <= 3
+
+
+@pytest.mark.parametrize("k", [2, 3])
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_beyond_k_with_cut_lists_small_batches_and_wide_vertices(spark, k, kind, monkeypatch):
+    for name, value in (("HUBS", 1), ("LIST_ROW", 2), ("LIST_DEGREE", 4), ("TASK_IDS", 500)):
+        monkeypatch.setattr(Pa, name, value)
+    rng = random.Random(k)
+    rows = [(rng.randrange(300), rng.randrange(300)) for _ in range(150)]
+    rows += [(1000 + h, rng.randrange(300)) for h in range(3) for _ in range(90 - 10 * h)] + [(None, 5), (7, 7), (8, None)]
+    pairs = [(rng.randrange(320), rng.randrange(320)) for _ in range(400)] + [(1001, 1002), (1002, 3), (4, 1001)]
+    cast = [f"cast({c} as {kind}) {c}" for c in ("src", "trg")]
+    e, p = edges(spark, rows).selectExpr(*cast), edges(spark, pairs).selectExpr(*cast).toDF("a", "b")
+    want = {tuple(r) for r in Pa.within_k(e, p, k).where("NOT reachable").select("a", "b").collect()}
+    wide = []
+    seen = Pa._seen
+    monkeypatch.setattr(Pa, "_seen", lambda *a: wide.append(1) or seen(*a))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        nulls = spark.createDataFrame([(None, "5"), ("6", None)], "a string, b string").selectExpr(f"cast(a as {kind}) a", f"cast(b as {kind}) b")
+        got = [tuple(r) for r in Pa.beyond_k(e, p.unionByName(nulls), k).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    typed = {"bigint": int, "string": str}[kind]
+    assert len(got) == len(set(got)) and set(got) == want | {(None, typed(5)), (typed(6), None)}
+    assert 0 < len(want) < len(set(pairs)) and len(wide) == (k == 3)
+
+
 def test_triangles_are_found_once(spark, monkeypatch):
     """Vertices' counts and the total come from one pass: the second reading of the triangles would be a second search."""
     marks = spark.sparkContext.accumulator(0)
